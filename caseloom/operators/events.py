@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.operators.ordered import GROUP_ROWS, with_group_position
+from caseloom.operators.ordered import GROUP_ROWS, with_group_position, with_position
 
 PART_EVENTS = 10_000
 
@@ -78,6 +78,21 @@ def variant_counts(log: EventLog, sep: str = " > ", part_events: int = PART_EVEN
     )
 
 
+def variant_codes(log: EventLog, name: str = "variant_code", part_events: int = PART_EVENTS, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """0-based code of each case's variant, in the order of the variant texts.
+
+    Variants are told apart by their whole sequence; only the sort order of very long ones rests on their first part.
+    """
+    identity = ["n_events", "__h1", "__h2"]
+    cases = variant_keys(log, group_rows)
+    chosen = cases.groupBy(*identity).agg(F.min(F.struct(*log.case_columns)).alias("__case")).select(*identity, "__case.*")
+    sample = EventLog(_only_cases(log, chosen), log.case, log.activity, log.ts, log.sort)
+    starts = case_variants(sample, part_events=part_events, group_rows=group_rows).where("part = 0")
+    named = starts.join(chosen, log.case_columns).select("variant", *identity)
+    codes = with_position(named, ["variant", *identity], name).select(*identity, name)
+    return cases.join(codes, identity).select(*log.case_columns, name)
+
+
 def _only_cases(log: EventLog, cases: DataFrame) -> DataFrame:
     return log.df.join(cases.select(*log.case_columns), log.case_columns, "left_semi")
 

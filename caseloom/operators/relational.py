@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caseloom.operators.ordered import with_position
 
@@ -143,7 +144,8 @@ def tagged_union(frames: Mapping[str, DataFrame], tag: str) -> DataFrame:
 def append_rows(df: DataFrame, rows: Sequence[Mapping]) -> DataFrame:
     """Add literal rows; absent columns are null."""
     values = [tuple(row.get(c) for c in df.columns) for row in rows]
-    return df.unionByName(df.sparkSession.createDataFrame(values, df.schema))
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
+    return df.unionByName(df.sparkSession.createDataFrame(values, schema))
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

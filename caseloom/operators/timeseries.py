@@ -132,7 +132,7 @@ def autocorrelation(df: DataFrame, series: str, date: str, value: str, lags: int
     centred = known.withColumn("__x", F.col(value) - F.avg(value).over(by_series))
     ordered = by_series.orderBy(date)
     products = [F.col("__x") * F.lag("__x", k).over(ordered) for k in range(lags + 1)]
-    wide = centred.select(series, F.posexplode(F.array(*products)).alias("lag", "__p"))
+    wide = centred.select(series, F.array(*products).alias("__ps")).select(series, F.posexplode("__ps").alias("lag", "__p"))
     sums = wide.groupBy(series, "lag").agg(F.coalesce(F.sum("__p"), F.lit(0.0)).alias("__s"))
     total = F.max(F.when(F.col("lag") == 0, F.col("__s"))).over(by_series)
     return sums.select(series, "lag", F.try_divide(F.col("__s"), total).alias("acf"))

@@ -10,7 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.operators.relational import any_over, argmax, inner_join, value_counts
+from caseloom.operators.clean import any_over
+from caseloom.operators.relational import argmax, inner_join, value_counts
 from caseloom.session import broadcast_if_small
 
 
