@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from caseloom.session import materialize
+from caseloom.session import broadcast_if_small, materialize
 
 # Largest group one task may sort; above it the blocked form is used.
 GROUP_ROWS = 2_000_000
@@ -75,10 +75,11 @@ def with_group_position(
     if not keys:
         return with_position(df, order_by, name).withColumn(name, F.col(name) + 1)
     placed = with_position(df, [*keys, *_sort_columns(order_by)], "__pos")
-    first = placed.groupBy(*keys).agg(F.min("__pos").alias("__first"))
-    first = first.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__first")
+    starts = placed.groupBy(*keys).agg(F.min("__pos").alias("__first"))
+    starts = starts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__first")
+    first = broadcast_if_small(materialize(starts, "starts"))
     same = [placed[k].eqNullSafe(first[f"__k{i}"]) for i, k in enumerate(keys)]
-    joined = placed.join(first, same)  # one row per key on the right: AQE splits a skewed left side
+    joined = placed.join(first, same)  # one row per key on the right: AQE can split a skewed left side
     return joined.select(*[placed[c] for c in df.columns], (F.col("__pos") - F.col("__first") + 1).alias(name))
 
 
@@ -160,11 +161,19 @@ def shift_rows(
     return over_rows(df, keys, order_by, {name: make}, max(periods, 0), max(-periods, 0), **options)
 
 
-def drop_last(df: DataFrame, order_by: str | Column | Order, n: int) -> DataFrame:
-    """All rows but the last ``n`` of the given total order."""
-    placed = with_position(df, order_by, "__pos")
-    total = placed.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return placed.where(F.col("__pos") < total - n).drop("__pos")
+def drop_last(df: DataFrame, order_by: Sequence[str], n: int, max_listed: int = 100_000) -> DataFrame:
+    """All rows but the last ``n`` of a total ascending order.
+
+    A few last rows are found by a top-n and removed by key; a large ``n`` needs positions.
+    """
+    if n > max_listed:
+        placed = with_position(df, order_by, "__pos")
+        total = placed.agg(F.count(F.lit(1))).scalar()
+        return placed.where(F.col("__pos") < total - n).drop("__pos")
+    last = df.select(*[F.col(c).alias(f"__{c}") for c in order_by])
+    last = last.orderBy(*[F.col(c).desc_nulls_first() for c in last.columns]).limit(n)
+    same = [df[c].eqNullSafe(last[f"__{c}"]) for c in order_by]
+    return df.join(F.broadcast(last), same, "left_anti")  # at most max_listed rows
 
 
 def zip_by_order(left: DataFrame, right: DataFrame, left_order: Order, right_order: Order) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseloom.operators.ordered import with_position
+from caseloom.session import broadcast_if_small, materialize
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -68,9 +69,10 @@ def remap_ids(
     created = with_position(missing, "__name", "__pos").select(
         "__name", "placeholder", (top + F.col("__pos") + 1).alias("created_id")
     )
-    mapping = matched.join(created.select("__name", "created_id"), "__name", "left").select(
+    pairs = matched.join(created.select("__name", "created_id"), "__name", "left").select(
         F.col("id").alias("__old"), F.coalesce("new_id", "created_id").alias("__new")
     )
+    mapping = broadcast_if_small(materialize(pairs, "mapping"))
     out = records
     for path in fields:
         struct, leaf = path.rsplit(".", 1)
@@ -86,9 +88,13 @@ def group_summary(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Col
 
 
 def group_transform(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
-    """Group statistics on every row: aggregate first, then join, so that a hot group never lands in one task."""
+    """Group statistics on every row: aggregate first, then join, so that a hot group never lands in one task.
+
+    The statistics are written once; if they are few, the rows are not shuffled at all.
+    """
     stats = df.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
-    renamed = stats.withColumnsRenamed({k: f"__{k}" for k in keys})
+    small = materialize(stats.withColumnsRenamed({k: f"__{k}" for k in keys}), "groups")
+    renamed = broadcast_if_small(small)
     on = [df[k].eqNullSafe(renamed[f"__{k}"]) for k in keys]
     return df.join(renamed, on, "left").select(*[df[c] for c in df.columns], *measures)
 
@@ -148,19 +154,27 @@ def append_rows(df: DataFrame, rows: Sequence[Mapping]) -> DataFrame:
     return df.unionByName(df.sparkSession.createDataFrame(values, schema))
 
 
+def fingerprint(columns: Sequence[str]) -> Column:
+    """SHA-256 of the row's values as one JSON record."""
+    return F.sha2(F.to_json(F.struct(*columns)), 256)
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that were added, removed or changed between two snapshots with the same columns."""
+    """Keys that were added, removed or changed between two snapshots with the same columns.
+
+    Rows are compared by fingerprint, so only keys and 64 characters per row are shuffled.
+    """
     values = [c for c in old.columns if c not in keys]
     if sorted(old.columns) != sorted(new.columns):
         raise ValueError("snapshots must have the same columns")
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*keys, F.struct(*values).alias(name))
+        return df.select(*keys, fingerprint(values).alias(name))
 
     both = side(old, "__old").join(side(new, "__new"), list(keys), "full")
     change = (
         F.when(F.col("__old").isNull(), "added")
         .when(F.col("__new").isNull(), "removed")
-        .when(~F.col("__old").eqNullSafe(F.col("__new")), "changed")
+        .when(F.col("__old") != F.col("__new"), "changed")
     )
     return both.select(*keys, change.alias("change")).where("change is not null")

@@ -19,24 +19,26 @@ def lemmatize(
     df: DataFrame, key: str, tokens: str, lexicon: DataFrame, keep: Sequence[str] = ("NOUN", "ADJ", "VERB", "ADV"),
     name: str = "lemmas",
 ) -> DataFrame:
-    """Replace tokens by the lemmas of a lexicon ``(form, lemma, pos)``, keeping the wanted parts of speech.
+    """``(key, lemmas)``: tokens replaced by the lemmas of a lexicon ``(form, lemma, pos)``, in token order.
 
-    Forms are unique in the lexicon. Words it does not know stay as they are. Lemmas return in token order; a
-    document without any is an empty list.
+    Only the wanted parts of speech are kept. Forms are unique in the lexicon; words it does not know stay as they
+    are. A document without any lemma has an empty list.
     """
-    words = df.select(key, F.posexplode(tokens).alias("__pos", "form"))
+    words = df.select(key, F.posexplode_outer(tokens).alias("__pos", "form"))
     looked_up = words.join(broadcast_if_small(lexicon), "form", "left")
-    kept = looked_up.where(F.col("lemma").isNull() | F.col("pos").isin(list(keep)))
-    cells = F.sort_array(F.collect_list(F.struct("__pos", F.coalesce("lemma", "form").alias("w"))))
-    lists = kept.groupBy(key).agg(cells.alias("__cells"))
-    empty = F.array().cast("array<string>")
-    return df.join(lists, key, "left").withColumn(name, F.coalesce(F.col("__cells.w"), empty)).drop("__cells")
+    wanted = F.col("form").isNotNull() & (F.col("lemma").isNull() | F.col("pos").isin(list(keep)))
+    cell = F.when(wanted, F.struct("__pos", F.coalesce("lemma", "form").alias("w")))
+    lists = looked_up.groupBy(key).agg(F.sort_array(F.collect_list(cell)).alias("__cells"))
+    return lists.select(key, F.col("__cells.w").alias(name))
 
 
 def term_counts(df: DataFrame, key: str, terms: str, min_docs: int = 2) -> DataFrame:
     """Long document-term matrix ``(key, term, n)`` of terms that occur in at least ``min_docs`` documents."""
     counts = df.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
-    frequent = counts.groupBy("term").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs)
+    per_term = counts.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total"))
+    # The total is never below the number of documents. Asking for it keeps both branches on the same columns, so
+    # that Spark reuses one exchange instead of splitting all texts twice.
+    frequent = per_term.where((F.col("docs") >= min_docs) & (F.col("total") >= min_docs))
     return counts.join(frequent.select("term"), "term", "left_semi").select(key, "term", "n")
 
 

@@ -86,7 +86,7 @@ def _line_frame(t: Tables):
 def _line_model(t: Tables):
     frame = _line_frame(t)
     known = ml.known_rows(frame, "price")
-    model = ml.fit_regressor(known.withColumn("held_out", ~F.col("is_train")), "price", "held_out")
+    model = ml.fit_regressor(known.where("is_train"), "price")
     return frame, known, model
 
 
@@ -100,7 +100,7 @@ def gbt_regression(t: Tables):
 @query("gbt_evaluation")
 def gbt_evaluation(t: Tables):
     _, known, model = _line_model(t)
-    return ml.evaluation(model.transform(known.where(~F.col("is_train"))), "price", classifier=False)
+    return ml.evaluation_history(model, {"train": known.where("is_train"), "test": known.where(~F.col("is_train"))})
 
 
 @query("feature_importance")
@@ -128,7 +128,7 @@ def gbt_classification(t: Tables):
     )
     names = ["n_chars", "words", "lines", "digits", "others"]
     frame = materialize(ml.assemble(ml.split_hash(measured, ["doc_id"]), names), "measures")
-    model = ml.fit_classifier(frame.withColumn("held_out", ~F.col("is_train")), "quality", "held_out")
+    model = ml.fit_classifier(frame.where("is_train"), "quality")
     return ml.score(model, frame.where(~F.col("is_train")), ["doc_id"])
 
 

@@ -50,6 +50,19 @@ def ts_fill_weeks(t: Tables):
     return ts.fill_weeks(daily, "series", "day", ["n", "y"], _moment("2001-10-01"))
 
 
+@query(
+    "reindex_weekly",
+    """WITH d AS (SELECT o_orderstatus AS series, date_trunc('week', o_orderdate) AS week, count(*) AS n FROM orders WHERE o_totalprice > 480000 GROUP BY 1, 2),
+    g AS (SELECT series, unnest(generate_series(min(week), TIMESTAMP '2001-09-03', INTERVAL 7 DAY)) AS week FROM d GROUP BY series)
+    SELECT g.series, g.week, coalesce(n, 0) AS n FROM g LEFT JOIN d USING (series, week)""",
+)
+def reindex_weekly(t: Tables):
+    rare = t("orders").where("o_totalprice > 480000").groupBy(
+        F.col("o_orderstatus").alias("series"), week_start("o_orderdate").alias("week")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return ts.fill_weeks(rare, "series", "week", ["n"], _moment("2001-09-03"))
+
+
 QUARTERLY_SQL = """q AS (SELECT o_orderpriority AS series, date_trunc('quarter', o_orderdate) AS quarter, floor((sum(o_totalprice) + 0.005) / 1000) AS y
     FROM orders GROUP BY 1, 2)"""
 
@@ -64,6 +77,17 @@ def ts_resample_weekly(t: Tables):
     return ts.resample_weekly(_grid(t, quarter_start, "quarter"), ["series"], "quarter", ["y"])
 
 
+@query(
+    "resample_ffill",
+    """WITH q AS (SELECT date_trunc('month', o_orderdate) AS month, count(*) AS n FROM orders GROUP BY 1), s AS (SELECT min(month) AS a, max(month) AS b FROM q),
+    g AS (SELECT unnest(generate_series(a + INTERVAL 1 DAY * ((7 - isodow(a)) % 7), b + INTERVAL 1 DAY * ((7 - isodow(b)) % 7), INTERVAL 7 DAY)) AS week FROM s)
+    SELECT g.week AS month, q.n FROM g ASOF JOIN q ON g.week >= q.month""",
+)
+def resample_ffill(t: Tables):
+    monthly = t("orders").groupBy(F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("month"))
+    return ts.resample_weekly(monthly.agg(F.count(F.lit(1)).alias("n")), [], "month", ["n"])
+
+
 REGRESSOR_SQL = """lv AS (SELECT date_trunc('quarter', o_orderdate) AS day, CAST(count(*) AS DOUBLE) AS level FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-01' GROUP BY 1
       UNION ALL SELECT TIMESTAMP '2001-07-01', 2500 UNION ALL SELECT TIMESTAMP '2001-10-01', 2600),
     sh AS (SELECT date_trunc('quarter', l_shipdate) AS day, CAST(sum(l_linenumber) % 17 AS DOUBLE) AS share FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-04-01' GROUP BY 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import functions as F
@@ -15,8 +16,9 @@ from caseloom.sinks.exports import locale_csv_frame, snapshot_rows
 from caseloom.sinks.tables import TableStore, upsert_result
 from caseloom.sources.csv import combine_csv, csv_payload, scan_csv
 from caseloom.sources.extract import incremental_extract, trailing_days, unify_sources
-from caseloom.sources.json import flatten, parse_records, rows_until_empty
-from caseloom.streaming.ingest import append_batches, once_per_key, tail_cursor, tail_files, upsert_batches
+from caseloom.sources.json import flatten, paged_service, parse_records, rows_until_empty
+from caseloom.sources.pages import PagedJsonSource, read_pages
+from caseloom.streaming.ingest import append_batches, drain, once_per_key, tail_cursor, tail_files, upsert_batches
 
 
 @query("scan_table", "SELECT * FROM region")
@@ -280,3 +282,46 @@ def tail_files_query(t: Tables):
     stream = tail_files(t.spark, folder, events.schema, files_per_batch=2)
     append_batches(stream, out, scratch_path(t.spark, "checkpoint")).awaitTermination()
     return t.spark.read.schema(events.schema).parquet(out)
+
+
+# Rows per page of the log service.
+LOG_PAGE_ROWS = 1_000
+
+
+@query("cursor_json", "SELECT event_id, event_type, value FROM events")
+def cursor_json(t: Tables):
+    """Events as a chain of log pages, each naming the next one, followed by cursor until drained."""
+    folder, out = scratch_path(t.spark, "log_pages"), scratch_path(t.spark, "followed")
+    page = F.floor(F.col("event_id") / LOG_PAGE_ROWS).cast("bigint")
+    last = t("events").agg(F.max(page)).scalar()
+    pages = t("events").groupBy(page.alias("page")).agg(F.collect_list(F.struct("event_id", "event_type", "value")).alias("logs"))
+    following = F.when(F.col("page") < last, (F.col("page") + 1).cast("string")).alias("nextLogId")
+    pages.select("page", to_json_record("logs", following).alias("value")).write.partitionBy("page").text(folder)
+    stream = tail_cursor(
+        t.spark, folder=folder, prefix="page=", suffix="", start="0", pages_per_batch="10",
+        row_schema="event_id bigint, event_type string, value double"
+    )
+    drain(append_batches(stream, out, scratch_path(t.spark, "checkpoint"), available_now=False))
+    return t.spark.read.schema(stream.schema).parquet(out)
+
+
+@query("paged_service", "SELECT p_partkey, p_name, p_retailprice FROM part")
+def paged_service_query(t: Tables):
+    """Parts as numbered pages read by several executors at once."""
+    folder = scratch_path(t.spark, "service_pages")
+    page = F.concat(F.floor(F.col("p_partkey") / LOG_PAGE_ROWS).cast("string"), F.lit(".json"))
+    pages = t("part").groupBy(page.alias("page")).agg(F.collect_list(F.struct("p_partkey", "p_name", "p_retailprice")).alias("rows"))
+    pages.select(F.concat(F.lit("page-"), "page").alias("file"), to_json_record("rows").alias("value")).write.partitionBy("file").text(folder)
+    return paged_service(t.spark, _PartitionedPages, folder=folder, row_schema="p_partkey bigint, p_name string, p_retailprice double")
+
+
+class _PartitionedPages(PagedJsonSource):
+    """Pages in folders ``file=page-<n>.json``, as a partitioned write leaves them."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "caseloom_partitioned_pages"
+
+    def fetch(self, page: int) -> list[dict]:
+        texts = read_pages(self.options["folder"], f"file=page-{page}.json")
+        return json.loads(texts[0])["rows"] if texts else []

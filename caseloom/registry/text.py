@@ -8,7 +8,7 @@ from caseloom.functions.text import ACCENTED, UNACCENTED, WORD_PATTERN, clean_te
 from caseloom.operators import topics
 from caseloom.operators.ml import kmeans
 from caseloom.registry.core import Tables, query
-from caseloom.session import materialize
+from caseloom.session import materialize, spread_narrow
 
 STOP_WORDS = ["the", "of", "and", "to", "in", "is", "it", "that", "on", "for", "le", "la", "les", "der", "die", "und", "el", "los"]
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -95,9 +95,8 @@ def topic_distribution(t: Tables):
 
 def _vectors(t: Tables):
     """Term counts of all documents, written once because every fit reads them several times."""
-    documents = materialize(
-        t("documents").select("doc_id", terms(clean_text("text"), STOP_WORDS).alias("terms")), "terms"
-    )
+    texts = spread_narrow(t("documents").select("doc_id", "text"), "doc_id")
+    documents = materialize(texts.select("doc_id", terms(clean_text("text"), STOP_WORDS).alias("terms")), "terms")
     vocabulary, vectors = topics.vectorize(documents, "terms")
     return vocabulary.vocabulary, materialize(vectors.select("doc_id", "counts"), "vectors")
 

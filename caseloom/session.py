@@ -65,3 +65,13 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when a count proves the side small; otherwise the join stays a shuffle join."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def spread_narrow(df: DataFrame, key: str) -> DataFrame:
+    """Repartition a frame that comes straight from files to the cluster's cores if it has fewer partitions.
+
+    For compute-heavy passes over small inputs; large inputs keep their splits. Rows are placed by key and sorted, so
+    that seeded algorithms see the same partitions every time.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key).sortWithinPartitions(key) if df.rdd.getNumPartitions() < cores else df

@@ -6,9 +6,9 @@ Subclasses supply the request; the default reads page files from a shared folder
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Iterator
 
+from pyarrow import fs
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -17,6 +17,22 @@ from pyspark.sql.datasource import (
 )
 
 
+def read_pages(folder: str, name: str) -> list[str]:
+    """Text of the files ``folder/name`` (a file or a folder of part files); empty if it does not exist."""
+    uri = f"{folder.rstrip('/')}/{name}"
+    store, path = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri.removeprefix("file:"))
+    info = store.get_file_info(path)
+    if info.type == fs.FileType.Directory:
+        found = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.base_name.startswith("part-"))
+    else:
+        found = [path] if info.type == fs.FileType.File else []
+    texts = []
+    for p in found:
+        with store.open_input_stream(p) as f:
+            texts.append(f.read().decode("utf-8"))
+    return texts
+
+
 def _values(schema, row: dict) -> tuple:
     return tuple(row.get(f.name) for f in schema)
 
@@ -40,11 +56,8 @@ class PagedJsonSource(DataSource):
 
     def fetch(self, page: int) -> list[dict]:
         """Rows of a page; an empty list past the last page."""
-        path = os.path.join(self.options["folder"], f"page-{page}.json")
-        if not os.path.exists(path):
-            return []
-        with open(path, encoding="utf-8") as f:
-            return json.load(f)[self.options["rows_key"]]
+        texts = read_pages(self.options["folder"], f"page-{page}.json")
+        return json.loads(texts[0])[self.options.get("rows_key", "rows")] if texts else []
 
     def reader(self, schema) -> DataSourceReader:
         return _PageReader(self, schema)
@@ -66,9 +79,11 @@ class _PageReader(DataSourceReader):
 
 
 class CursorJsonSource(DataSource):
-    """Stream whose offset is the cursor of the next page. One bounded page per micro-batch.
+    """Stream whose offset is the cursor of the next page.
 
-    Options: ``folder``, ``row_schema``, ``rows_key``, ``next_key``, ``start``.
+    Each cursor is known only from the page before, so pages are requested one after the other; a micro-batch holds
+    ``pages_per_batch`` of them. Options: ``folder``, ``row_schema``, ``rows_key``, ``next_key``, ``start``, ``prefix``,
+    ``suffix``.
     """
 
     @classmethod
@@ -80,8 +95,10 @@ class CursorJsonSource(DataSource):
 
     def fetch(self, cursor: str) -> dict:
         """The page that starts at a cursor: its rows and the next cursor, or null when drained."""
-        with open(os.path.join(self.options["folder"], f"{cursor}.json"), encoding="utf-8") as f:
-            return json.load(f)
+        texts = read_pages(self.options["folder"], f"{self.options.get('prefix', '')}{cursor}{self.options.get('suffix', '.json')}")
+        if not texts:
+            raise LookupError(f"no page at cursor {cursor!r}")
+        return json.loads(texts[0])
 
     def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
         return _CursorReader(self, schema)
@@ -95,17 +112,23 @@ class _CursorReader(SimpleDataSourceStreamReader):
         return {"cursor": self.source.options["start"]}
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        if start["cursor"] is None:
-            return iter(()), start
-        page = self.source.fetch(start["cursor"])
-        rows = page[self.source.options.get("rows_key", "logs")]
-        following = page.get(self.source.options.get("next_key", "nextLogId"))
-        return (_values(self.row_schema, row) for row in rows), {"cursor": following}
+        rows, cursor = [], start["cursor"]
+        for _ in range(int(self.source.options.get("pages_per_batch", "1"))):
+            if cursor is None:
+                break
+            page, cursor = self._page(cursor)
+            rows += page
+        # Spark copies the iterator of a cached batch, so it is one over a list.
+        return iter(rows), {"cursor": cursor}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
         """Replay after a failure: walk the cursors from start to end."""
         cursor = start["cursor"]
         while cursor is not None and cursor != end["cursor"]:
-            rows, following = self.read({"cursor": cursor})
-            yield from rows
-            cursor = following["cursor"]
+            page, cursor = self._page(cursor)
+            yield from page
+
+    def _page(self, cursor: str) -> tuple[list[tuple], str | None]:
+        page = self.source.fetch(cursor)
+        rows = page[self.source.options.get("rows_key", "logs")]
+        return [_values(self.row_schema, r) for r in rows], page.get(self.source.options.get("next_key", "nextLogId"))

@@ -67,6 +67,15 @@ def _latest(batch: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -
     return top_n(batch, keys, order_by, 1, "__n").drop("__n")
 
 
-def append_batches(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append a stream to a parquet folder until the source is drained."""
-    return stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+def append_batches(stream: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Append a stream to a parquet folder; by default until the source is drained."""
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start(path)
+
+
+def drain(running: StreamingQuery) -> None:
+    """Wait until a continuously running query has read everything there is, then stop it."""
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()

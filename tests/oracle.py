@@ -72,7 +72,7 @@ def main() -> None:
     args = sys.argv[1:]
     folder = args.pop(0) if args and "/" in args[0] else "/root/testdata/sf0.01"
     spark = build_session("check", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g",
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g",
         "spark.sql.warehouse.dir": "/tmp/caseloom-warehouse",
     })
     spark.sparkContext.setLogLevel("ERROR")
