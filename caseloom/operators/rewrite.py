@@ -74,10 +74,13 @@ def rename_references(
     if ranked.count() <= max_listed:
         return replace_by_table(formulas, [template], ranked).select(key, template)
     text = F.col(template)
-    starts = F.flatten(F.array(*[
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))), lambda i, n=n: F.substr(text, i, F.lit(n)))
-        for n in range(1, PREFIX_CHARS + 1)
-    ]))
+
+    def pieces(n: int) -> Column:
+        """All substrings of n characters."""
+        positions = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
+        return F.transform(positions, lambda i: F.substr(text, i, F.lit(n)))
+
+    starts = F.flatten(F.array(*[pieces(n) for n in range(1, PREFIX_CHARS + 1)]))
     candidates = formulas.select(key, template, F.explode(F.array_distinct(starts)).alias("__start"))
     listed = ranked.withColumn("__start", F.substring("old", 1, PREFIX_CHARS))
     contained = candidates.join(listed, "__start").where(F.contains(text, F.col("old")))

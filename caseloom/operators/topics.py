@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseloom.functions.text import run_lengths, sorted_runs
 from caseloom.operators.clean import any_over
 from caseloom.operators.relational import argmax, inner_join, value_counts
 from caseloom.session import broadcast_if_small
@@ -33,12 +34,15 @@ def lemmatize(
 
 
 def term_counts(df: DataFrame, key: str, terms: str, min_docs: int = 2) -> DataFrame:
-    """Long document-term matrix ``(key, term, n)`` of terms that occur in at least ``min_docs`` documents."""
-    counts = df.select(key, F.explode(terms).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("n"))
-    per_term = counts.groupBy("term").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("total"))
-    # The total is never below the number of documents. Asking for it keeps both branches on the same columns, so
-    # that Spark reuses one exchange instead of splitting all texts twice.
-    frequent = per_term.where((F.col("docs") >= min_docs) & (F.col("total") >= min_docs))
+    """Long document-term matrix ``(key, term, n)`` of terms that occur in at least ``min_docs`` documents.
+
+    ``df`` has one row per document. A document's terms are counted inside its row, without a shuffle; only the
+    number of documents per term is, and the list of frequent terms is sent to the rows if it is small.
+    """
+    ordered = df.select(key, F.array_sort(terms).alias("__s"))
+    runs = ordered.select(key, "__s", sorted_runs(F.col("__s")).alias("__e"))
+    counts = runs.select(key, F.inline(run_lengths(F.col("__s"), F.col("__e"))))
+    frequent = counts.groupBy("term").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs)
     return counts.join(frequent.select("term"), "term", "left_semi").select(key, "term", "n")
 
 

@@ -84,7 +84,7 @@ class TableStore:
             touched = df.select(*parts).distinct()
             same = [table[p].eqNullSafe(touched[p]) for p in parts]
             merged = materialize(upsert_result(table.join(touched, same, "left_semi"), df, keys, order_by), "upsert")
-            merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(self.full_name(name))
+            self._overwrite_partitions(name, merged)
             return
         self._define(name, upsert_result(table, df, keys, order_by), keys, parts)
 
@@ -111,6 +111,16 @@ class TableStore:
     def set_property(self, name: str, key: str, value: str) -> None:
         self.spark.sql(f"ALTER TABLE {self.full_name(name)} SET TBLPROPERTIES ('{key}' = '{value}')")
 
+    def _overwrite_partitions(self, name: str, df: DataFrame) -> None:
+        """Replace the partitions present in ``df`` and leave the others."""
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        earlier = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            df.write.mode("overwrite").insertInto(self.full_name(name))
+        finally:
+            self.spark.conf.set(mode, earlier)
+
     def _frame(self, data: DataFrame | str, types: Mapping[str, str] | None) -> DataFrame:
         if isinstance(data, str):
             csv = data.endswith(".csv")
