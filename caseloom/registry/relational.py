@@ -209,18 +209,21 @@ def grand_total(t: Tables):
     return t("lineitem").agg(F.round(F.sum("l_extendedprice"), 2).alias("total"))
 
 
+# Means are taken over whole cents: their sums are exact in any order.
+CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
+
+
 @query(
     "conditional_mean",
-    """SELECT round(avg(o_totalprice), 4) AS mean, round(avg(o_totalprice) FILTER (o_orderdate <= TIMESTAMP '1998-01-01'), 4) AS before,
-    round(avg(o_totalprice) FILTER (o_orderdate > TIMESTAMP '1998-01-01' AND o_orderdate <= TIMESTAMP '1999-01-01'), 4) AS after FROM orders""",
+    f"""SELECT avg({CENTS}) AS mean, avg({CENTS}) FILTER (o_orderdate <= TIMESTAMP '1998-01-01') AS before,
+    avg({CENTS}) FILTER (o_orderdate > TIMESTAMP '1998-01-01' AND o_orderdate <= TIMESTAMP '1999-01-01') AS after FROM orders""",
 )
 def conditional_mean(t: Tables):
-    day = F.col("o_orderdate")
+    day, cents = F.col("o_orderdate"), F.expr(CENTS)
     cut, end = (F.lit(d).cast("timestamp_ntz") for d in ("1998-01-01", "1999-01-01"))
     return t("orders").agg(
-        F.round(F.avg("o_totalprice"), 4).alias("mean"),
-        F.round(F.avg(F.when(day <= cut, F.col("o_totalprice"))), 4).alias("before"),
-        F.round(F.avg(F.when((day > cut) & (day <= end), F.col("o_totalprice"))), 4).alias("after"),
+        F.avg(cents).alias("mean"), F.avg(F.when(day <= cut, cents)).alias("before"),
+        F.avg(F.when((day > cut) & (day <= end), cents)).alias("after"),
     )
 
 
@@ -238,10 +241,10 @@ def value_counts(t: Tables):
     return rel.value_counts(t("orders").select(F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority")), "priority")
 
 
-@query("weekofyear_mean", "SELECT o_orderpriority, week(o_orderdate) AS iso_week, round(avg(o_totalprice), 4) AS mean FROM orders GROUP BY 1, 2")
+@query("weekofyear_mean", f"SELECT o_orderpriority, week(o_orderdate) AS iso_week, avg({CENTS}) AS mean FROM orders GROUP BY 1, 2")
 def weekofyear_mean(t: Tables):
     week = F.weekofyear("o_orderdate").cast("bigint").alias("iso_week")
-    return t("orders").groupBy("o_orderpriority", week).agg(F.round(F.avg("o_totalprice"), 4).alias("mean"))
+    return t("orders").groupBy("o_orderpriority", week).agg(F.avg(F.expr(CENTS)).alias("mean"))
 
 
 @query(
