@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.operators.ordered import GROUP_ROWS, with_group_position, with_position
+from caseloom.session import materialize
 
 PART_EVENTS = 10_000
 
@@ -49,30 +50,45 @@ def ordered_text(df: DataFrame, keys: Sequence[str], position: str, text: Column
     return grouped.select(*keys, "part", F.array_join(F.col("__cells.t"), sep).alias(name))
 
 
-def case_variants(log: EventLog, sep: str = " > ", part_events: int = PART_EVENTS, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """The ordered activities of each case; cases longer than ``part_events`` take several parts."""
-    ordered = event_order(log, "__pos", group_rows)
-    return ordered_text(ordered, log.case_columns, "__pos", F.col(log.activity), sep, part_events, "variant")
+def _narrow_order(log: EventLog, group_rows: int) -> DataFrame:
+    """Case, position and activity of every event, written once for the passes that follow."""
+    ordered = event_order(log, "__pos", group_rows).select(*log.case_columns, "__pos", F.col(log.activity).alias("__act"))
+    return materialize(ordered, "order")
+
 
+def _texts(ordered: DataFrame, cases: Sequence[str], sep: str, part_events: int) -> DataFrame:
+    return ordered_text(ordered, cases, "__pos", F.col("__act"), sep, part_events, "variant")
 
-def variant_keys(log: EventLog, group_rows: int = GROUP_ROWS) -> DataFrame:
+
+def _identities(ordered: DataFrame, cases: Sequence[str]) -> DataFrame:
     """Length and two 64-bit order-sensitive hashes per case: equal for equal activity sequences."""
-    ordered = event_order(log, "__pos", group_rows)
-    return ordered.groupBy(*log.case_columns).agg(
+    return ordered.groupBy(*cases).agg(
         F.count(F.lit(1)).alias("n_events"),
-        F.bit_xor(F.xxhash64("__pos", log.activity)).alias("__h1"),
-        F.bit_xor(F.xxhash64(log.activity, "__pos", F.lit("second"))).alias("__h2"),
+        F.bit_xor(F.xxhash64("__pos", "__act")).alias("__h1"),
+        F.bit_xor(F.xxhash64("__act", "__pos", F.lit("second"))).alias("__h2"),
     )
 
 
+IDENTITY = ("n_events", "__h1", "__h2")
+
+
+def case_variants(log: EventLog, sep: str = " > ", part_events: int = PART_EVENTS, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """The ordered activities of each case; cases longer than ``part_events`` take several parts."""
+    ordered = event_order(log, "__pos", group_rows).withColumn("__act", F.col(log.activity))
+    return _texts(ordered, log.case_columns, sep, part_events)
+
+
 def variant_counts(log: EventLog, sep: str = " > ", part_events: int = PART_EVENTS, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Cases per variant, most frequent first, with the variant's text taken from one of its cases."""
-    case = F.struct(*log.case_columns)
-    counted = variant_keys(log, group_rows).groupBy("n_events", "__h1", "__h2").agg(
-        F.count(F.lit(1)).alias("n_cases"), F.min(case).alias("__case")
+    """Cases per variant, most frequent first, with the variant's text taken from one of its cases.
+
+    Only the texts of these cases are built.
+    """
+    ordered = _narrow_order(log, group_rows)
+    counted = _identities(ordered, log.case_columns).groupBy(*IDENTITY).agg(
+        F.count(F.lit(1)).alias("n_cases"), F.min(F.struct(*log.case_columns)).alias("__case")
     )
     chosen = counted.select("n_events", "n_cases", "__case.*")
-    texts = case_variants(EventLog(_only_cases(log, chosen), log.case, log.activity, log.ts, log.sort), sep, part_events, group_rows)
+    texts = _texts(ordered.join(chosen, log.case_columns, "left_semi"), log.case_columns, sep, part_events)
     return texts.join(chosen, log.case_columns).select("variant", "part", "n_events", "n_cases").orderBy(
         F.desc("n_cases"), "variant", "part"
     )
@@ -83,18 +99,14 @@ def variant_codes(log: EventLog, name: str = "variant_code", part_events: int =
 
     Variants are told apart by their whole sequence; only the sort order of very long ones rests on their first part.
     """
-    identity = ["n_events", "__h1", "__h2"]
-    cases = variant_keys(log, group_rows)
-    chosen = cases.groupBy(*identity).agg(F.min(F.struct(*log.case_columns)).alias("__case")).select(*identity, "__case.*")
-    sample = EventLog(_only_cases(log, chosen), log.case, log.activity, log.ts, log.sort)
-    starts = case_variants(sample, part_events=part_events, group_rows=group_rows).where("part = 0")
-    named = starts.join(chosen, log.case_columns).select("variant", *identity)
-    codes = with_position(named, ["variant", *identity], name).select(*identity, name)
-    return cases.join(codes, identity).select(*log.case_columns, name)
-
-
-def _only_cases(log: EventLog, cases: DataFrame) -> DataFrame:
-    return log.df.join(cases.select(*log.case_columns), log.case_columns, "left_semi")
+    ordered = _narrow_order(log, group_rows)
+    cases = _identities(ordered, log.case_columns)
+    chosen = cases.groupBy(*IDENTITY).agg(F.min(F.struct(*log.case_columns)).alias("__case")).select(*IDENTITY, "__case.*")
+    first_parts = ordered.where(F.col("__pos") <= part_events).join(chosen, log.case_columns, "left_semi")
+    starts = _texts(first_parts, log.case_columns, " > ", part_events)
+    named = starts.join(chosen, log.case_columns).select("variant", *IDENTITY)
+    codes = with_position(named, ["variant", *IDENTITY], name).select(*IDENTITY, name)
+    return cases.join(codes, list(IDENTITY)).select(*log.case_columns, name)
 
 
 def throughput_days(log: EventLog, name: str = "throughput_days") -> DataFrame:

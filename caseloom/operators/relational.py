@@ -20,10 +20,15 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
-def enrich_left(df: DataFrame, other: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """Add columns of ``other`` by key, keeping every row of ``df`` once; repeated right keys are an error."""
+def enrich_left(
+    df: DataFrame, other: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None, known_unique: bool = False
+) -> DataFrame:
+    """Add columns of ``other`` by key, keeping every row of ``df`` once; repeated right keys are an error.
+
+    ``known_unique`` skips the pass that checks the right keys.
+    """
     chosen = other if columns is None else other.select(*keys, *columns)
-    return df.join(require_unique(chosen, keys), list(keys), "left")
+    return df.join(chosen if known_unique else require_unique(chosen, keys), list(keys), "left")
 
 
 def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

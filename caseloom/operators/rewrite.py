@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.strings import occurrences, safe_identifier
 from caseloom.operators.events import ordered_text
-from caseloom.session import broadcast_if_small
+from caseloom.session import broadcast_if_small, materialize
 
 # Rules that may travel as one array; every text is folded over all of them.
 MAX_RULES = 10_000
@@ -71,6 +71,7 @@ def rename_references(
     """
     rules = names.select(F.col(name).alias("old"), safe_identifier(name).alias("new")).where("old <> new and old <> ''").distinct()
     ranked = rules.select(F.struct((-F.length("old")).alias("size"), F.col("old")).alias("rank"), "old", "new")
+    ranked = materialize(ranked, "names")
     if ranked.count() <= max_listed:
         return replace_by_table(formulas, [template], ranked).select(key, template)
     text = F.col(template)
@@ -128,7 +129,7 @@ def rewrite_with_alias(
     group of ``member``. The aliases of a script are one small set taken from its text.
     """
     sets = known.groupBy(key).agg(F.collect_set("alias").alias("__aliases"))
-    joined = lines.join(broadcast_if_small(sets), key, "left")
+    joined = lines.join(broadcast_if_small(materialize(sets, "aliases")), key, "left")
     quoted = F.transform("__aliases", lambda a: F.concat(F.lit(r"\Q"), a, F.lit(r"\E")))
     either = F.coalesce(F.array_join(quoted, "|"), F.lit(r"[^\s\S]"))
     bound = F.concat(F.lit(r"(?<!\S)("), either, F.lit(")"), F.lit(member))

@@ -23,7 +23,10 @@ def grid_sum(df: DataFrame, series: Sequence[str], date: Column, value: Column,
 
 
 def fill_weeks(df: DataFrame, series: str, date: str, values: Sequence[str], end: Column) -> DataFrame:
-    """Weekly grid from each series' first date to ``end``; absent weeks are 0, rows off the grid are dropped."""
+    """Weekly grid from each series' first date to ``end``; absent weeks are 0, rows off the grid are dropped.
+
+    The frame is read twice (first dates, values): materialise it when it is costly to compute.
+    """
     span = df.groupBy(series).agg(F.min(date).alias("__start")).where(F.col("__start") <= end)
     grid = span.select(series, F.explode(F.sequence("__start", end, F.expr("interval 7 days"))).alias(date))
     found = df.select(series, date, *values, F.lit(True).alias("__found"))
@@ -65,26 +68,37 @@ def regressor(
     return smooth.select(date, F.col("__smooth").alias(name))
 
 
-def adjust_baseline(df: DataFrame, series: str, date: str, value: str, change: Column, end: Column) -> DataFrame:
-    """Lift rows up to ``change`` by (mean of (change, end] minus mean up to change) of their series."""
+def adjust_baseline(
+    df: DataFrame, series: str, date: str, value: str, change: Column, end: Column, only: Sequence[str] | None = None
+) -> DataFrame:
+    """Lift rows up to ``change`` by (mean of (change, end] minus mean up to change) of their series.
+
+    ``only`` names the series to lift (default: all).
+    """
     window = Window.partitionBy(series)
     before = F.avg(F.when(F.col(date) <= change, F.col(value))).over(window)
     after = F.avg(F.when((F.col(date) > change) & (F.col(date) <= end), F.col(value))).over(window)
-    return df.withColumn(value, F.when(F.col(date) <= change, F.col(value) + (after - before)).otherwise(F.col(value)))
+    lifted = F.col(date) <= change
+    if only is not None:
+        lifted = lifted & F.col(series).isin(list(only))
+    return df.withColumn(value, F.when(lifted, F.col(value) + (after - before)).otherwise(F.col(value)))
 
 
 def trend(df: DataFrame, series: str, date: str, value: str, season: int = 52, center: bool = False, name: str = "trend") -> DataFrame:
     return rolling_mean(df, value, date, season, [series], center=center, name=name, bounded=True)
 
 
-def add_regressor(df: DataFrame, series: str, date: str, external: DataFrame, shift_days: int | None = None) -> DataFrame:
+def add_regressor(
+    df: DataFrame, series: str, date: str, external: DataFrame, shift_days: int | None = None, members: DataFrame | None = None
+) -> DataFrame:
     """Outer union of each series with the external weeks; shared columns keep the series' value.
 
-    The external frame has one row per week, so it travels as one array bounded by the calendar.
+    The external frame has one row per week, so it travels as one array bounded by the calendar. ``members`` lists the
+    series when that is cheaper to read elsewhere than from ``df``.
     """
     weeks = external if shift_days is None else external.withColumn(date, add_days(date, shift_days))
     calendar = weeks.agg(F.collect_list(F.struct(*weeks.columns))).scalar()
-    per_series = df.select(series).distinct().select(series, F.inline(calendar))
+    per_series = (df if members is None else members).select(series).distinct().select(series, F.inline(calendar))
     return combine_first(df, per_series, [series, date])
 
 

@@ -37,14 +37,14 @@ def decompose(
 
     ``lifted`` names the series whose level changed at ``change`` and is to be adjusted.
     """
-    clean = ts.fill_weeks(df, series, date, [value], end)
+    grid = materialize(df, "grid")  # the raw table is read once
+    clean = ts.fill_weeks(grid, series, date, [value], end)
     if cap is not None:
         clean = cap_outliers(clean, value, cap)
     if lifted:
-        moved = ts.adjust_baseline(clean.where(F.col(series).isin(list(lifted))), series, date, value, change, change_end)
-        clean = moved.unionByName(clean.where(~F.col(series).isin(list(lifted))))
+        clean = ts.adjust_baseline(clean, series, date, value, change, change_end, only=lifted)
     with_trend = ts.trend(clean, series, date, value, season)
-    combined = ts.add_regressor(with_trend, series, date, external.select(date, exo), shift_days)
+    combined = ts.add_regressor(with_trend, series, date, external.select(date, exo), shift_days, members=grid)
     fitted = ts.trend_regression(combined, series, date, "trend", exo, val_share)
     seasonal = ts.seasonality(fitted, series, date, value, "trend", smooth)
     return ts.residual(seasonal, value, "trend", "seasonality")

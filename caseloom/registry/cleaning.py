@@ -260,7 +260,7 @@ def literal_replace(t: Tables):
 )
 def clean_text(t: Tables):
     quoted = F.replace("text", F.lit(" the "), F.lit(" 'the' "))
-    return t("documents").select("doc_id", text.clean_text(quoted).alias("cleaned"))
+    return t.texts().select("doc_id", text.clean_text(quoted).alias("cleaned"))
 
 
 @query(

@@ -14,7 +14,7 @@ from caseloom.session import materialize
 
 
 def _log(t: Tables) -> EventLog:
-    p = t.model().process
+    p = t.model("events").process
     return EventLog(t(p.activity_table), p.case_column, p.activity_column, p.timestamp_column, p.sorting_column)
 
 
@@ -90,7 +90,7 @@ def dictionary_replace(t: Tables):
     SELECT 'text', 'thee re', CAST(sum((length(c) - length(replace(c, 'thee re', ''))) // 7) AS BIGINT) FROM s""",
 )
 def replacement_counts(t: Tables):
-    return rewrite.replacement_counts(t("documents"), ["text"], RULES)
+    return rewrite.replacement_counts(t.texts(), ["text"], RULES)
 
 
 @query(
@@ -140,5 +140,5 @@ def param_ids(t: Tables):
     (SELECT doc_id, CAST(i AS INTEGER) AS line_no, lines[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents), range(1, len(lines) + 1) r(i))))""",
 )
 def rewrite_lines(t: Tables):
-    lines = rewrite.script_lines(t("documents"), "doc_id", "text")
+    lines = rewrite.script_lines(t.texts(), "doc_id", "text")
     return rewrite.rewrite_lines(lines, [("([a-z]+)ing", "$1ed"), (r"\bof the\b", "of")])

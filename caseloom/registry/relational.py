@@ -35,7 +35,7 @@ def daily_quantity_per_region(t: Tables):
     "SELECT max(l_extendedprice) AS max_price, count(l_partkey) AS n_parts FROM lineitem WHERE l_quantity < 5 AND l_quantity > 3",
 )
 def model_agg_filtered(t: Tables):
-    return t.model().query(
+    return t.model("lineitem").query(
         measures={"max_price": "max(l_extendedprice)", "n_parts": "count(l_partkey)"}, where=["l_quantity < 5", "l_quantity > 3"]
     ).to_df()
 
@@ -63,7 +63,7 @@ def model_query_fk(t: Tables):
     WHERE o_totalprice IS NOT NULL AND o_orderdate > TIMESTAMP '1996-08-17' GROUP BY 1, 2""",
 )
 def model_query_grouped(t: Tables):
-    return t.model().query(
+    return t.model("orders", "customer").query(
         dims={"priority": "orders.o_orderpriority", "segment": "customer.c_mktsegment"},
         measures={"n_orders": "count(orders.o_orderkey)", "total": "round(sum(orders.o_totalprice), 2)"},
         where=["orders.o_totalprice IS NOT NULL", "orders.o_orderdate > to_timestamp_ntz('1996-08-17 00:00:00', 'yyyy-MM-dd HH:mm:ss')"],
@@ -75,7 +75,7 @@ def model_query_grouped(t: Tables):
     """SELECT DISTINCT o_custkey AS customer, o_orderstatus AS status FROM orders ORDER BY customer DESC, status LIMIT 50 OFFSET 20""",
 )
 def model_query_page(t: Tables):
-    return t.model().query(
+    return t.model("orders").query(
         dims={"customer": "orders.o_custkey", "status": "orders.o_orderstatus"},
         order=[("customer", "desc"), ("status", "asc")], distinct=True, limit=50, offset=20,
     ).to_df()

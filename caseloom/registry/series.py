@@ -217,7 +217,7 @@ def ts_adf(t: Tables):
 
 @query("ts_walk_forward")
 def ts_walk_forward(t: Tables):
-    return arma.walk_forward(materialize(_weekly(t), "weekly"), "series", "week", "y", clamp=True)
+    return arma.walk_forward(_weekly(t), "series", "week", "y", clamp=True)
 
 
 @query("ts_forecast")
@@ -256,7 +256,7 @@ def future_dates(t: Tables):
 
 
 def _components(t: Tables):
-    daily = _daily(t)
+    daily = materialize(_daily(t), "daily")
     return additive.components(additive.future_dates(daily, "series", "ds", 365), additive.fit(daily, "series", "ds", "y"), "series", "ds")
 
 

@@ -23,7 +23,7 @@ from caseloom.streaming.ingest import append_batches, drain, once_per_key, tail_
 
 @query("scan_table", "SELECT * FROM region")
 def scan_table(t: Tables):
-    return t.model().table("region")
+    return t.model("region").table("region")
 
 
 CUSTOMER_CSV = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -58,7 +58,7 @@ SAVED_SQL = """SELECT c_name AS customer, n_name AS nation, c_acctbal AS balance
 
 
 def _save_balances(t: Tables):
-    model = t.model()
+    model = t.model("customer", "nation")
     saved = model.query(
         dims={"customer": "customer.c_name", "nation": "nation.n_name", "balance": "customer.c_acctbal"},
         where=["customer.c_acctbal > 0"],

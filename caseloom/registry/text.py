@@ -19,7 +19,7 @@ TOKENS_SQL = f"""k AS (SELECT doc_id, unnest(list_filter(regexp_extract_all(tran
 
 @query("tokenize", f"WITH {TOKENS_SQL} SELECT doc_id, token, count(*) AS n FROM k GROUP BY 1, 2")
 def tokenize_query(t: Tables):
-    words = t("documents").select("doc_id", F.explode(tokenize("text")).alias("token"))
+    words = t.texts().select("doc_id", F.explode(tokenize("text")).alias("token"))
     return words.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -42,7 +42,7 @@ _LEXICON = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in LEXICON)
 )
 def lemmatize_lookup(t: Tables):
     lexicon = t.spark.createDataFrame(LEXICON, "form string, lemma string, pos string")
-    tokens = t("documents").select("doc_id", tokenize("text").alias("tokens"))
+    tokens = t.texts().select("doc_id", tokenize("text").alias("tokens"))
     lemmas = topics.lemmatize(tokens, "doc_id", "tokens", lexicon)
     return lemmas.select("doc_id", F.array_join("lemmas", " ").alias("lemmas"))
 
@@ -53,7 +53,7 @@ TERMS_SQL = f"""k AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-
 
 
 def _term_counts(t: Tables):
-    return topics.term_counts(t("documents").select("doc_id", terms("text", STOP_WORDS).alias("terms")), "doc_id", "terms")
+    return topics.term_counts(t.texts().select("doc_id", terms("text", STOP_WORDS).alias("terms")), "doc_id", "terms")
 
 
 @query("doc_term_counts", f"WITH {TERMS_SQL} SELECT doc_id, term, n FROM m")
@@ -95,7 +95,7 @@ def topic_distribution(t: Tables):
 
 def _vectors(t: Tables):
     """Term counts of all documents, written once because every fit reads them several times."""
-    texts = spread_narrow(t("documents").select("doc_id", "text"), "doc_id")
+    texts = spread_narrow(t("documents").select("doc_id", "text"), "doc_id", sort=True)
     documents = materialize(texts.select("doc_id", terms(clean_text("text"), STOP_WORDS).alias("terms")), "terms")
     vocabulary, vectors = topics.vectorize(documents, "terms")
     return vocabulary.vocabulary, materialize(vectors.select("doc_id", "counts"), "vectors")

@@ -67,11 +67,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def spread_narrow(df: DataFrame, key: str) -> DataFrame:
+def spread_narrow(df: DataFrame, key: str, sort: bool = False) -> DataFrame:
     """Repartition a frame that comes straight from files to the cluster's cores if it has fewer partitions.
 
-    For compute-heavy passes over small inputs; large inputs keep their splits. Rows are placed by key and sorted, so
-    that seeded algorithms see the same partitions every time.
+    For compute-heavy passes over inputs with few row groups; large inputs keep their splits and are not shuffled.
+    ``sort`` fixes the row order in the partitions, so that seeded algorithms see the same partitions every time.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key).sortWithinPartitions(key) if df.rdd.getNumPartitions() < cores else df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    spread = df.repartition(cores, key)
+    return spread.sortWithinPartitions(key) if sort else spread
