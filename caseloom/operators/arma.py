@@ -169,47 +169,78 @@ def walk_forward(
     return told
 
 
-def forecast(
-    df: DataFrame, series: str, date: str, value: str, steps: int = 5, p: int = 3, q: int = 3, step_days: int = 7,
-    confidence_z: float = 1.959963984540054, exo: list[str] | None = None, future_exo: DataFrame | None = None,
+MODEL_SCHEMA = (
+    "struct<mean:double,const:double,ar:array<double>,ma:array<double>,exo:array<double>,sigma2:double,"
+    "x:array<double>,shocks:array<double>>"
+)
+
+
+def fit_models(
+    df: DataFrame, series: str, date: str, value: str, p: int = 3, q: int = 3, exo: list[str] | None = None
+) -> DataFrame:
+    """One fitted model per series: coefficients, the values and shocks a forecast starts from, the last date.
+
+    The table can be stored and used later. A series too short for the order has a null model.
+    """
+    names = exo or []
+
+    @F.pandas_udf(MODEL_SCHEMA)
+    def fit(ys: pd.Series, xs: pd.Series) -> pd.DataFrame:
+        def one(y, x):
+            found = fit_arma(np.asarray(y, dtype=float), p, q, _matrix(x, len(y)) if names else None)
+            if found is None:
+                return dict.fromkeys(("mean", "const", "ar", "ma", "exo", "sigma2", "x", "shocks"))
+            tails = {k: found[k][-n:].tolist() if n else [] for k, n in (("x", p), ("shocks", q))}
+            return {k: v.tolist() if isinstance(v, np.ndarray) else float(v) for k, v in found.items()} | tails
+
+        return pd.DataFrame([one(*row) for row in zip(ys, xs)])
+
+    arrays = as_arrays(df, series, date, value, names).repartition(series)
+    fitted = arrays.select(series, F.element_at("ds", -1).alias("last_date"), fit("ys", "xs").alias("model"))
+    return fitted.withColumn("model", F.when(F.col("model.sigma2").isNotNull(), F.col("model")))
+
+
+def forecast_models(
+    models: DataFrame, series: str, date: str, steps: int = 5, step_days: int = 7, confidence_z: float = 1.959963984540054,
+    exo: list[str] | None = None, future_exo: DataFrame | None = None,
 ) -> DataFrame:
-    """``steps`` forecasts per series with confidence bounds, dated +1..+steps grid steps after the last value.
+    """``steps`` forecasts per fitted series with confidence bounds, dated +1..+steps grid steps after its last value.
 
     ``future_exo`` holds the regressor columns for the forecast dates of each series.
     """
     names = exo or []
-    arrays = as_arrays(df, series, date, value, names)
+    known = models.where(F.col("model").isNotNull())
     if names:
         ahead = as_arrays(future_exo.withColumn("__y", F.lit(0.0)), series, date, "__y", names)
-        arrays = arrays.join(ahead.select(series, F.col("xs").alias("fx")), series, "left")
+        known = known.join(ahead.where(F.size("xs") >= steps).select(series, F.col("xs").alias("__fx")), series)
     else:
-        arrays = arrays.withColumn("fx", F.lit(None).cast("array<array<double>>"))
+        known = known.withColumn("__fx", F.lit(None).cast("array<array<double>>"))
 
     @F.pandas_udf("array<struct<predicted:double,error:double>>")
-    def predict(ys: pd.Series, xs: pd.Series, fx: pd.Series) -> pd.Series:
-        def one(y, x, f):
-            fit = fit_arma(np.asarray(y, dtype=float), p, q, _matrix(x, len(y)) if names else None)
-            known = 0 if f is None else len(f)
-            if fit is None or (names and known < steps):
-                return None
+    def predict(model: pd.DataFrame, fx: pd.Series) -> pd.Series:
+        def one(fit, f):
             values, errors = forecast_arma(fit, steps, _matrix(f, steps) if names else None)
             return [{"predicted": float(v), "error": float(e)} for v, e in zip(values, errors)]
 
-        return pd.Series([one(*row) for row in zip(ys, xs, fx)])
+        return pd.Series([one(*row) for row in zip(model.to_dict("records"), fx)])
 
-    told = arrays.repartition(series).select(
-        series, F.element_at("ds", -1).alias("__last"), F.posexplode(predict("ys", "xs", "fx")).alias("__i", "__f")
-    )
+    told = known.select(series, "last_date", F.posexplode(predict("model", "__fx")).alias("__i", "__f"))
     margin = F.col("__f.error") * confidence_z
     return told.select(
         series,
-        (F.col("__last") + F.make_dt_interval(days=(F.col("__i") + 1) * step_days)).alias(date),
+        (F.col("last_date") + F.make_dt_interval(days=(F.col("__i") + 1) * step_days)).alias(date),
         F.col("__f.predicted").alias("predicted"),
         (F.col("__f.predicted") - margin).alias("conf_lower"),
         (F.col("__f.predicted") + margin).alias("conf_upper"),
     )
 
 
+def forecast(df: DataFrame, series: str, date: str, value: str, steps: int = 5, p: int = 3, q: int = 3, **options) -> DataFrame:
+    """Fit and forecast in one go; ``options`` as for ``forecast_models``."""
+    models = fit_models(df, series, date, value, p, q, options.get("exo"))
+    return forecast_models(models, series, date, steps, **options)
+
+
 def classified(df: DataFrame, series: str, date: str, value: str, val_share: float = 0.2, steps: int = 5, p: int = 3,
                q: int = 3, clamp: bool = False) -> DataFrame:
     """Train, test and forecast rows of each series in one table."""

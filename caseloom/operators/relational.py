@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from caseloom.operators.ordered import with_position
+from caseloom.operators.ordered import with_group_position, with_position
 from caseloom.session import broadcast_if_small, materialize
 
+# Default limit up to which Spark filters ranks per group before the shuffle.
+LIMITED_BEFORE_SHUFFLE = 1_000
+
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The frame itself, after a check that no key repeats."""
@@ -130,7 +133,13 @@ def mean_squared_error(df: DataFrame, truth: str, prediction: str) -> DataFrame:
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
-    """First n rows per group; Spark limits each group before the shuffle, so hot groups stay small."""
+    """First n rows per group.
+
+    For a small n Spark limits each group before the shuffle, so hot groups stay small; a large n takes the
+    size-checked positions instead.
+    """
+    if n > LIMITED_BEFORE_SHUFFLE:
+        return with_group_position(df, keys, order_by, rank).where(F.col(rank) <= n)
     window = Window.partitionBy(*keys).orderBy(*order_by)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 

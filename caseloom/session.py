@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +63,20 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder or file on local disk, HDFS or an object store."""
+    if "://" in uri:
+        return fs.FileSystem.from_uri(uri)
+    return fs.LocalFileSystem(), uri.removeprefix("file:")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application materialised, once no frame that reads it is needed any more."""
+    store, path = open_store(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    if store.get_file_info(path).type == fs.FileType.Directory:
+        store.delete_dir(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when a count proves the side small; otherwise the join stays a shuffle join."""
     return F.broadcast(df) if df.count() <= max_rows else df

@@ -16,11 +16,12 @@ from pyspark.sql.datasource import (
     SimpleDataSourceStreamReader,
 )
 
+from caseloom.session import open_store
+
 
 def read_pages(folder: str, name: str) -> list[str]:
     """Text of the files ``folder/name`` (a file or a folder of part files); empty if it does not exist."""
-    uri = f"{folder.rstrip('/')}/{name}"
-    store, path = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri.removeprefix("file:"))
+    store, path = open_store(f"{folder.rstrip('/')}/{name}")
     info = store.get_file_info(path)
     if info.type == fs.FileType.Directory:
         found = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.base_name.startswith("part-"))

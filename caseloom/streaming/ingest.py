@@ -39,10 +39,13 @@ def once_per_key(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) ->
 
 def upsert_batches(
     stream: DataFrame, store: TableStore, table: str, keys: Sequence[str], checkpoint: str,
-    order_by: Sequence[Column] | None = None,
+    order_by: Sequence[Column] | None = None, partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Upsert each micro-batch into a table of the store until the source is drained.
 
+    A large table should be partitioned by key columns (``partition_by``): a batch then rewrites only the partitions
+    it touches, otherwise the table.
+
     A batch that this checkpoint already applied is skipped by its number; applying one twice would not change the
     table either.
     """
@@ -52,7 +55,7 @@ def upsert_batches(
         here = TableStore(batch.sparkSession, store.database, store.root)
         if not here.exists(table):
             first = batch if order_by is None else _latest(batch, keys, order_by)
-            here.create(table, first, primary_keys=keys)
+            here.create(table, first, primary_keys=keys, partition_by=partition_by)
         elif int(here.properties(table).get(marker, "-1")) >= batch_id:
             return
         else:

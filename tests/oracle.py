@@ -47,11 +47,16 @@ def rows_of(names: list[str], rows) -> list[str]:
     return sorted(repr([plain(row[i]) for i in order]) for row in rows)
 
 
+# Plan nodes that a query with an SQL counterpart must not need.
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
+
+
 def compare(spark, con, query, sql: str, folder: str) -> list[str]:
     """Differences in columns, types, row count and values."""
     df = query(spark, folder)
     relation = con.sql(sql)
-    problems = []
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    problems = [f"plan has {node}" for node in UNWANTED if node in plan]
     ours = {f.name: duck_type(f.dataType.simpleString()) for f in df.schema}
     theirs = {name: str(kind) for name, kind in zip(relation.columns, relation.types)}
     if ours != theirs:

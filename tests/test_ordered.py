@@ -6,6 +6,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from caseloom.operators import ordered
+from caseloom.operators.relational import top_n
+from caseloom.session import clear_scratch, materialize, shared_dir
 
 
 @pytest.fixture(scope="module")
@@ -82,3 +84,17 @@ def test_zip_keeps_the_longer_side(spark):
 def test_order_is_required(skewed):
     with pytest.raises(ValueError):
         ordered.with_position(skewed, [])
+
+
+def test_top_n_limits_groups_before_the_shuffle(skewed):
+    few = top_n(skewed, ["key"], [F.desc("at")], 2)
+    assert "WindowGroupLimit" in few._jdf.queryExecution().executedPlan().toString()
+    many = top_n(skewed, ["key"], [F.desc("at")], 1_001).where("rank <= 2")
+    assert rows(few.select("at", "rank")) == rows(many.select("at", "rank"))
+
+
+def test_scratch_can_be_cleared(spark):
+    kept = materialize(spark.range(5))
+    assert kept.count() == 5 and shared_dir(spark)
+    clear_scratch(spark)
+    assert materialize(spark.range(3)).count() == 3

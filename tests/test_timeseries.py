@@ -205,6 +205,27 @@ def test_classified_rows(spark):
     assert all(r.conf_lower < r.predicted < r.conf_upper for r in ahead)
 
 
+def test_stored_models_forecast_like_fresh_ones(spark, tmp_path):
+    df = weekly(spark, arma_path((0.5,), (0.3,), n=150))
+    path = str(tmp_path / "models")
+    arma.fit_models(df, "series", "week", "y", 2, 1).write.parquet(path)
+    stored = arma.forecast_models(spark.read.parquet(path), "series", "week", 4)
+    assert np.allclose(column(stored, "predicted"), arma.forecast_arma(arma.fit_arma(arma_path((0.5,), (0.3,), n=150), 2, 1), 4)[0])
+    assert rows(stored) == rows(arma.forecast(df, "series", "week", "y", 4, 2, 1))
+
+
+def test_forecast_with_future_regressor(spark):
+    rng = np.random.default_rng(9)
+    exo = rng.normal(size=204)
+    y = 5 * exo[:200] + rng.normal(scale=0.1, size=200)
+    df = weekly(spark, y)
+    frame = weekly(spark, exo).withColumnRenamed("y", "x")
+    known = df.join(frame, ["series", "week"])
+    later = frame.join(df, ["series", "week"], "left_anti")
+    got = column(arma.forecast(known, "series", "week", "y", 4, 1, 0, exo=["x"], future_exo=later), "predicted")
+    assert np.allclose(got, 5 * exo[200:], atol=0.5)
+
+
 # Additive model
 
 
