@@ -34,7 +34,7 @@ class TableStore:
 
     def __init__(self, spark: SparkSession, database: str, root: str):
         self.spark, self.database, self.root = spark, database, root.rstrip("/")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/{database}.db'")
 
     def full_name(self, name: str) -> str:
         return f"`{self.database}`.`{name}`"
