@@ -1,8 +1,8 @@
 """Order-dependent operators that never put a whole table or a hot group into one task.
 
 A window without keys, or with one key that holds a third of the rows, sends that many rows to a single task.
-The functions here take the plain window only after the largest group has been counted; beyond the limit they
-number rows with one range-partitioned sort and cut each group into overlapping blocks.
+The functions here count group sizes first. Ordinary groups take the plain window; the rows of hot groups are numbered
+with one range-partitioned sort and cut into overlapping blocks.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from caseloom.session import broadcast_if_small, materialize
+from caseloom.session import materialize
 
 # Largest group one task may sort; above it the blocked form is used.
 GROUP_ROWS = 2_000_000
@@ -32,9 +32,20 @@ def _sort_columns(order_by: str | Column | Order) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in items]
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the biggest key group (map-side combined count; one number reaches the driver)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+def split_hot(df: DataFrame, keys: Sequence[str], group_rows: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of ordinary groups and rows of groups larger than ``group_rows`` (None where there are none).
+
+    Sizes are counted with map-side combine. There are at most rows / ``group_rows`` hot keys, so their list can be
+    broadcast whatever the size of the table.
+    """
+    if not keys:
+        return (df, None) if df.count() <= group_rows else (None, df)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > group_rows)
+    hot = materialize(sizes.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(keys)]), "hot")
+    if hot.isEmpty():
+        return df, None
+    same = [df[k].eqNullSafe(hot[f"__hot{i}"]) for i, k in enumerate(keys)]
+    return df.join(F.broadcast(hot), same, "left_anti"), df.join(F.broadcast(hot), same, "left_semi")
 
 
 def with_position(df: DataFrame, order_by: str | Column | Order, name: str = "position") -> DataFrame:
@@ -61,6 +72,18 @@ def with_position(df: DataFrame, order_by: str | Column | Order, name: str = "po
     )
 
 
+def _hot_positions(hot: DataFrame, keys: Sequence[str], order: list[Column], name: str) -> DataFrame:
+    """1-based positions in hot groups: global positions minus the first one of the group."""
+    if not keys:
+        return with_position(hot, order, name).withColumn(name, F.col(name) + 1)
+    placed = with_position(hot, [*keys, *order], "__pos")
+    starts = placed.groupBy(*keys).agg(F.min("__pos").alias("__first"))
+    starts = starts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__first")
+    same = [placed[k].eqNullSafe(starts[f"__k{i}"]) for i, k in enumerate(keys)]
+    joined = placed.join(F.broadcast(starts), same)  # one row per hot key
+    return joined.select(*[placed[c] for c in hot.columns], (F.col("__pos") - F.col("__first") + 1).alias(name))
+
+
 def with_group_position(
     df: DataFrame,
     keys: Sequence[str],
@@ -69,18 +92,15 @@ def with_group_position(
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """1-based position inside each key group."""
-    if keys and largest_group(df, keys) <= group_rows:
-        window = Window.partitionBy(*keys).orderBy(*_sort_columns(order_by))
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-    if not keys:
-        return with_position(df, order_by, name).withColumn(name, F.col(name) + 1)
-    placed = with_position(df, [*keys, *_sort_columns(order_by)], "__pos")
-    starts = placed.groupBy(*keys).agg(F.min("__pos").alias("__first"))
-    starts = starts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__first")
-    first = broadcast_if_small(materialize(starts, "starts"))
-    same = [placed[k].eqNullSafe(first[f"__k{i}"]) for i, k in enumerate(keys)]
-    joined = placed.join(first, same)  # one row per key on the right: AQE can split a skewed left side
-    return joined.select(*[placed[c] for c in df.columns], (F.col("__pos") - F.col("__first") + 1).alias(name))
+    order = _sort_columns(order_by)
+    rest, hot = split_hot(df, keys, group_rows)
+    parts = []
+    if rest is not None:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        parts.append(rest.withColumn(name, F.row_number().over(window).cast("bigint")))
+    if hot is not None:
+        parts.append(_hot_positions(hot, keys, order, name))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def over_rows(
@@ -99,12 +119,23 @@ def over_rows(
     ``columns`` maps a name to a function of the ordered window. ``bounded=True`` says that the group size is
     limited by construction (one row per series and grid date), which skips the size check.
     """
-    if bounded or largest_group(df, keys) <= group_rows:
-        window = Window.partitionBy(*keys).orderBy(*_sort_columns(order_by))
-        return df.select("*", *[make(window).alias(name) for name, make in columns.items()])
-
-    block_rows = max(block_rows, before + after)
-    placed = with_group_position(df, keys, order_by, "__pos", group_rows=0).withColumn("__pos", F.col("__pos") - 1)
+    order = _sort_columns(order_by)
+    rest, hot = (df, None) if bounded else split_hot(df, keys, group_rows)
+    parts = []
+    if rest is not None:
+        window = Window.partitionBy(*keys).orderBy(*order)
+        parts.append(rest.select("*", *[make(window).alias(name) for name, make in columns.items()]))
+    if hot is not None:
+        parts.append(_over_blocks(hot, keys, order, columns, before, after, max(block_rows, before + after)))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _over_blocks(
+    hot: DataFrame, keys: Sequence[str], order: list[Column], columns: dict[str, Callable[[WindowSpec], Column]],
+    before: int, after: int, block_rows: int,
+) -> DataFrame:
+    """Window columns of hot groups, computed in blocks of positions with the overlap the frames need."""
+    placed = _hot_positions(hot, keys, order, "__pos").withColumn("__pos", F.col("__pos") - 1)
     own = F.floor(F.col("__pos") / block_rows)
     inside = F.col("__pos") - own * block_rows
     # Rows near a block edge are also copied to the neighbour that needs them in its frames.
@@ -120,7 +151,7 @@ def over_rows(
     return (
         copied.select("*", *[make(window).alias(name) for name, make in columns.items()])
         .where("__to.own")
-        .select(*[F.col(f"`{c}`") for c in df.columns], *columns)
+        .select(*[F.col(f"`{c}`") for c in hot.columns], *columns)
     )
 
 

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pandas as pd
 import pytest
@@ -98,3 +99,15 @@ def test_scratch_can_be_cleared(spark):
     assert kept.count() == 5 and shared_dir(spark)
     clear_scratch(spark)
     assert materialize(spark.range(3)).count() == 3
+
+
+def test_hot_group_is_spread_over_blocks(skewed):
+    """Only the hot key leaves the plain window, and its rows are shuffled by block as well as key."""
+    rest, hot = ordered.split_hot(skewed, ["key"], 900)
+    assert {r.key for r in hot.select("key").distinct().collect()} == {"hot"}
+    assert rest.count() + hot.count() == 3000
+    mixed = ordered.rolling_mean(skewed, "value", "at", 7, ["key"], min_periods=1, name="m", group_rows=900, block_rows=50)
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(key#\d+, __block#\d+", plan)
+    plain = ordered.rolling_mean(skewed, "value", "at", 7, ["key"], min_periods=1, name="m")
+    assert rows(mixed.select("at", F.round("m", 9))) == rows(plain.select("at", F.round("m", 9)))
