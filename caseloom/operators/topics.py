@@ -106,8 +106,9 @@ def topic_grid(
 
 
 def grid_summary(results: DataFrame, decays: Sequence[float]) -> DataFrame:
-    """Mean score per topic count, one column per decay."""
-    return results.groupBy("topics").pivot("decay", list(decays)).agg(F.round(F.avg("score"))).orderBy("topics")
+    """Mean score per topic count, one column per decay (``decay_0_7``)."""
+    wide = results.groupBy("topics").pivot("decay", list(decays)).agg(F.round(F.avg("score"))).orderBy("topics")
+    return wide.toDF("topics", *[f"decay_{d}".replace(".", "_") for d in decays])
 
 
 def best_setting(results: DataFrame) -> DataFrame:

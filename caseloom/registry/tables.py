@@ -117,9 +117,10 @@ def trailing_days_query(t: Tables):
     return trailing_days(t("events").select("event_id", "ts", "event_type"), "ts", "2024-01-20", 7)
 
 
-@query("json_flatten", """SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS "props.k" FROM events""")
+@query("json_flatten", """SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS props_k FROM events""")
 def json_flatten(t: Tables):
-    return flatten(parse_records(t("events").select("event_id", "props"), "props", "k int"))
+    flat = flatten(parse_records(t("events").select("event_id", "props"), "props", "k int"))
+    return flat.withColumnRenamed("props.k", "props_k")
 
 
 @query("csv_payload", "SELECT c_nationkey, c_custkey, c_acctbal, c_mktsegment FROM customer")

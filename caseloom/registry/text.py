@@ -73,9 +73,13 @@ def dtm_sparsity(t: Tables):
 WEIGHTS_SQL = "w AS (SELECT vec_id, list_transform(embedding, lambda x: round_even(CAST(x AS DOUBLE), 2)) AS ws FROM embeddings)"
 
 
-@query("dominant_topic", f"WITH {WEIGHTS_SQL} SELECT vec_id, ws AS weights, CAST(list_position(ws, list_max(ws)) - 1 AS BIGINT) AS dominant_topic FROM w")
+@query(
+    "dominant_topic",
+    f"""WITH {WEIGHTS_SQL} SELECT vec_id, CAST(i - 1 AS INTEGER) AS topic, ws[i] AS weight, CAST(list_position(ws, list_max(ws)) - 1 AS BIGINT) AS dominant_topic
+    FROM w, range(1, 65) r(i)""",
+)
 def dominant_topic(t: Tables):
-    return _dominant(t)
+    return _dominant(t).select("vec_id", F.posexplode("weights").alias("topic", "weight"), "dominant_topic")
 
 
 def _dominant(t: Tables):
@@ -109,7 +113,8 @@ def _topics(t: Tables, k: int = 10):
 @query("lda_topics")
 def lda_topics(t: Tables):
     _, vectors, model = _topics(t, 20)
-    return topics.topic_weights(model, vectors, ["doc_id"])
+    weights = topics.topic_weights(model, vectors, ["doc_id"])
+    return weights.select("doc_id", F.posexplode("topic_weights").alias("topic", "weight"))
 
 
 @query("lda_quality")

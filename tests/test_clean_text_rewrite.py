@@ -185,7 +185,7 @@ def test_topic_models_separate_two_vocabularies(spark):
     assert quality.log_likelihood < 0 and 1 < quality.perplexity < 20
     grid = topics.topic_grid(vectors, "k", (2, 3), (0.7,), folds=2, max_iter=3)
     assert grid.count() == 4
-    assert topics.grid_summary(grid, (0.7,)).columns == ["topics", "0.7"]
+    assert topics.grid_summary(grid, (0.7,)).columns == ["topics", "decay_0_7"]
     assert topics.best_setting(grid).count() == 1
 
 

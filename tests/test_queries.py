@@ -18,7 +18,7 @@ def con(folder):
 def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).count() > 0
-    assert len(contract.queries()) > 120
+    assert len(contract.queries()) > 150
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
