@@ -171,9 +171,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key:
             for name, value in zip(batch.column(0), batch.column(1)):
                 if writer is None:
                     path = f"{base}/part-{part:06d}-{len(done):04d}-{uuid.uuid4().hex}.tokens"
-                    writer = TokenWriter(store.open_output_stream(path), batch.schema.types[0])
+                    writer = TokenWriter(store.open_output_stream(path, compression=None), batch.schema.types[0])
                 writer.add(name.as_py(), encode(value.as_py()) + end)
-                if writer.written >= file_bytes:
+                if writer.written + writer.size >= file_bytes:
                     close()
                     writer = None
         if writer is not None:

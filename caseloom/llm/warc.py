@@ -64,6 +64,8 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
         if not colon:
             raise Damage("header line without colon")
         head[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+    if "warc-type" not in head or "warc-record-id" not in head:
+        raise Damage("no type or record id")
     try:
         size = int(head["content-length"])
     except (KeyError, ValueError):
@@ -192,7 +194,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, page_id: s
             for name, address, text, refers in zip(*(column.to_pylist() for column in batch.columns)):
                 if sink is None:
                     path, n, size = f"{base}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                    sink = store.open_output_stream(path)
+                    sink = store.open_output_stream(path, compression=None)
                 member = gzip_member(build_record(name, address, text.encode(), refers))
                 sink.write(member)
                 n, size = n + 1, size + len(member)
