@@ -75,3 +75,17 @@ def warc_query(spark, folder):
     base = scratch_path(spark, "warc")
     found = read_archives(write_archives(table(spark, folder, "pages"), base, min_bytes=0), base)
     return found.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_quality")
+def quality_query(spark, folder):
+    from caseloom.llm.quality import quality_scores
+
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op9_toxicity")
+def toxicity_query(spark, folder):
+    from caseloom.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
