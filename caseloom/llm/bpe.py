@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,9 @@ class PrefixBpe:
         self.split = regex.compile(pattern).findall if pattern else lambda text: [text]
         self.stable = Memo(lambda rank: self.merge(self.bytes_of[rank]) == [rank], 200_000)
         self.compatible = Memo(lambda pair: self.merge(self.bytes_of[pair[0]] + self.bytes_of[pair[1]]) == list(pair), 1_000_000)
-        self.words = Memo(self.encode_match, 200_000)
-        self.chunks = Memo(self._encode_chunk, 200_000)
+        self.words = Memo(self.encode_match, 300_000)
+        self.chunks = Memo(self._encode_chunk, 300_000)
+        self.table = PrefixTable(self)
 
     def merge(self, data: bytes) -> list[int]:
         """The merges themselves, lowest rank first: the definition that stability is checked against (short inputs only)."""
@@ -49,21 +51,13 @@ class PrefixBpe:
             parts[best : best + 2] = [parts[best] + parts[best + 1]]
         return [self.ranks[part] for part in parts]
 
-    def last_token(self, data: bytes, end: int, last: list[int]) -> int:
-        """The last token of the encoding of ``data[:end]``; ``last`` holds those of the shorter prefixes."""
-        ranks, compatible = self.ranks, self.compatible
-        for start in range(max(0, end - self.longest), end):
-            token = ranks.get(data[start:end])
-            if token is not None and self.stable[token] and (start == 0 or compatible[last[start - 1], token]):
-                return token
-        raise ValueError(f"byte {data[end - 1]} is not in the vocabulary")
-
     def encode_match(self, data: bytes) -> tuple[int, ...]:
         """Ids of one match. A match that is itself a token is that token."""
         whole = self.ranks.get(data)
         if whole is not None:
             return (whole,)
-        return tuple(PrefixTable(self, data).ids())
+        self.table.become(data)
+        return tuple(self.table.ids())
 
     def _encode_chunk(self, chunk: str) -> bytes:
         ids: list[int] = []
@@ -79,6 +73,14 @@ class PrefixBpe:
         chunks = self.chunks
         return chunks[first] + b"".join([chunks[" " + piece] for piece in rest])
 
+    def learn(self, texts: list[str | None]) -> None:
+        """Encode the matches of a batch that are not known yet in sorted order, so that each reuses the prefix of the one before."""
+        chunks = {" " + piece for text in texts if text for piece in pieces(text)}
+        fresh = [chunk for chunk in chunks if chunk not in self.chunks and chunk not in self.chunks.old]
+        matches = {match.encode("utf-8") for chunk in fresh for match in self.split(chunk)}
+        for match in sorted(matches):
+            self.words[match]
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -92,9 +94,28 @@ class PrefixTable:
 
     def append(self, more: bytes) -> None:
         """Add bytes at the end; the entries of all earlier prefixes stay."""
-        start, self.data = len(self.data), self.data + more
-        for end in range(start + 1, len(self.data) + 1):
-            self.last.append(self.bpe.last_token(self.data, end, self.last))
+        self.data += more
+        self._extend(len(self.data))
+
+    def _extend(self, stop: int) -> None:
+        """Fill the entries up to ``stop``: the one token that ends the prefix and fits the entry before it."""
+        ranks, stable, compatible, longest = self.bpe.ranks, self.bpe.stable, self.bpe.compatible, self.bpe.longest
+        data, last = self.data, self.last
+        for end in range(len(last) + 1, stop + 1):
+            for start in range(max(0, end - longest), end):
+                token = ranks.get(data[start:end])
+                if token is not None and stable[token] and (start == 0 or compatible[last[start - 1], token]):
+                    last.append(token)
+                    break
+            else:
+                raise ValueError(f"byte {data[end - 1]} is not in the vocabulary")
+
+    def become(self, data: bytes) -> None:
+        """Hold another string; the entries of the prefix it shares with the present one stay."""
+        keep = len(commonprefix((self.data, data)))
+        self.data = data
+        del self.last[keep:]
+        self._extend(len(data))
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
         """Put ``new`` in the place of bytes ``start`` to ``stop``; returns how many entries were made anew.
@@ -110,7 +131,7 @@ class PrefixTable:
             if agreeing >= self.bpe.longest:
                 self.last.extend(old_tail[end - 1 - shift :])
                 break
-            self.last.append(self.bpe.last_token(self.data, end, self.last))
+            self._extend(end)
             made += 1
             if end > shift:
                 agreeing = agreeing + 1 if self.last[-1] == old_tail[end - 1 - shift] else 0
@@ -148,9 +169,10 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocabulary, pattern)
         for batch in batches:
-            rows = []
-            for value in batch.column(1):
-                ids = bpe.encode(value.as_py())
+            rows, texts = [], batch.column(1).to_pylist()
+            bpe.learn(texts)
+            for value in texts:
+                ids = bpe.encode(value)
                 rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest(), ids))
             n, digest, decoded, ids = zip(*rows) if rows else ((), (), (), ())
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(decoded, pa.string())]

@@ -89,3 +89,17 @@ def toxicity_query(spark, folder):
     from caseloom.llm.toxicity import toxicity_scores
 
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op2_decontaminate")
+def decontaminate_query(spark, folder):
+    from caseloom.llm.decontaminate import contamination
+
+    return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("mark")
+
+
+@query("op3_ngram_jaccard")
+def ngram_jaccard_query(spark, folder):
+    from caseloom.llm.jaccard import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "n_equal")

@@ -14,16 +14,23 @@ EDGES = string.punctuation + "“”„‘’«»…–—¿¡·•"
 
 
 class Memo(dict):
-    """Values made on first use. Emptied when it holds ``limit`` entries, so its memory is bounded."""
+    """Values made on first use, in two generations of at most ``limit`` entries, so memory is bounded.
+
+    When the young generation is full it becomes the old one; what is used again moves back, so frequent keys stay.
+    """
 
     def __init__(self, make: Callable, limit: int = 300_000):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 

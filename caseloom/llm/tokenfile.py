@@ -12,6 +12,7 @@ File layout, readable by any zstandard decoder:
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -32,6 +33,9 @@ from caseloom.session import materialize, open_store, scratch_path
 # Fixed values of the seekable format.
 SKIPPABLE_INDEX, SKIPPABLE_TABLE, TABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1, 0x80
 
+# Tasks that read files at most.
+MAX_READERS = 10_000
+
 
 class TokenWriter:
     """Writes one file to an open binary stream."""
@@ -121,11 +125,34 @@ class PieceEncoder:
     """Ids of whole texts with the tokenizers library, each distinct piece encoded once while the memo holds it."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to other tasks
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        self.memo = Memo(lambda piece: np.array(tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes(), 250_000)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        # Tokens are spelled with one letter per byte.
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.sizes[list(vocabulary.values())] = [len(token) for token in vocabulary]
+        self.memo = Memo(lambda piece: self._ids(piece).tobytes(), 400_000)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn(self, texts: list[str | None], at_once: int = 2_000) -> None:
+        """Encode the pieces of a batch that are not known yet, many in one call.
+
+        Each begins with a space and a visible character, so their joined text is encoded piece by piece; the number of
+        bytes of the tokens tells where each piece ends.
+        """
+        known, old = self.memo, self.memo.old
+        found = {piece for text in texts if text for piece in pieces(text)[1:]}
+        fresh = [piece for piece in map(" ".__add__, found) if piece not in known and piece not in old]
+        for low in range(0, len(fresh), at_once):
+            part = fresh[low : low + at_once]
+            ids = self._ids("".join(part))
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(piece.encode()) for piece in part])) + 1
+            known.update(zip(part, [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]))
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
@@ -168,11 +195,13 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key:
             done.append((part, len(done), path, len(writer.keys), sum(writer.counts)))
 
         for batch in batches:
-            for name, value in zip(batch.column(0), batch.column(1)):
+            texts = batch.column(1).to_pylist()
+            encode.learn(texts)
+            for name, value in zip(batch.column(0).to_pylist(), texts):
                 if writer is None:
                     path = f"{base}/part-{part:06d}-{len(done):04d}-{uuid.uuid4().hex}.tokens"
                     writer = TokenWriter(store.open_output_stream(path, compression=None), batch.schema.types[0])
-                writer.add(name.as_py(), encode(value.as_py()) + end)
+                writer.add(name, encode(value) + end)
                 if writer.written + writer.size >= file_bytes:
                     close()
                     writer = None
@@ -215,7 +244,7 @@ def read_tokens(files: DataFrame, folder: str, key_type: str = "bigint", key: st
                             [key, "start", "n_tokens", "ids_crc32", "file_path"],
                         )
 
-    spread = files.select("path", "start").repartition("path")
+    spread = files.select("path", "start").repartition(max(1, min(files.count(), MAX_READERS)), "path")
     return spread.mapInArrow(read, schema)
 
 

@@ -18,6 +18,8 @@ from caseloom.session import materialize, open_store
 VERSION = b"WARC/1.1"
 GZIP = b"\x1f\x8b\x08"
 MAX_HEAD = 1 << 16
+# Tasks that read archives at most.
+MAX_READERS = 10_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -257,4 +259,4 @@ def read_archives(files: DataFrame, folder: str) -> DataFrame:
         if out:
             yield flush()
 
-    return files.select("path").repartition("path").mapInArrow(read, RECORD_SCHEMA)
+    return files.select("path").repartition(max(1, min(files.count(), MAX_READERS)), "path").mapInArrow(read, RECORD_SCHEMA)
