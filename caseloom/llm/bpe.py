@@ -38,7 +38,9 @@ class PrefixBpe:
         self.stable = Memo(lambda rank: self.merge(self.bytes_of[rank]) == [rank], 200_000)
         self.compatible = Memo(lambda pair: self.merge(self.bytes_of[pair[0]] + self.bytes_of[pair[1]]) == list(pair), 1_000_000)
         self.words = Memo(self.encode_match, 300_000)
-        self.chunks = Memo(self._encode_chunk, 300_000)
+        # Keys are pieces without the space before them; the first piece of a text has none.
+        self.chunks = Memo(lambda piece: self._encode_chunk(" " + piece), 300_000)
+        self.first = Memo(self._encode_chunk, 20_000)
         self.table = PrefixTable(self)
 
     def merge(self, data: bytes) -> list[int]:
@@ -67,19 +69,20 @@ class PrefixBpe:
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers (null: none)."""
-        if not text:
-            return b""
-        first, *rest = pieces(text)
-        chunks = self.chunks
-        return chunks[first] + b"".join([chunks[" " + piece] for piece in rest])
-
-    def learn(self, texts: list[str | None]) -> None:
-        """Encode the matches of a batch that are not known yet in sorted order, so that each reuses the prefix of the one before."""
-        chunks = {" " + piece for text in texts if text for piece in pieces(text)}
-        fresh = [chunk for chunk in chunks if chunk not in self.chunks and chunk not in self.chunks.old]
-        matches = {match.encode("utf-8") for chunk in fresh for match in self.split(chunk)}
-        for match in sorted(matches):
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of every text. Matches that are not known yet come in sorted order, so that each reuses the prefix of the one before."""
+        parts = [pieces(text) if text else None for text in texts]
+        found: set[str] = set()
+        for part in parts:
+            if part:
+                found.update(part[1:])
+        known, old = self.chunks, self.chunks.old
+        fresh = [piece for piece in found if piece not in known and piece not in old]
+        for match in sorted({match.encode("utf-8") for piece in fresh for match in self.split(" " + piece)}):
             self.words[match]
+        return [self.first[part[0]] + b"".join(map(known.__getitem__, part[1:])) if part else b"" for part in parts]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -169,10 +172,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str =
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(vocabulary, pattern)
         for batch in batches:
-            rows, texts = [], batch.column(1).to_pylist()
-            bpe.learn(texts)
-            for value in texts:
-                ids = bpe.encode(value)
+            rows = []
+            for ids in bpe.encode_all(batch.column(1).to_pylist()):
                 rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest(), ids))
             n, digest, decoded, ids = zip(*rows) if rows else ((), (), (), ())
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(decoded, pa.string())]

@@ -103,3 +103,10 @@ def ngram_jaccard_query(spark, folder):
     from caseloom.llm.jaccard import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents")).select("doc_id", "class_id", "n_links", "n_equal")
+
+
+@query("op10_suffix_array")
+def suffix_array_query(spark, folder):
+    from caseloom.llm.suffix import removed_bytes
+
+    return removed_bytes(table(spark, folder, "documents"))

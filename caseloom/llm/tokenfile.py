@@ -134,32 +134,35 @@ class PieceEncoder:
         # Tokens are spelled with one letter per byte.
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.sizes[list(vocabulary.values())] = [len(token) for token in vocabulary]
-        self.memo = Memo(lambda piece: self._ids(piece).tobytes(), 400_000)
+        # Keys are pieces without the space before them; the first piece of a text has none.
+        self.memo = Memo(lambda piece: self._ids(" " + piece).tobytes(), 400_000)
+        self.first = Memo(lambda piece: self._ids(piece).tobytes(), 20_000)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def learn(self, texts: list[str | None], at_once: int = 2_000) -> None:
-        """Encode the pieces of a batch that are not known yet, many in one call.
+    def _learn(self, fresh: list[str], at_once: int = 2_000) -> None:
+        """Encode pieces that are not known yet, many in one call.
 
         Each begins with a space and a visible character, so their joined text is encoded piece by piece; the number of
         bytes of the tokens tells where each piece ends.
         """
-        known, old = self.memo, self.memo.old
-        found = {piece for text in texts if text for piece in pieces(text)[1:]}
-        fresh = [piece for piece in map(" ".__add__, found) if piece not in known and piece not in old]
         for low in range(0, len(fresh), at_once):
             part = fresh[low : low + at_once]
-            ids = self._ids("".join(part))
-            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(piece.encode()) for piece in part])) + 1
-            known.update(zip(part, [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]))
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        first, *rest = pieces(text)
-        memo = self.memo
-        return memo[first] + b"".join([memo[" " + piece] for piece in rest])
+            ids = self._ids(" " + " ".join(part))
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(piece.encode()) + 1 for piece in part])) + 1
+            self.memo.update(zip(part, [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]))
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of every text (null: none) as little-endian unsigned 32-bit integers."""
+        parts = [pieces(text) if text else None for text in texts]
+        found: set[str] = set()
+        for part in parts:
+            if part:
+                found.update(part[1:])
+        known, old = self.memo, self.memo.old
+        self._learn([piece for piece in found if piece not in known and piece not in old])
+        return [self.first[part[0]] + b"".join(map(known.__getitem__, part[1:])) if part else b"" for part in parts]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -195,13 +198,11 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key:
             done.append((part, len(done), path, len(writer.keys), sum(writer.counts)))
 
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            encode.learn(texts)
-            for name, value in zip(batch.column(0).to_pylist(), texts):
+            for name, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
                 if writer is None:
                     path = f"{base}/part-{part:06d}-{len(done):04d}-{uuid.uuid4().hex}.tokens"
                     writer = TokenWriter(store.open_output_stream(path, compression=None), batch.schema.types[0])
-                writer.add(name, encode(value) + end)
+                writer.add(name, ids + end)
                 if writer.written + writer.size >= file_bytes:
                     close()
                     writer = None

@@ -197,20 +197,21 @@ def train(texts: DataFrame) -> Models:
     )
 
 
-def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text", memo: int = 400_000) -> DataFrame:
+def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text", carry: str | None = None, memo: int = 400_000) -> DataFrame:
     """Key, number of words, effective number of words and log-likelihood ratio per character of every row.
 
     The effective number, squared sum over sum of squares of the words' counts, is the number of words for even
     counts and near 1 for one word repeated. Words are scored once each while the memo of their ratios, which is emptied at ``memo`` entries, holds them.
     """
-    kind = docs.schema[key].dataType.simpleString()
+    kept = [key] + [carry] * (carry is not None)
+    kinds = [f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in kept]
     held = docs.sparkSession.sparkContext.broadcast((models.grams, models.contexts, models.base))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         local, known = Models(*held.value), {}
         for batch in batches:
             sizes, spread, ratios = [], [], []
-            for value in batch.column(1):
+            for value in batch.column(len(kept)):
                 words = word_counts(value.as_py())
                 if len(known) > memo:
                     known.clear()
@@ -221,9 +222,10 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
                 sizes.append(sum(words.values()))
                 spread.append(sizes[-1] ** 2 / max(1, sum(n * n for n in words.values())))
                 ratios.append(sum(n * known[w] for w, n in words.items()) / max(1, characters))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(spread, pa.float64()), pa.array(ratios, pa.float64())], [key, "n_words", "n_effective", "log_ratio"])
+            columns = [*batch.columns[: len(kept)], pa.array(sizes, pa.int64()), pa.array(spread, pa.float64()), pa.array(ratios, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, "n_words", "n_effective", "log_ratio"])
 
-    return docs.select(key, text).mapInArrow(apply, f"`{key}` {kind}, n_words bigint, n_effective double, log_ratio double")
+    return docs.select(*kept, text).mapInArrow(apply, ", ".join([*kinds, "n_words bigint, n_effective double, log_ratio double"]))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
@@ -239,7 +241,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, folds: int = 3, held: int = 1, key: str = "doc_id", text: str = "text",
-                    label: str = "toxic", calibration_rows: int = 100_000) -> DataFrame:
+                    label: str = "toxic", calibration_rows: int = 100_000, carry: str | None = None) -> DataFrame:
     """Toxicity of every whole text, learnt from the labelled rows outside the held-out fold.
 
     A row is held out if crc32 of its key as text leaves ``held`` modulo ``folds``. Of the others, a fifth (by hash of the key) is
@@ -248,14 +250,14 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
     never inputs of a score. Every label row counts once; labels other than 0 and 1 and null keys are left out. Without
     labels of both classes all scores are 0. Texts without words have ratio 0; null texts count as empty. Rows without key are
     scored and not held out. Repeated rows stay, other columns are ignored, an empty table gives an empty result.
-    Returns the key, held_out, score, predicted (1 from ``threshold`` on), n_words and log_ratio.
+    Returns the key, the column ``carry`` if named, held_out, score, predicted (1 from ``threshold`` on), n_words and log_ratio.
     """
     fold = F.coalesce(F.crc32(F.col(key).cast("string")) % folds == held, F.lit(False))
     spare = F.pmod(F.xxhash64(key), F.lit(5)) == 0
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~fold).select(key, F.col(label).cast("int").alias("class"))
     small = broadcast_if_small(known.where(~spare), LABEL_ROWS)
     models = train(docs.select(key, F.col(text).alias("text")).join(small, key).select("text", "class"))
-    scored = materialize(log_ratios(docs, models, key, text), "ratios")
+    scored = materialize(log_ratios(docs, models, key, text, carry), "ratios")
     sample = scored.where(spare).join(known, key).orderBy(F.xxhash64(key, F.lit(1))).limit(calibration_rows).select("log_ratio", "n_effective", "class").collect()
     features = lambda ratio, n: [np.ones_like(ratio), ratio, ratio * np.sqrt(n), np.log1p(n)]
     ratio, n, y = (np.array([row[i] for row in sample], float) for i in range(3)) if sample else (np.zeros(0),) * 3
@@ -266,4 +268,15 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
         score = 1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), z))))
     else:
         score = F.lit(0.0)
-    return scored.select(key, fold.alias("held_out"), score.alias("score"), (score >= threshold).cast("int").alias("predicted"), "n_words", "log_ratio")
+    return scored.select(key, *([carry] if carry else []), fold.alias("held_out"), score.alias("score"), (score >= threshold).cast("int").alias("predicted"), "n_words", "log_ratio")
+
+
+def remove_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Rows of ``docs``, whole, that are not predicted toxic. A row is judged by its own text, also where a key repeats."""
+    mark = F.xxhash64(text)
+    # Scores belong to texts: the key travels for the labels, the hash of the text for rows that share a key.
+    marked = docs.select(F.struct(F.col(key).alias("key"), mark.alias("mark")).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
+    scored = toxicity_scores(marked, labels.withColumnRenamed(key, "key"), threshold, key="key", text="text", carry="row", **options)
+    rejected = scored.where("predicted = 1").select(F.col("row.key").alias("rejected_key"), F.col("row.mark").alias("rejected_mark")).distinct()
+    same = docs[key].eqNullSafe(rejected["rejected_key"]) & (F.xxhash64(docs[text]) == rejected["rejected_mark"])
+    return docs.join(rejected, same, "left_anti")

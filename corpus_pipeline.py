@@ -1,13 +1,58 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again before the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again before the next.
+
+Every stage takes (spark, docs, sf_dir), applies one operator to all rows its predecessor kept and returns the columns of
+``documents``; the last returns a row per document with its tokens. Null and empty texts pass every stage: nothing can be
+said against them. Rows of one doc_id with different texts are judged by their own texts, a null doc_id is a key like others,
+repeated rows are near duplicates of each other. Other columns are carried along, empty tables stay empty.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from caseloom.llm.bpe import encode_documents
+from caseloom.llm.decontaminate import remove_contaminated
+from caseloom.llm.jaccard import keep_one
 from caseloom.llm.registry import table
+from caseloom.llm.suffix import remove_repeats
+from caseloom.llm.toxicity import remove_toxic
 from caseloom.session import scratch_path
 
-STAGES: list = []
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the class-conditional models reject go."""
+    return remove_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every class of near duplicates stays: the one with the smallest doc_id."""
+    return keep_one(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 400 bytes and more that occur elsewhere are cut out; n_chars follows, all rows stay."""
+    kept = remove_repeats(docs)
+    if "n_chars" not in kept.columns:
+        return kept
+    changed = F.when(F.col("text").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return kept.withColumn("n_chars", changed)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of what is left, decoded again as a check: doc_id, n_tokens, ids_sha256, decoded_sha256, ids."""
+    return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=True)
+
+
+STAGES = [("toxicity", toxicity), ("ngram_jaccard", ngram_jaccard), ("suffix_dedup", suffix_dedup), ("decontaminate", decontaminate), ("byte_bpe", byte_bpe)]
+
+# Trained models, sketches and suffix arrays have no SQL form; tests compare the rows with brute force.
 ORACLE_SQL = None
 
 

@@ -82,7 +82,7 @@ def test_encoders_equal_the_libraries(value):
     ids = bpe.encoder(RANKS, public_tokenizers.PATTERN).encode(value)
     assert np.frombuffer(ids, "<u4").tolist() == plain_encoding.cached.encode_ordinary(value)
     assert bpe.encoder(RANKS, public_tokenizers.PATTERN).decode(ids) == value.encode()
-    assert np.frombuffer(tokenfile.piece_encoder(JSON)(value), "<u4").tolist() == plain_encoding.library.encode(value, add_special_tokens=False).ids
+    assert np.frombuffer(tokenfile.piece_encoder(JSON)([value])[0], "<u4").tolist() == plain_encoding.library.encode(value, add_special_tokens=False).ids
 
 
 plain_encoding.cached = plain_encoding()
