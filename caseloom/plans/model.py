@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_QUOTED = re.compile(r"'(?:[^']|'')*'")
-_NAME = re.compile(r"`?([A-Za-z_]\w*)`?(?:\.`?([A-Za-z_]\w*)`?)?")
+
+def column_names(spark: SparkSession, expression: str) -> list[tuple[str, ...]]:
+    """Name parts of the columns an SQL expression refers to, as Spark's own parser reads them."""
+    parsed = spark._jsparkSession.sessionState().sqlParser().parseExpression(expression)
+    leaves = parsed.collectLeaves()
+    found = []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "UnresolvedAttribute":
+            parts = leaf.nameParts()
+            found.append(tuple(parts.apply(j) for j in range(parts.size())))
+    return found
 
 
 @dataclass(frozen=True)
@@ -159,14 +168,18 @@ class Model:
         query.to_df().createOrReplaceTempView(name)
 
     def tables_in(self, expression: str) -> set[str]:
-        """Model tables whose columns an expression mentions, found by name."""
+        """Model tables whose columns an expression mentions.
+
+        A name may be ``table.column``, with fields of the column behind it, or a column that only one table has. Other
+        names, such as the variables of lambda functions, belong to no table.
+        """
         found: set[str] = set()
-        for first, second in _NAME.findall(_QUOTED.sub("''", expression)):
-            if second and first in self.tables:
-                if second not in self.tables[first].columns:
-                    raise ValueError(f"{first!r} has no column {second!r}")
+        for first, *rest in column_names(next(iter(self.tables.values())).sparkSession, expression):
+            if rest and first in self.tables:
+                if rest[0] not in self.tables[first].columns:
+                    raise ValueError(f"{first!r} has no column {rest[0]!r}")
                 found.add(first)
-            elif not second:
+            else:
                 owners = [t for t, df in self.tables.items() if first in df.columns]
                 if len(owners) > 1:
                     raise ValueError(f"column {first!r} is in several tables {owners}: qualify it")

@@ -102,3 +102,20 @@ def test_rebind_model(spark, folder):
     assert rows(bound.query(**query).to_df()) == rows(original.query(**query).to_df())
     with pytest.raises(ValueError, match="exists"):
         original.rebind(spark, "other_store", registry, "copy")
+
+
+@pytest.mark.parametrize("expression", [
+    "cast(orders.created as date)", "date_trunc('day', orders.created)", "orders.created + interval 1 day", "concat(orders.id, \"date\")", "sum(orders.id)", "transform(array(orders.id), day -> day)",
+])
+def test_only_columns_count_as_columns(spark, expression):
+    orders = spark.createDataFrame([(1, "2020-01-01"), (1, "2020-01-02")], "id int, created string")
+    other = spark.createDataFrame([(1, 2, 3, 4)], "date int, day int, timestamp int, sum int")
+    assert Model({"orders": orders, "other": other}).tables_in(expression) == {"orders"}
+
+
+def test_names_that_are_types(spark):
+    items = spark.createDataFrame([(1, "x"), (1, "y")], "order_id int, name string")
+    orders = spark.createDataFrame([(1, "2020-01-01", 5)], "id int, date string, sum int")
+    model = Model({"items": items, "orders": orders}, [ForeignKey("items", "orders", (("order_id", "id"),))])
+    assert model.query(dims={"d": "cast(orders.date as date)"}, measures={"n": "count(orders.sum)"}).to_df().count() == 1
+    assert model.tables_in("orders.`date`") == {"orders"} and model.tables_in("name") == {"items"}
