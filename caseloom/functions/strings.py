@@ -44,10 +44,19 @@ def repair_encoding(c: Column | str) -> Column:
 
 
 def plain_decimal(c: Column | str) -> Column:
-    """Double as text in positional notation with the shortest digits (``23.0``, ``10000000.0``)."""
-    value = _col(c)
-    fixed = value.try_cast("decimal(38,18)").cast("string")
-    return F.coalesce(F.regexp_replace(fixed, r"(\.\d+?)0*$", "$1"), value.cast("string"))
+    """Number as text in positional notation with the shortest digits (``23.0``, ``10000000.0``), whatever its magnitude."""
+    text = _col(c).cast("string")
+    parts = r"^(-?)(\d+)(?:\.(\d+))?(?:E([-+]?\d+))?$"
+    whole, after = F.regexp_extract(text, parts, 2), F.rtrim(F.regexp_extract(text, parts, 3), F.lit("0"))
+    point = F.length(whole) + F.coalesce(F.regexp_extract(text, parts, 4).try_cast("int"), F.lit(0))
+    digits = F.concat(whole, after)
+    filled = F.concat(F.repeat(F.lit("0"), F.greatest(1 - point, F.lit(0))), digits)
+    filled = F.rpad(filled, F.greatest(F.length(filled), point), "0")
+    at = F.greatest(point, F.lit(1))
+    left, right = F.substr(filled, F.lit(1), at), F.substr(filled, at + 1, F.length(filled))
+    left = F.coalesce(F.nullif(F.ltrim(left, F.lit("0")), F.lit("")), F.lit("0"))
+    plain = F.concat(F.regexp_extract(text, parts, 1), left, F.lit("."), F.when(right == "", "0").otherwise(right))
+    return F.when(text.rlike(parts), plain).otherwise(text)
 
 
 def decimal_comma(c: Column | str) -> Column:
@@ -59,5 +68,5 @@ def to_json_record(*columns: Column | str) -> Column:
 
 
 def safe_identifier(c: Column | str) -> Column:
-    """Parentheses dropped, every other run of non-alphanumerics turned into one ``_``."""
+    """Parentheses dropped, every other run of non-alphanumerics turned into one ``_`` (the pattern is a fixed value)."""
     return F.regexp_replace(F.translate(_col(c), "()", ""), "[^0-9a-zA-Z]+", "_")

@@ -27,11 +27,12 @@ def label_encode(df: DataFrame, column: str, name: str = "code") -> DataFrame:
     return df.join(codes, column, "left").select(*df.columns, name)
 
 
-def one_hot(df: DataFrame, column: str, drop_first: bool = True, max_values: int = 1_000) -> DataFrame:
-    """0/1 columns ``column_value`` in sort order, without the first. One pass finds the values, which become columns."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).limit(max_values + 1).collect()
-    if len(rows) > max_values:
-        raise ValueError(f"{column!r} has more than {max_values} values: too many for one column each")
+def one_hot(df: DataFrame, column: str, drop_first: bool = True) -> DataFrame:
+    """0/1 columns ``column_value`` in sort order, without the first. One pass finds the values, which become columns.
+
+    For very many values index them with ``label_encode`` and take Spark's own sparse encoder.
+    """
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()
     values = [r[0] for r in rows][1 if drop_first else 0 :]
     flags = [F.coalesce((F.col(column) == v).cast("int"), F.lit(0)).alias(f"{column}_{v}") for v in values]
     return df.select(*[c for c in df.columns if c != column], *flags)
@@ -165,8 +166,8 @@ def prediction_export(
     names: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Scored test and forecast rows with their inputs and a ``subset`` column; forecast rows have no true value."""
-    scored_test = enrich_left(score(model, test, keys), test, keys, [target, *inputs])
-    scored_forecast = enrich_left(score(model, forecast, keys), forecast, keys, list(inputs))
+    scored_test = score(model, test, [*keys, target, *inputs])
+    scored_forecast = score(model, forecast, [*keys, *inputs])
     both = tagged_union({"Test": scored_test, "Forecast": scored_forecast}, "subset")
     return both.withColumnsRenamed(dict(names or {}))
 

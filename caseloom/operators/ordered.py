@@ -40,10 +40,11 @@ def split_hot(df: DataFrame, keys: Sequence[str], group_rows: int) -> tuple[Data
     """
     if not keys:
         return (df, None) if df.count() <= group_rows else (None, df)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > group_rows)
-    hot = materialize(sizes.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(keys)]), "hot")
-    if hot.isEmpty():
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    if (sizes.agg(F.max("__n")).first()[0] or 0) <= group_rows:
         return df, None
+    large = sizes.where(F.col("__n") > group_rows)
+    hot = materialize(large.select(*[F.col(k).alias(f"__hot{i}") for i, k in enumerate(keys)]), "hot")
     same = [df[k].eqNullSafe(hot[f"__hot{i}"]) for i, k in enumerate(keys)]
     return df.join(F.broadcast(hot), same, "left_anti"), df.join(F.broadcast(hot), same, "left_semi")
 
@@ -192,19 +193,11 @@ def shift_rows(
     return over_rows(df, keys, order_by, {name: make}, max(periods, 0), max(-periods, 0), **options)
 
 
-def drop_last(df: DataFrame, order_by: Sequence[str], n: int, max_listed: int = 100_000) -> DataFrame:
-    """All rows but the last ``n`` of a total ascending order.
-
-    A few last rows are found by a top-n and removed by key; a large ``n`` needs positions.
-    """
-    if n > max_listed:
-        placed = with_position(df, order_by, "__pos")
-        total = placed.agg(F.count(F.lit(1))).scalar()
-        return placed.where(F.col("__pos") < total - n).drop("__pos")
-    last = df.select(*[F.col(c).alias(f"__{c}") for c in order_by])
-    last = last.orderBy(*[F.col(c).desc_nulls_first() for c in last.columns]).limit(n)
-    same = [df[c].eqNullSafe(last[f"__{c}"]) for c in order_by]
-    return df.join(F.broadcast(last), same, "left_anti")  # at most max_listed rows
+def drop_last(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
+    """All rows but the last ``n`` of an ascending order, by position: of tied rows just as many go as needed."""
+    placed = with_position(df, order_by, "__pos")
+    total = placed.agg(F.count(F.lit(1))).scalar()
+    return placed.where(F.col("__pos") < total - n).drop("__pos")
 
 
 def zip_by_order(left: DataFrame, right: DataFrame, left_order: Order, right_order: Order) -> DataFrame:

@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 from caseloom.operators.ordered import with_group_position, with_position
 from caseloom.session import broadcast_if_small, materialize
 
-# Default limit up to which Spark filters ranks per group before the shuffle.
-LIMITED_BEFORE_SHUFFLE = 1_000
-
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The frame itself, after a check that no key repeats."""
@@ -67,9 +64,9 @@ def remap_ids(
 
     ``source`` and ``target`` hold ``id`` and ``placeholder``; placeholders match without regard to case. Source
     rows without a partner get new ids above the highest target id. ``fields`` are ``struct.field`` references to
-    source ids. Returns the records and the complete target table.
+    source ids. A null placeholder is a name like others. Returns the records and the complete target table.
     """
-    by_name = F.upper("placeholder").alias("__name")
+    by_name = F.coalesce(F.concat(F.lit("="), F.upper("placeholder")), F.lit("")).alias("__name")
     known = target.groupBy(by_name).agg(F.max("id").alias("new_id"))
     matched = source.select("id", "placeholder", by_name).join(known, "__name", "left")
     missing = matched.where(F.col("new_id").isNull()).groupBy("__name").agg(F.min("placeholder").alias("placeholder"))
@@ -133,15 +130,10 @@ def mean_squared_error(df: DataFrame, truth: str, prediction: str) -> DataFrame:
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
-    """First n rows per group.
-
-    For a small n Spark limits each group before the shuffle, so hot groups stay small; a large n takes the
-    size-checked positions instead.
-    """
-    if n > LIMITED_BEFORE_SHUFFLE:
-        return with_group_position(df, keys, order_by, rank).where(F.col(rank) <= n)
+    """First n rows per group with their rank (bigint). Spark limits each group before the shuffle, so hot groups stay small."""
     window = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
+    ranked = df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
+    return ranked.withColumn(rank, F.col(rank).cast("bigint"))
 
 
 def argmax(values: Column) -> Column:

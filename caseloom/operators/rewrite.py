@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.strings import occurrences, safe_identifier
 from caseloom.operators.events import ordered_text
+from caseloom.operators.ordered import with_position
 from caseloom.session import broadcast_if_small, materialize
 
-# Rules that may travel as one array; every text is folded over all of them.
-MAX_RULES = 10_000
+# Rules that travel together as one array; more are applied block after block.
+RULE_BLOCK = 10_000
 # Leading characters that lead from a formula to the names it may contain.
 PREFIX_CHARS = 6
 
@@ -27,15 +28,17 @@ def replace_all(c: Column | str, rules: Mapping[str, str]) -> Column:
 
 
 def replace_by_table(df: DataFrame, columns: Sequence[str], rules: DataFrame) -> DataFrame:
-    """The same with an ordered rule table ``(rank, old, new)`` that is sent along as one array."""
-    if rules.count() > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules: split them by the texts they apply to")
-    ordered = rules.agg(F.sort_array(F.collect_list(F.struct("rank", "old", "new")))).scalar()
+    """The same with an ordered rule table ``(rank, old, new)``, in blocks of consecutive ranks."""
 
     def fold(c: str) -> Column:
         return F.aggregate("__rules", F.col(c), lambda s, r: F.replace(s, r["old"], r["new"]))
 
-    return df.withColumn("__rules", ordered).withColumns({c: fold(c) for c in columns}).drop("__rules")
+    placed = with_position(rules.select("rank", "old", "new"), ["rank", "old", "new"], "__pos")
+    for low in range(0, placed.count(), RULE_BLOCK):
+        block = placed.where((F.col("__pos") >= low) & (F.col("__pos") < low + RULE_BLOCK))
+        ordered = block.agg(F.sort_array(F.collect_list(F.struct("rank", "old", "new")))).scalar()
+        df = df.withColumn("__rules", ordered).withColumns({c: fold(c) for c in columns}).drop("__rules")
+    return df
 
 
 def replacement_counts(df: DataFrame, columns: Sequence[str], rules: Mapping[str, str]) -> DataFrame:
@@ -61,33 +64,34 @@ def template_variables(c: Column | str, names: Sequence[str] | None = None) -> C
     return F.regexp_replace(text, rf"<%= ?({name}) ?%>", r"\$\{$1\}")
 
 
-def rename_references(
-    formulas: DataFrame, names: DataFrame, key: str, template: str, name: str, max_listed: int = MAX_RULES
-) -> DataFrame:
-    """Rewrite names inside formula templates to safe identifiers, longer names before shorter ones.
+def rename_references(formulas: DataFrame, names: DataFrame, key: str, template: str, name: str) -> DataFrame:
+    """Rewrite names inside formula templates to safe identifiers.
 
-    A short list of names travels as one ordered array. A longer one is joined on the names' first characters, so
-    that a formula meets only names it may contain. Formula keys must be unique.
+    From left to right the longest name at each place of the original text is replaced; what a replacement puts in is not
+    looked at again. Names are found by equality: their first characters tell which lengths to try at a place of a
+    formula, so a start that many names share leads to their lengths, not to the names. Formula keys must be unique.
     """
     rules = names.select(F.col(name).alias("old"), safe_identifier(name).alias("new")).where("old <> new and old <> ''").distinct()
-    ranked = rules.select(F.struct((-F.length("old")).alias("size"), F.col("old")).alias("rank"), "old", "new")
-    ranked = materialize(ranked, "names")
-    if ranked.count() <= max_listed:
-        return replace_by_table(formulas, [template], ranked).select(key, template)
+    rules = materialize(rules.withColumn("size", F.length("old")), "names")
+    starts = rules.groupBy(F.substring("old", 1, PREFIX_CHARS).alias("start")).agg(F.collect_set("size").alias("sizes"))
+    longest = F.coalesce(rules.agg(F.max("size")).scalar(), F.lit(0))
     text = F.col(template)
-
-    def pieces(n: int) -> Column:
-        """All substrings of n characters."""
-        positions = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
-        return F.transform(positions, lambda i: F.substr(text, i, F.lit(n)))
-
-    starts = F.flatten(F.array(*[pieces(n) for n in range(1, PREFIX_CHARS + 1)]))
-    candidates = formulas.select(key, template, F.explode(F.array_distinct(starts)).alias("__start"))
-    listed = ranked.withColumn("__start", F.substring("old", 1, PREFIX_CHARS))
-    contained = candidates.join(listed, "__start").where(F.contains(text, F.col("old")))
-    per_formula = contained.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("rank", "old", "new"))).alias("__rules"))
-    folded = F.aggregate("__rules", text, lambda s, r: F.replace(s, r["old"], r["new"]))
-    return formulas.join(per_formula, key, "left").select(key, F.coalesce(folded, text).alias(template))
+    places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
+    # Only the part of the text that a name could fill travels.
+    rests = F.array_distinct(F.transform(places, lambda i: F.substr(text, i, F.col("__longest"))))
+    pieces = formulas.withColumn("__longest", longest).select(key, F.explode(rests).alias("__rest"))
+    lengths = F.sequence(F.lit(1), F.lit(PREFIX_CHARS))
+    begun = pieces.select(key, "__rest", F.explode(F.array_distinct(F.transform(lengths, lambda n: F.substr("__rest", F.lit(1), n)))).alias("start"))
+    tried = begun.join(starts, "start").select(key, F.explode(F.transform("sizes", lambda n: F.substr("__rest", F.lit(1), n))).alias("old")).distinct()
+    found = tried.join(rules, "old").groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("order"), "old", "new"))).alias("__rules"))
+    quoted = F.transform("__rules", lambda r: F.concat(F.lit(r"\Q"), F.replace(r["old"], F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")))
+    pattern = F.array_join(quoted, "|")
+    new = F.map_from_entries(F.transform("__rules", lambda r: F.struct(r["old"], r["new"])))
+    matches, between = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, F.lit(-1))
+    joined = F.zip_with(between, matches, lambda piece, match: F.concat(piece, F.coalesce(F.element_at(new, match), F.lit(""))))
+    rewritten = F.when(F.col("__rules").isNotNull(), F.array_join(joined, "")).otherwise(text)
+    return formulas.join(found, key, "left").select(key, rewritten.alias(template))
 
 
 def parameter_ids(df: DataFrame, keys: Sequence[str], parameters: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from caseloom.functions.text import run_lengths, sorted_runs
 from caseloom.operators.clean import any_over
 from caseloom.operators.relational import argmax, inner_join, value_counts
-from caseloom.session import broadcast_if_small
+from caseloom.session import broadcast_if_small, materialize
 
 
 def lemmatize(
@@ -34,14 +34,14 @@ def lemmatize(
 
 
 def term_counts(df: DataFrame, key: str, terms: str, min_docs: int = 2) -> DataFrame:
-    """Long document-term matrix ``(key, term, n)`` of terms that occur in at least ``min_docs`` documents.
+    """Long document-term matrix ``(key, term, n)`` of terms that occur in at least ``min_docs`` documents, stored once.
 
     ``df`` has one row per document. A document's terms are counted inside its row, without a shuffle; only the
     number of documents per term is, and the list of frequent terms is sent to the rows if it is small.
     """
     ordered = df.select(key, F.array_sort(terms).alias("__s"))
     runs = ordered.select(key, "__s", sorted_runs(F.col("__s")).alias("__e"))
-    counts = runs.select(key, F.inline(run_lengths(F.col("__s"), F.col("__e"))))
+    counts = materialize(runs.select(key, F.inline(run_lengths(F.col("__s"), F.col("__e")))), "counts")
     frequent = counts.groupBy("term").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs)
     return counts.join(frequent.select("term"), "term", "left_semi").select(key, "term", "n")
 
@@ -64,13 +64,14 @@ def vectorize(df: DataFrame, terms: str, min_docs: int = 2, name: str = "counts"
 
 
 def fit_topics(
-    vectors: DataFrame, k: int = 20, max_iter: int = 10, batch_docs: int = 128, decay: float = 0.7, seed: int = 100,
-    rows: int | None = None, counts: str = "counts",
+    vectors: DataFrame, k: int = 20, passes: int = 10, batches: int = 1, decay: float = 0.7, seed: int = 100, counts: str = "counts",
 ) -> LDAModel:
-    """Online topic model; a mini-batch is about ``batch_docs`` documents."""
-    share = min(1.0, batch_docs / max(rows if rows is not None else vectors.count(), 1))
+    """Online topic model over ``passes`` full passes through the documents, each in ``batches`` mini-batches.
+
+    A mini-batch is one distributed job over its share of all rows, so on large tables a pass is best one batch.
+    """
     lda = LDA(
-        k=k, maxIter=max_iter, optimizer="online", learningDecay=decay, learningOffset=10.0, subsamplingRate=share,
+        k=k, maxIter=passes * batches, optimizer="online", learningDecay=decay, learningOffset=10.0, subsamplingRate=1.0 / batches,
         seed=seed, featuresCol=counts, topicDistributionCol="topics",
     )
     return lda.fit(vectors)
@@ -84,7 +85,7 @@ def topic_quality(model: LDAModel, vectors: DataFrame) -> DataFrame:
 
 def topic_grid(
     vectors: DataFrame, key: str, topics: Sequence[int] = (5, 10, 15), decays: Sequence[float] = (0.7, 0.8, 0.9),
-    folds: int = 5, max_iter: int = 10, batch_docs: int = 128, seed: int = 100,
+    folds: int = 5, passes: int = 10, batches: int = 1, seed: int = 100,
 ) -> DataFrame:
     """Held-out log-likelihood for every topic count, decay and fold; folds come from a hash of the key.
 
@@ -93,14 +94,12 @@ def topic_grid(
     """
     fold = F.pmod(F.xxhash64(key), F.lit(folds))
     marked = vectors.withColumn("__fold", fold)
-    sizes = {r["__fold"]: r["count"] for r in marked.groupBy("__fold").count().collect()}
-    total = sum(sizes.values())
     results = []
-    for f in sorted(sizes):
+    for f in sorted(row["__fold"] for row in marked.select("__fold").distinct().collect()):
         train, held = marked.where(F.col("__fold") != f), marked.where(F.col("__fold") == f)
         for k in topics:
             for decay in decays:
-                model = fit_topics(train, k, max_iter, batch_docs, decay, seed, rows=total - sizes[f])
+                model = fit_topics(train, k, passes, batches, decay, seed)
                 results.append((k, float(decay), int(f), float(model.logLikelihood(held))))
     return vectors.sparkSession.createDataFrame(results, "topics int, decay double, fold int, score double")
 
@@ -116,6 +115,15 @@ def best_setting(results: DataFrame) -> DataFrame:
     return means.orderBy(F.desc("score"), "topics", "decay").limit(1)
 
 
+def fit_best(vectors: DataFrame, results: DataFrame, passes: int = 10, batches: int = 1, seed: int = 100) -> tuple[LDAModel, DataFrame]:
+    """The best setting of a grid fitted on all documents, and its row: topics, decay, mean held-out score, log-likelihood, perplexity."""
+    best = best_setting(results).first()
+    model = fit_topics(vectors, best["topics"], passes, batches, best["decay"], seed)
+    quality = topic_quality(model, vectors)
+    setting = [F.lit(best[name]).alias(name) for name in ("topics", "decay", "score")]
+    return model, quality.select(*setting, *quality.columns)
+
+
 def document_topics(weights: Column, digits: int = 2) -> tuple[Column, Column]:
     """Topic weights rounded half to even, and the index of the first largest rounded weight."""
     rounded = F.transform(weights, lambda w: F.bround(w, digits))
@@ -141,9 +149,10 @@ def topic_distribution(df: DataFrame, weights: Sequence[str], topic: str, thresh
 def topic_keywords(model: LDAModel, vocabulary: Sequence[str], n: int = 15) -> DataFrame:
     """Top words per topic, one column per rank. Topics times words: a small table."""
     described = model.describeTopics(n)
-    rows = described.select("topic", F.posexplode("termIndices").alias("rank", "index"))
-    words = described.sparkSession.createDataFrame(list(enumerate(vocabulary)), "index int, word string")
-    named = rows.join(words, "index")
+    # Topics times n indexes, and only their words.
+    named = described.sparkSession.createDataFrame(
+        [(row["topic"], rank, vocabulary[index]) for row in described.collect() for rank, index in enumerate(row["termIndices"])],
+        "topic int, rank int, word string")
     return named.groupBy("topic").pivot("rank", list(range(n))).agg(F.first("word")).select(
         "topic", *[F.col(str(i)).alias(f"word_{i}") for i in range(n)]
     )

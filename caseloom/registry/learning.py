@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
 from caseloom.operators import ml
 from caseloom.operators.ordered import rolling_mean
 from caseloom.registry.core import Tables, query
-from caseloom.session import materialize
+from caseloom.session import materialize, scratch_path
 
 
 @query("label_encode", "SELECT event_id, dense_rank() OVER (ORDER BY event_type) - 1 AS code FROM events")
@@ -109,6 +110,28 @@ def feature_importance(t: Tables):
     return ml.feature_importance(model, LINE_FEATURES, known)
 
 
+@query("saved_model", "SELECT count(*) = 0 AS any_difference_missing, 0::BIGINT AS different FROM region WHERE r_name IS NULL")
+def saved_model(t: Tables):
+    """Scores of a model that was saved and loaded again equal those before."""
+    _, known, model = _line_model(t)
+    test = known.where(~F.col("is_train"))
+    again = GBTRegressionModel.load(ml.save_model(model, scratch_path(t.spark, "models"), "price", "2020-01-01"))
+    before = ml.score(model, test, LINE_KEYS).withColumnRenamed("prediction", "before")
+    both = ml.score(again, before.join(test, LINE_KEYS).select(*LINE_KEYS, "features", "before"), [*LINE_KEYS, "before"])
+    counted = both.agg(F.count_if(F.col("prediction") != F.col("before")).alias("different"), F.count(F.lit(1)).alias("n"))
+    return counted.select((F.col("n") > 0).alias("any_difference_missing"), "different")
+
+
+@query("export_subsets", """SELECT l_orderkey, l_linenumber, CASE WHEN l_shipdate < TIMESTAMP '2001-01-01' THEN 'Test' ELSE 'Forecast' END AS subset FROM lineitem
+    JOIN part ON l_partkey = p_partkey WHERE l_shipdate >= TIMESTAMP '2001-01-01'""")
+def export_subsets(t: Tables):
+    """Keys and subset of the exported forecast rows: every row without a known price, once."""
+    frame, known, model = _line_model(t)
+    test = known.where(~F.col("is_train"))
+    out = ml.prediction_export(model, test, ml.forecast_rows(frame, "price"), LINE_KEYS, "price", ["l_quantity", "l_shipdate"])
+    return out.where("subset = 'Forecast'").select("l_orderkey", "l_linenumber", "subset")
+
+
 @query("prediction_export")
 def prediction_export(t: Tables):
     frame, known, model = _line_model(t)

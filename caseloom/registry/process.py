@@ -133,6 +133,21 @@ def param_ids(t: Tables):
     return rewrite.parameter_ids(lists, ["user_id"], "parameters")
 
 
+@query(
+    "alias_rewrite",
+    """SELECT doc_id, line_no, CASE line_no WHEN 1 THEN line WHEN 2 THEN 'known.get(' || lang || ')' ELSE 'other.fetch_all(' || lang || ')' END AS rewritten FROM
+    (SELECT doc_id, lang, CAST(i AS INTEGER) AS line_no, CASE i WHEN 1 THEN 'known = connect(' || lang || ')' END AS line FROM documents, range(1, 4) r(i))""",
+)
+def alias_rewrite(t: Tables):
+    """Calls on names that a script binds itself change differently from calls on other names."""
+    text = F.concat(F.lit("known = connect("), "lang", F.lit(")\nknown.fetch("), "lang", F.lit(")\nother.fetch("), "lang", F.lit(")"))
+    scripts = t("documents").select("doc_id", text.alias("body"))
+    lines = rewrite.script_lines(scripts, "doc_id", "body")
+    known = rewrite.aliases(scripts, "doc_id", "body", "connect(")
+    out = rewrite.rewrite_with_alias(lines, known, "doc_id", r"\.fetch\((\w+)\)", "$1.get($2)", "$1.fetch_all($2)")
+    return out.select("doc_id", "line_no", "rewritten")
+
+
 @query(
     "rewrite_lines",
     """SELECT doc_id, line_no, line, CASE WHEN changed THEN new || ' # CHANGED' ELSE new END AS rewritten, changed FROM

@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from caseloom.functions.strings import to_json_record
 from caseloom.operators.ordered import with_group_position
 from caseloom.operators.rewrite import script_bundle
+from caseloom.plans.model import find_table, list_tables
 from caseloom.registry.core import Tables, query
 from caseloom.session import scratch_path
-from caseloom.sinks.exports import locale_csv_frame, snapshot_rows
+from caseloom.sinks.exports import export_report, locale_csv_frame, snapshot_rows
 from caseloom.sinks.tables import TableStore, upsert_result
 from caseloom.sources.csv import combine_csv, csv_payload, scan_csv
 from caseloom.sources.extract import incremental_extract, trailing_days, unify_sources
 from caseloom.sources.json import flatten, paged_service, parse_records, rows_until_empty
 from caseloom.sources.pages import PagedJsonSource, read_pages
-from caseloom.streaming.ingest import append_batches, drain, once_per_key, tail_cursor, tail_files, upsert_batches
+from caseloom.streaming.ingest import append_batches, drain, tail_cursor, tail_files, upsert_batches
 
 
 @query("scan_table", "SELECT * FROM region")
@@ -53,6 +54,52 @@ def combine_csv_query(t: Tables):
     return typed.select(F.col("party_key").cast("bigint"), "party_name", "balance", "segment")
 
 
+@query("find_table", "SELECT r_regionkey, r_name, 1::BIGINT AS tables_named_so FROM region")
+def find_table_query(t: Tables):
+    """A published table found again by a part of its name."""
+    store, name = _store(t), _name("found_regions")
+    store.create(name, t("region").select("r_regionkey", "r_name"))
+    listed = sum(known == name for known in list_tables(t.spark, store.database))
+    return find_table(t.spark, name[: -1], store.database, partial=True).withColumn("tables_named_so", F.lit(listed).cast("bigint"))
+
+
+@query("write_new_only", "SELECT n_nationkey, n_name, true AS second_write_refused FROM nation")
+def write_new_only(t: Tables):
+    """A table that may only be new: the second write of the same name is an error and changes nothing."""
+    store, name = _store(t), _name("new_only")
+    nations = t("nation").select("n_nationkey", "n_name")
+    store.create(name, nations, primary_keys=["n_nationkey"])
+    try:
+        store.create(name, nations.limit(0))
+        refused = False
+    except ValueError:
+        refused = True
+    return store.read(name).withColumn("second_write_refused", F.lit(refused))
+
+
+@query("report_export", "SELECT c_mktsegment AS segment, count(*) AS customers FROM customer GROUP BY 1")
+def report_export(t: Tables):
+    """A report written as a file and read back."""
+    path = scratch_path(t.spark, "report")
+    export_report(t("customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count(F.lit(1)).alias("customers")), path)
+    return t.spark.read.parquet(path)
+
+
+@query(
+    "rebound_model",
+    "SELECT n_name AS nation, count(*) AS customers FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY 1",
+)
+def rebound_model(t: Tables):
+    """The model's definition over same-named tables of another database."""
+    root = scratch_path(t.spark, "moved")
+    database = f"moved_{uuid.uuid4().hex[:12]}"
+    t.spark.sql(f"CREATE DATABASE `{database}` LOCATION '{root}'")
+    for name in ("customer", "nation"):
+        t(name).write.format("parquet").option("path", f"{root}/{name}").saveAsTable(f"{database}.{name}")
+    bound = t.model("customer", "nation").rebind(t.spark, database, {}, "moved")
+    return bound.query(dims={"nation": "nation.n_name"}, measures={"customers": "count(customer.c_custkey)"}).to_df()
+
+
 SAVED_SQL = """SELECT c_name AS customer, n_name AS nation, c_acctbal AS balance
     FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0"""
 
@@ -270,8 +317,10 @@ def stream_upsert(t: Tables):
     events.write.mode("append").parquet(folder)
     events.where("event_type IN ('click', 'view', 'error')").write.mode("append").parquet(folder)
     store, name = _store(t), _name("streamed")
-    stream = once_per_key(tail_files(t.spark, folder, events.schema, files_per_batch=4), ["event_id"], "ts", "60 days")
-    upsert_batches(stream, store, name, ["event_id"], scratch_path(t.spark, "checkpoint")).awaitTermination()
+    stream = tail_files(t.spark, folder, events.schema, files_per_batch=4).withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.lit(8)))
+    keys = ["event_id", "bucket"]
+    running = upsert_batches(stream, store, name, keys, scratch_path(t.spark, "checkpoint"), [F.desc("ts")], ["bucket"])
+    running.awaitTermination()
     return store.read(name).select("event_id", "user_id", "event_type", "value")
 
 

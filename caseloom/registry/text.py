@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from caseloom.functions.text import ACCENTED, UNACCENTED, WORD_PATTERN, clean_text, terms, tokenize
+from caseloom.functions.text import ACCENTED, UNACCENTED, WORD_PATTERN, clean_text, run_lengths, sorted_runs, terms, tokenize
 from caseloom.operators import topics
 from caseloom.operators.ml import kmeans
 from caseloom.registry.core import Tables, query
@@ -19,8 +19,10 @@ TOKENS_SQL = f"""k AS (SELECT doc_id, unnest(list_filter(regexp_extract_all(tran
 
 @query("tokenize", f"WITH {TOKENS_SQL} SELECT doc_id, token, count(*) AS n FROM k GROUP BY 1, 2")
 def tokenize_query(t: Tables):
-    words = t.texts().select("doc_id", F.explode(tokenize("text")).alias("token"))
-    return words.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+    """Counted inside the row: a document is one row, so no token is shuffled."""
+    ordered = t.texts().select("doc_id", F.array_sort(tokenize("text")).alias("s"))
+    runs = ordered.select("doc_id", "s", sorted_runs(F.col("s")).alias("e"))
+    return runs.select("doc_id", F.inline(run_lengths(F.col("s"), F.col("e")))).select("doc_id", F.col("term").alias("token"), F.col("n").cast("bigint").alias("n"))
 
 
 # A small lexicon; at scale this is a table of the caller.
@@ -99,20 +101,20 @@ def topic_distribution(t: Tables):
 
 def _vectors(t: Tables):
     """Term counts of all documents, written once because every fit reads them several times."""
-    texts = spread_narrow(t("documents").select("doc_id", "text"), "doc_id", sort=True)
+    texts = t("documents").select("doc_id", "text").repartition("doc_id").sortWithinPartitions("doc_id")
     documents = materialize(texts.select("doc_id", terms(clean_text("text"), STOP_WORDS).alias("terms")), "terms")
     vocabulary, vectors = topics.vectorize(documents, "terms")
     return vocabulary.vocabulary, materialize(vectors.select("doc_id", "counts"), "vectors")
 
 
-def _topics(t: Tables, k: int = 10):
+def _topics(t: Tables, k: int = 20):
     vocabulary, vectors = _vectors(t)
     return vocabulary, vectors, topics.fit_topics(vectors, k)
 
 
 @query("lda_topics")
 def lda_topics(t: Tables):
-    _, vectors, model = _topics(t, 20)
+    _, vectors, model = _topics(t)
     weights = topics.topic_weights(model, vectors, ["doc_id"])
     return weights.select("doc_id", F.posexplode("topic_weights").alias("topic", "weight"))
 
@@ -126,8 +128,23 @@ def lda_quality(t: Tables):
 @query("lda_grid")
 def lda_grid(t: Tables):
     _, vectors = _vectors(t)
-    decays = (0.7, 0.9)
-    return topics.grid_summary(topics.topic_grid(vectors, "doc_id", (5, 10), decays, folds=2, max_iter=5), decays)
+    return topics.grid_summary(topics.topic_grid(vectors, "doc_id"), (0.7, 0.8, 0.9))
+
+
+@query("lda_best")
+def lda_best(t: Tables):
+    """The best setting of the grid, fitted again on all documents."""
+    _, vectors = _vectors(t)
+    return topics.fit_best(vectors, topics.topic_grid(vectors, "doc_id"))[1]
+
+
+@query("lda_weights_sum", "SELECT doc_id, 20::BIGINT AS topics, true AS sums_to_one FROM documents")
+def lda_weights_sum(t: Tables):
+    """The weights of every document are a distribution over all topics; a document without known terms has none and counts as such."""
+    _, vectors, model = _topics(t)
+    total = F.aggregate("topic_weights", F.lit(0.0), lambda a, x: a + x)
+    weights = topics.topic_weights(model, vectors, ["doc_id"])
+    return weights.select("doc_id", F.size("topic_weights").cast("bigint").alias("topics"), ((F.abs(total - 1) < 1e-6) | (total == 0)).alias("sums_to_one"))
 
 
 @query("topic_keywords")
@@ -147,5 +164,5 @@ def topic_clusters(t: Tables):
 def classified_documents(t: Tables):
     _, vectors, model = _topics(t)
     weights = topics.with_dominant_topic(topics.topic_weights(model, vectors, ["doc_id"]), F.col("topic_weights"))
-    wide = topics.topic_columns(weights, "weights", 10).drop("topic_weights", "weights")
+    wide = topics.topic_columns(weights, "weights", 20).drop("topic_weights", "weights")
     return t("documents").select("doc_id", "text").join(wide, "doc_id")

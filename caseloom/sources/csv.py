@@ -36,7 +36,8 @@ def combine_csv(spark: SparkSession, folder: str, same_header: bool = False, **o
 
 
 def csv_payload(df: DataFrame, text: str, schema: str, keep: list[str] | None = None, header: bool = True, sep: str = ",") -> DataFrame:
-    """Rows of CSV text held in a column; the first line of each text is its header."""
-    lines = df.select(*(keep or []), F.posexplode(F.split(text, "\r?\n")).alias("__i", "__line"))
+    """Rows of CSV text held in a column; the first record of each text is its header. Quoted fields may hold line breaks."""
+    records = F.regexp_extract_all(text, F.lit(r'(?:[^"\r\n]|"(?:[^"]|"")*")+'), F.lit(0))
+    lines = df.select(*(keep or []), F.posexplode(records).alias("__i", "__line"))
     data = lines.where((F.col("__i") > 0) if header else F.lit(True)).where(F.length(F.trim("__line")) > 0)
-    return data.select(*(keep or []), F.from_csv("__line", schema, {"sep": sep}).alias("__r")).select(*(keep or []), "__r.*")
+    return data.select(*(keep or []), F.from_csv("__line", schema, {"sep": sep, "multiLine": "true", "escape": '"'}).alias("__r")).select(*(keep or []), "__r.*")

@@ -175,7 +175,7 @@ def test_topic_models_separate_two_vocabularies(spark):
     docs = [(i, (["apple", "pear", "plum"] if i % 2 else ["bolt", "nut", "screw"]) * 6) for i in range(60)]
     df = spark.createDataFrame(docs, "k int, t array<string>").repartition(2, "k")
     model, vectors = topics.vectorize(df, "t")
-    lda = topics.fit_topics(vectors, 2, max_iter=30, batch_docs=60)
+    lda = topics.fit_topics(vectors, 2, passes=30)
     best = topics.with_dominant_topic(topics.topic_weights(lda, vectors, ["k"]), F.col("topic_weights"))
     by_kind = {(r.k % 2, r.dominant_topic) for r in best.collect()}
     assert len(by_kind) == 2
@@ -183,7 +183,7 @@ def test_topic_models_separate_two_vocabularies(spark):
     assert {frozenset(r[1:]) for r in words} == {frozenset(["apple", "pear", "plum"]), frozenset(["bolt", "nut", "screw"])}
     quality = topics.topic_quality(lda, vectors).first()
     assert quality.log_likelihood < 0 and 1 < quality.perplexity < 20
-    grid = topics.topic_grid(vectors, "k", (2, 3), (0.7,), folds=2, max_iter=3)
+    grid = topics.topic_grid(vectors, "k", (2, 3), (0.7,), folds=2, passes=3)
     assert grid.count() == 4
     assert topics.grid_summary(grid, (0.7,)).columns == ["topics", "decay_0_7"]
     assert topics.best_setting(grid).count() == 1
@@ -207,13 +207,36 @@ def test_template_variables_in_all_spacings(spark):
     assert values(df, rewrite.template_variables("s")) == ["${a} ${a} ${a} ${a} ${b} ${ab}"]
 
 
-@pytest.mark.parametrize("listed", [10_000, 0])
-def test_longer_names_first(spark, listed):
+def test_names_come_from_the_original_text(spark):
+    names = spark.createDataFrame([("x (y)",), ("yz-w",), ("a.b",), ("same start one",), ("same start two-2",), (r"q\E(",)], "name string")
+    formulas = spark.createDataFrame([(1, "x (y)z-w"), (2, "a.b axb"), (3, "same start two-2/same start one"), (4, r"q\E("), (5, "$1 x (y)")], "k int, f string")
+    got = dict(rows(rewrite.rename_references(formulas, names, "k", "f", "name")))
+    assert got == {1: "x_yz-w", 2: "a_b axb", 3: "same_start_two_2/same_start_one", 4: "q_E", 5: "$1 x_y"}
+
+
+def test_rules_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(rewrite, "RULE_BLOCK", 2)
+    rules = spark.createDataFrame([(i, f"<{i}>", f"<{i + 1}>") for i in range(7)], "rank int, old string, new string")
+    assert rows(rewrite.replace_by_table(spark.createDataFrame([("<0> <5>",)], "s string"), ["s"], rules)) == [("<7> <7>",)]
+
+
+@pytest.mark.parametrize(("number", "want"), [
+    (1.2345678901234568e-05, "0.000012345678901234568"), (1e-19, "0.0000000000000000001"), (1e20, "100000000000000000000.0"), (-1.5e22, "-15000000000000000000000.0"),
+    (23.0, "23.0"), (0.0, "0.0"), (-0.25, "-0.25"), (123456.789, "123456.789"), (1e7, "10000000.0"), (None, None),
+])
+def test_plain_decimal_of_any_magnitude(spark, number, want):
+    from caseloom.functions.strings import plain_decimal
+
+    df = spark.createDataFrame([(number,)], "x double")
+    assert values(df, plain_decimal("x")) == [want]
+
+
+def test_longer_names_first(spark):
     names = spark.createDataFrame([("Net Value",), ("Net Value (EUR)",), ("x y",), ("a b",), ("plain",)], "name string")
     formulas = spark.createDataFrame([
         (1, "KPI(Net Value (EUR)) / KPI(Net Value)"), (2, "x y + a b"), (3, "nothing"), (4, ""), (5, None),
     ], "k int, f string")
-    got = dict(rows(rewrite.rename_references(formulas, names, "k", "f", "name", max_listed=listed)))
+    got = dict(rows(rewrite.rename_references(formulas, names, "k", "f", "name")))
     assert got == {1: "KPI(Net_Value_EUR) / KPI(Net_Value)", 2: "x_y + a_b", 3: "nothing", 4: "", 5: None}
 
 

@@ -175,3 +175,22 @@ def test_snapshot_is_partitioned_and_skips_unpublished(spark, tmp_path):
     assert not (tmp_path / "snap" / "space=s2").exists()
     exports.export_report(out, str(tmp_path / "report"), "csv")
     assert spark.read.option("header", True).csv(str(tmp_path / "report")).count() == 2
+
+
+def test_csv_text_with_quoted_line_breaks(spark):
+    from caseloom.sources.csv import csv_payload
+
+    df = spark.createDataFrame([("p", 'a,b\n1,"two\nlines"\r\n\r\n2,"say ""hi"", x"\n3,')], "k string, t string")
+    got = csv_payload(df, "t", "a int, b string", keep=["k"])
+    assert rows(got) == [("p", 1, "two\nlines"), ("p", 2, 'say "hi", x'), ("p", 3, None)]
+
+
+def test_null_placeholders_keep_a_reference(spark):
+    from caseloom.operators.relational import remap_ids
+
+    source = spark.createDataFrame([(1, "a"), (2, None)], "id bigint, placeholder string")
+    target = spark.createDataFrame([(7, "A")], "id bigint, placeholder string")
+    records = spark.createDataFrame([((1,),), ((2,),), (None,)], "r struct<ref: bigint>")
+    moved, complete = remap_ids(records, ["r.ref"], source, target)
+    assert sorted((r.r.ref if r.r else None for r in moved.collect()), key=repr) == sorted([7, 8, None], key=repr)
+    assert rows(complete) == sorted([(7, "A"), (8, None)], key=repr)
