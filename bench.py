@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from caseloom.registry import QUERIES
@@ -25,6 +26,7 @@ def main() -> None:
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": "16g",
+        "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     })

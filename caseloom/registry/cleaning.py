@@ -48,12 +48,12 @@ def derived_arith(t: Tables):
 @query(
     "case_flag",
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    CASE WHEN nullif(l_quantity, 10) > 25 THEN 'Premium' ELSE 'Basic' END AS category FROM lineitem""",
+    CASE WHEN nullif(l_quantity, 10) > 25 THEN 'large' ELSE 'small' END AS category FROM lineitem""",
 )
 def case_flag(t: Tables):
     condition = F.nullif("l_quantity", F.lit(10.0)) > 25
     return t("lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", clean.flag(condition, "Premium", "Basic").alias("category")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", clean.flag(condition, "large", "small").alias("category")
     )
 
 

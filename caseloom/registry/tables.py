@@ -345,10 +345,10 @@ def cursor_json(t: Tables):
     page = F.floor(F.col("event_id") / LOG_PAGE_ROWS).cast("bigint")
     last = t("events").agg(F.max(page)).scalar()
     pages = t("events").groupBy(page.alias("page")).agg(F.collect_list(F.struct("event_id", "event_type", "value")).alias("logs"))
-    following = F.when(F.col("page") < last, (F.col("page") + 1).cast("string")).alias("nextLogId")
+    following = F.when(F.col("page") < last, (F.col("page") + 1).cast("string")).alias("following")
     pages.select("page", to_json_record("logs", following).alias("value")).write.partitionBy("page").text(folder)
     stream = tail_cursor(
-        t.spark, folder=folder, prefix="page=", suffix="", start="0", pages_per_batch="10",
+        t.spark, folder=folder, prefix="page=", suffix="", start="0", pages_per_batch="10", next_key="following",
         row_schema="event_id bigint, event_type string, value double"
     )
     drain(append_batches(stream, out, scratch_path(t.spark, "checkpoint"), available_now=False))

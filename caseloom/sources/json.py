@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from caseloom.session import materialize
 from caseloom.sources.pages import PagedJsonSource
 
 
@@ -30,9 +31,10 @@ def rows_until_empty(pages: DataFrame) -> DataFrame:
 
 
 def paged_service(spark: SparkSession, source: type[PagedJsonSource], **options) -> DataFrame:
-    """The same from a page service: one partition per page range, fetched by the executors."""
+    """The same from a page service: pages are fetched once, by the executors, and stored before the end is known."""
     spark.dataSource.register(source)
-    return spark.read.format(source.name()).options(**options).load()
+    pages = materialize(spark.read.format(source.name()).options(**options).load(), "pages")
+    return rows_until_empty(pages).drop("page")
 
 
 def parse_records(df: DataFrame, column: str, schema: str) -> DataFrame:

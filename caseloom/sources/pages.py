@@ -46,18 +46,24 @@ class PageRange(InputPartition):
 
 
 class PagedJsonSource(DataSource):
-    """Batch source over numbered pages. Options: ``folder``, ``rows_key``, ``readers`` (parallel page walkers)."""
+    """Batch source over numbered pages: one row (page, rows) per page, also for the empty page that ends a walk.
+
+    Options: ``folder``, ``row_schema``, ``rows_key``, ``readers`` (parallel page walkers). Each walker stops at its own first
+    empty page; ``sources.json.paged_service`` keeps what is before the first of all.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "caseloom_paged_json"
 
     def schema(self) -> str:
-        return self.options["row_schema"]
+        return f"page bigint, rows array<struct<{self.options['row_schema']}>>"
 
     def fetch(self, page: int) -> list[dict]:
-        """Rows of a page; an empty list past the last page."""
+        """Rows of a page; an empty list past the last page. The first page must exist."""
         texts = read_pages(self.options["folder"], f"page-{page}.json")
+        if page == 0 and not texts:
+            raise LookupError(f"no first page in {self.options['folder']!r}")
         return json.loads(texts[0])[self.options.get("rows_key", "rows")] if texts else []
 
     def reader(self, schema) -> DataSourceReader:
@@ -73,10 +79,11 @@ class _PageReader(DataSourceReader):
         return [PageRange(i, readers) for i in range(readers)]
 
     def read(self, partition: PageRange) -> Iterator[tuple]:
-        page = partition.start
+        page, fields = partition.start, self.row_schema["rows"].dataType.elementType
         while rows := self.source.fetch(page):
-            yield from (_values(self.row_schema, row) for row in rows)
+            yield page, [_values(fields, row) for row in rows]
             page += partition.step
+        yield page, []
 
 
 class CursorJsonSource(DataSource):
@@ -132,4 +139,4 @@ class _CursorReader(SimpleDataSourceStreamReader):
     def _page(self, cursor: str) -> tuple[list[tuple], str | None]:
         page = self.source.fetch(cursor)
         rows = page[self.source.options.get("rows_key", "logs")]
-        return [_values(self.row_schema, r) for r in rows], page.get(self.source.options.get("next_key", "nextLogId"))
+        return [_values(self.row_schema, r) for r in rows], page.get(self.source.options["next_key"])

@@ -194,3 +194,15 @@ def test_null_placeholders_keep_a_reference(spark):
     moved, complete = remap_ids(records, ["r.ref"], source, target)
     assert sorted((r.r.ref if r.r else None for r in moved.collect()), key=repr) == sorted([7, 8, None], key=repr)
     assert rows(complete) == sorted([(7, "A"), (8, None)], key=repr)
+
+
+def test_page_service_stops_at_the_first_empty_page(spark, tmp_path):
+    for page in range(14):
+        (tmp_path / f"page-{page}.json").write_text(json.dumps({"rows": [] if page == 2 else [{"id": page}]}))
+    df = paged_service(spark, PagedJsonSource, folder=str(tmp_path), row_schema="id int", readers="4")
+    assert rows(df) == [(0,), (1,)] == rows(paged_json(spark, str(tmp_path), "rows", "id int").drop("page"))
+
+
+def test_page_service_without_a_first_page_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="no first page"):
+        paged_service(spark, PagedJsonSource, folder=str(tmp_path), row_schema="id int").count()

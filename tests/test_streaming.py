@@ -37,12 +37,12 @@ def test_replayed_files_do_not_change_the_table(spark, arrivals, tmp_path):
 def test_cursor_is_followed_and_resumed(spark, tmp_path):
     chain = {"a": ([1, 2], "c"), "c": ([3], "b"), "b": ([4, 5], None)}
     for cursor, (ids, following) in chain.items():
-        page = {"logs": [{"id": i, "extra": "x"} for i in ids], "nextLogId": following}
+        page = {"logs": [{"id": i, "extra": "x"} for i in ids], "following": following}
         (tmp_path / f"{cursor}.json").write_text(json.dumps(page))
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
     def run():
-        stream = tail_cursor(spark, folder=str(tmp_path), start="a", row_schema="id int")
+        stream = tail_cursor(spark, folder=str(tmp_path), start="a", row_schema="id int", next_key="following")
         drain(append_batches(stream, out, checkpoint, available_now=False))
         return sorted(r.id for r in spark.read.parquet(out).collect())
 
