@@ -134,11 +134,28 @@ def _induce_one_by_one(text: np.ndarray, smaller: np.ndarray, starts: np.ndarray
     return np.array(order, np.int32)
 
 
+def _order_names(names: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of a text with a large alphabet: names of runs twice as long in each round, until all differ."""
+    rank, reach, n = np.unique(names, return_inverse=True)[1].astype(np.int64), 1, len(names)
+    while True:
+        following = np.zeros(n, np.int64)
+        following[: n - reach] = rank[reach:] + 1
+        key = rank * (n + 1) + following
+        order = np.argsort(key)
+        ordered = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
+        if rank[order[-1]] == n - 1:
+            return order
+        reach *= 2
+
+
 def suffix_array(text: np.ndarray, size: int = 256) -> np.ndarray:
-    """Start places of all suffixes in order, by induced sorting in linear time.
+    """Start places of all suffixes in order, by induced sorting.
 
     Suffixes are classified, the leftmost smaller ones sorted by their substrings; where substrings are equal their names
-    form a shorter text, sorted by the same way.
+    form a text of at most half the length. That is sorted in the same way, or by doubling if its alphabet is so large that
+    buckets hold a few suffixes only, which array operations could not induce together.
     """
     n = len(text)
     if n < 2:
@@ -171,7 +188,7 @@ def suffix_array(text: np.ndarray, size: int = 256) -> np.ndarray:
         if count == len(starts):
             sorted_starts = order
         else:
-            sorted_starts = starts[suffix_array(reduced, count)]
+            sorted_starts = starts[suffix_array(reduced, count) if len(reduced) > 64 * count or len(reduced) < 2_000 else _order_names(reduced)]
     else:
         sorted_starts = starts
     return induce(text, smaller, sorted_starts, size)
@@ -337,11 +354,11 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     one = F.min(F.struct("text_id", "place", "size")).alias("one")
     regions = uses.groupBy("gram", "digest").agg(F.sum(F.col("copies") * F.col("times")).alias("n"), one)
     regions = materialize(regions.select("gram", "digest", "n", "one.*"), "distinct-regions")
-    grams = regions.groupBy("gram").agg(F.count(F.lit(1)).alias("different"), F.sum("n").alias("total")).where("total > 1")
-    shared = materialize(regions.join(grams.select("gram", "different"), "gram"), "shared-regions")
-    # Regions that no other region shares a gram with occur as often as they were counted.
-    alone = shared.where("different = 1").select("gram", "digest", F.lit(None).cast("binary").alias("ranges"))
-    compared = shared.where("different > 1")
+    grams = regions.groupBy("gram").agg(F.count(F.lit(1)).alias("different"), F.sum("n").alias("total"), F.count_if(F.col("n") == 1).alias("single")).where("total > 1")
+    shared = materialize(regions.join(grams.drop("total"), "gram"), "shared-regions")
+    # Where every region of a gram was counted more than once, all its windows are repeated.
+    alone = shared.where("single = 0").select("gram", "digest", F.lit(None).cast("binary").alias("ranges"))
+    compared = shared.where("single > 0")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

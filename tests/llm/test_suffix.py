@@ -34,6 +34,12 @@ def test_suffix_array_and_prefixes(data, by_bucket):
             assert shared[b] == n
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=60))
+def test_order_of_names(names):
+    assert suffix._order_names(np.array(names)).tolist() == sorted(range(len(names)), key=lambda i: names[i:])
+
+
 def test_large_suffix_array():
     draw = np.random.default_rng(3)
     base = draw.integers(97, 101, 2000).astype(np.uint8)
