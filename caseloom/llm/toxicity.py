@@ -63,7 +63,7 @@ def grams_of(folded: np.ndarray, length: int) -> np.ndarray:
     """The gram of ``length`` characters that ends at each place (meaningless where the word is too short); its length is in bits 60 to 62."""
     key = np.zeros(len(folded), np.int64)
     for back in range(length - 1, -1, -1):
-        part = np.concatenate([np.zeros(back, np.int64), folded[: len(folded) - back]])
+        part = np.concatenate([np.zeros(back, np.int64), folded])[: len(folded)]
         key = (key << CHAR_BITS) | part
     return key | (length << 60)
 
@@ -228,15 +228,32 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
     return docs.select(*kept, text).mapInArrow(apply, ", ".join([*kinds, "n_words bigint, n_effective double, log_ratio double"]))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
-    """Weights of a logistic regression by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, steps: int = 100) -> np.ndarray:
+    """Weights of a logistic regression whose first column is constant: Newton steps on standardised columns, halved until the loss falls."""
+    mean, spread = x.mean(axis=0), x.std(axis=0)
+    mean[0], spread[0] = 0.0, 1.0
+    spread[spread == 0] = 1.0
+    z = (x - mean) / spread
+    penalty = np.full(x.shape[1], ridge)
+    penalty[0] = 1e-6
+
+    def loss(w: np.ndarray) -> float:
+        score = z @ w
+        return float((np.logaddexp(0, score) - y * score).sum() + 0.5 * (penalty * w * w).sum())
+
     w = np.zeros(x.shape[1])
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
-        w += np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-9:
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
+        slope = z.T @ (p - y) + penalty * w
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty), slope)
+        size, now = 1.0, loss(w)
+        while size > 1e-6 and loss(w - size * step) > now:
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
+    w = w / spread
+    w[0] -= (w * mean)[1:].sum()
     return w
 
 
@@ -248,7 +265,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
     not counted but calibrates the probability: a logistic curve over the length-normalised log-likelihood ratio and the effective number of words, fitted to the
     ``calibration_rows`` of them that are first by hash; all the rest is counted. Labels, language, source and key are
     never inputs of a score. Every label row counts once; labels other than 0 and 1 and null keys are left out. Without
-    labels of both classes all scores are 0. Texts without words have ratio 0; null texts count as empty. Rows without key are
+    labels of both classes all scores are 0. Texts without words, null ones too, have ratio and score 0. Rows without key are
     scored and not held out. Repeated rows stay, other columns are ignored, an empty table gives an empty result.
     Returns the key, the column ``carry`` if named, held_out, score, predicted (1 from ``threshold`` on), n_words and log_ratio.
     """
@@ -264,8 +281,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
     if 0 < y.sum() < len(y):
         w = logistic(np.stack(features(ratio, n), axis=1), y)
         r, m = F.col("log_ratio"), F.col("n_effective")
-        z = F.lit(float(w[0])) + r * float(w[1]) + r * F.sqrt(m) * float(w[2]) + F.log1p(m) * float(w[3])
-        score = 1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), z))))
+        # The trend over the number of words is not carried on below the fewest words it was fitted to.
+        size = F.log1p(F.greatest(m, F.lit(float(n.min()))))
+        z = F.lit(float(w[0])) + r * float(w[1]) + r * F.sqrt(m) * float(w[2]) + size * float(w[3])
+        score = F.when(F.col("n_words") == 0, 0.0).otherwise(1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), z)))))
     else:
         score = F.lit(0.0)
     return scored.select(key, *([carry] if carry else []), fold.alias("held_out"), score.alias("score"), (score >= threshold).cast("int").alias("predicted"), "n_words", "log_ratio")
