@@ -18,19 +18,52 @@ from caseloom.llm.jaccard import keep_one
 from caseloom.llm.registry import table
 from caseloom.llm.suffix import remove_repeats
 from caseloom.llm.toxicity import remove_toxic
-from caseloom.session import scratch_path
+from caseloom.session import scratch_path, shared_dir
 
+# What the stage before stored on its way, by session; its result has been written when the next stage begins.
+_STORED: dict[str, set[str]] = {}
 
+
+def _entries(spark: SparkSession) -> tuple[object, set[str]]:
+    """The file system of the shared folder and what this application keeps there."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    store = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store, {str(status.getPath()) for status in store.listStatus(base)} if store.exists(base) else set()
+
+
+def staged(stage):
+    """A stage that first clears what the stage before it stored in the shared folder, so that disk use does not add up.
+
+    Only entries that came up while a stage was being built are cleared, never inputs or results.
+    """
+
+    def apply(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        owner = spark.sparkContext.applicationId
+        store, before = _entries(spark)
+        for path in _STORED.pop(owner, set()) & before:
+            store.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
+        found = stage(spark, docs, sf_dir)
+        _STORED[owner] = _entries(spark)[1] - before
+        return found
+
+    apply.__name__, apply.__doc__ = stage.__name__, stage.__doc__
+    return apply
+
+
+@staged
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models reject go."""
     return remove_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+@staged
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every class of near duplicates stays: the one with the smallest doc_id."""
     return keep_one(docs)
 
 
+@staged
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 400 bytes and more that occur elsewhere are cut out; n_chars follows, all rows stay."""
     kept = remove_repeats(docs)
@@ -40,11 +73,13 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return kept.withColumn("n_chars", changed)
 
 
+@staged
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
     return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@staged
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, decoded again as a check: doc_id, n_tokens, ids_sha256, decoded_sha256, ids."""
     return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=True)
