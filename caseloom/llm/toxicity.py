@@ -1,38 +1,45 @@
 """Toxicity scores: two class-conditional Kneser-Ney models of spelling that back off to shared counts.
 
-A model predicts every character of a word (and its end) from up to ``ORDER - 1`` characters before it, as far back as the
-start of the word. From the labelled texts of each class come the counts of the longest grams; all shorter grams that do
-not begin a word have continuation counts, the number of different characters they are seen after. With n the counts of a
-gram (h, w), N(h) their sum over w and T(h) the number of different w::
+A model predicts every character of a text in lower case (one space between words, around the whole and at its end) from up
+to ``ORDER - 1`` characters before it, also over the ends of words. From the labelled texts of each class come the counts of
+the longest grams; all shorter grams have continuation counts, the number of different characters they are seen after (the
+few that begin a text also what was seen). With n the counts of a gram (h, w), N(h) their sum over w and T(h) the number of different w::
 
     p(w)        = pooled continuations of both classes, add-one over the alphabet
     p(w | h, c) = (max(n_c(h, w) - D, 0) + D * T_c(h) * p(w | h', c)) / N_c(h)      h' is h without its first character
 
-so rare expressions fall back to shorter ones and at last to counts that both classes share. Characters are folded to
-10 bits and grams are exact 64-bit numbers until the end, when they are hashed to ``2**GRAM_BITS`` slots and their contexts to
-``2**CONTEXT_BITS``. Both tables have a fixed size (32 MB each) and can be broadcast whatever the corpus; the counts in
-them come from every labelled row.
+so rare expressions fall back to shorter ones and at last to counts that both classes share. Grams are exact for every alphabet:
+two 64-bit numbers hold their characters and length. The counts are a table that grows with the labelled texts and is never
+gathered or broadcast. Texts are scored in chunks: the distinct grams of a chunk are joined with the table, and what is
+found meets the chunk again. A chunk ends after ``CHUNK_CHARS`` characters; a longer text is a chunk of its own.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from caseloom.llm.text import mix
 from caseloom.session import broadcast_if_small, materialize
 
+# The alphabet has 2**CHAR_BITS characters, or as many as were seen if these are more.
 ORDER, CHAR_BITS = 5, 10
-GRAM_BITS, CONTEXT_BITS, BLOCK_BITS = 22, 21, 16
+# Bits of a code point. A gram's last three characters are in ``lo``, those before in ``hi`` below its length.
+CODE_BITS, HIGH_BITS, LOW_BITS = 21, 42, 63
 DISCOUNT = 0.75
-SPACE = 32
+CHUNK_CHARS = 6_000_000
 # Label rows up to which they are broadcast (16 bytes each); beyond it texts and labels are shuffled.
 LABEL_ROWS = 1_000_000
+# Of a gram n, of a context the sum and the number of what follows.
+COUNTS = ["n0", "n1", "sum0", "sum1", "kinds0", "kinds1"]
 
 
 def word_counts(text: str | None) -> Counter:
@@ -43,189 +50,221 @@ def word_counts(text: str | None) -> Counter:
     return Counter(words)
 
 
-def characters(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Folded characters of the words with a space around each, how far each is from the space before it, and its word's number.
-
-    The first entry is the opening space; every later space ends a word and opens the next.
-    """
-    codes = np.frombuffer((" " + " ".join(words) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-    space = codes == SPACE
-    folded = ((codes ^ (codes >> CHAR_BITS)) & ((1 << CHAR_BITS) - 1)).astype(np.int64)
-    folded[~space & (folded == SPACE)] = SPACE + 1
-    at = np.arange(len(codes))
-    last = np.maximum.accumulate(np.where(space, at, 0))
-    before = np.concatenate([[0], last[:-1]])
-    word = np.cumsum(space) - 1 - space
-    return folded, at - before, np.maximum(word, 0)
-
-
-def grams_of(folded: np.ndarray, length: int) -> np.ndarray:
-    """The gram of ``length`` characters that ends at each place (meaningless where the word is too short); its length is in bits 60 to 62."""
-    key = np.zeros(len(folded), np.int64)
-    for back in range(length - 1, -1, -1):
-        part = np.concatenate([np.zeros(back, np.int64), folded])[: len(folded)]
-        key = (key << CHAR_BITS) | part
-    return key | (length << 60)
+def units_of(text: str | None, across: bool) -> list[str]:
+    """What a history does not leave: the whole text, or else each of its words."""
+    words = text.lower().split() if text else []
+    return [" ".join(words)] if across and words else words
 
 
-def slot(gram: np.ndarray, bits: int) -> np.ndarray:
-    return (mix(gram.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+class Grams:
+    """The distinct grams of some units, each found by adding a character to one that is shorter by one.
 
+    They are numbered by length: ``hi``, ``lo`` spell a gram, ``context`` is the number of the gram without its last
+    character, ``suffix`` of the gram without its first. ``ends`` has for every predicted character the longest
+    gram that ends there, ``unit`` the number of its unit.
+    """
 
-def longest_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """For every predicted character the longest gram that ends there, and the number of its word."""
-    folded, reach, word = characters(words)
-    key = np.zeros(len(folded), np.int64)
-    for length in range(2, ORDER + 1):
-        here = (reach + 1 == length) if length < ORDER else (reach + 1 >= length)
-        key[here] = grams_of(folded, length)[here]
-    return key[1:], word[1:]
+    def __init__(self, units: list[str]):
+        sizes = np.array([len(unit) + 2 for unit in units], np.int64)
+        codes = np.frombuffer("".join(f" {unit} " for unit in units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        reach = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        ends = np.zeros(len(codes), np.int64)
+        at = np.zeros(len(codes), np.int64)
+        first = pa.array(codes).dictionary_encode()
+        at[:] = first.indices.to_numpy()
+        chars = first.dictionary.to_numpy()
+        hi, lo = [np.full(len(chars), 1 << HIGH_BITS, np.int64)], [chars.astype(np.int64)]
+        none = np.full(len(chars), -1, np.int64)
+        context, suffix, self.starts = [none], [none], [0, len(chars)]
+        for length in range(2, ORDER + 1):
+            places = np.flatnonzero(reach >= length - 1)
+            key = pa.array((at[places - 1] << CODE_BITS) | codes[places]).dictionary_encode()
+            found, values = key.indices.to_numpy(), key.dictionary.to_numpy()
+            before, char = values >> CODE_BITS, values & ((1 << CODE_BITS) - 1)
+            shorter = np.zeros(len(values), np.int64)
+            shorter[found] = at[places]
+            high = ((hi[-1][before] << CODE_BITS) | (lo[-1][before] >> HIGH_BITS)) & ((1 << HIGH_BITS) - 1)
+            lo.append(((lo[-1][before] << CODE_BITS) | char) & ((1 << LOW_BITS) - 1))
+            hi.append(high | (length << HIGH_BITS))
+            context.append(before + self.starts[-2])
+            suffix.append(shorter + self.starts[-2])
+            at = np.zeros(len(codes), np.int64)
+            at[places] = found
+            ends[places] = found + self.starts[-1]
+            self.starts.append(self.starts[-1] + len(values))
+        self.hi, self.lo, self.context, self.suffix = (np.concatenate(x) for x in (hi, lo, context, suffix))
+        predicted = reach > 0
+        self.ends, self.unit = ends[predicted], np.repeat(np.arange(len(units)), sizes)[predicted]
+
+    def ratios(self, counts: dict[str, np.ndarray], total: int, alphabet: int) -> np.ndarray:
+        """Of every gram log p(toxic) - log p(ordinary) of its last character, by its counts and those of the shorter ones."""
+        base = (1.0 + counts["n0"][: self.starts[1]] + counts["n1"][: self.starts[1]]) / (alphabet + total)
+        p = [np.concatenate([base, np.zeros(self.starts[-1] - len(base))]) for _ in (0, 1)]
+        for low, high in zip(self.starts[1:-1], self.starts[2:]):
+            part, h, back = slice(low, high), self.context[low:high], self.suffix[low:high]
+            for c in (0, 1):
+                n, seen = counts[f"n{c}"][part], counts[f"sum{c}"][h]
+                mixed = (np.maximum(n - DISCOUNT, 0) + DISCOUNT * counts[f"kinds{c}"][h] * p[c][back]) / np.maximum(seen, 1)
+                p[c][part] = np.where(seen > 0, np.minimum(mixed, 1.0), p[c][back])
+        return np.log(np.maximum(p[1], 1e-300)) - np.log(np.maximum(p[0], 1e-300))
 
 
-def count_grams(texts: DataFrame, most: int = 300_000) -> DataFrame:
-    """Counts of the longest grams over rows (text, class): gram, n0, n1. Words are counted in the task first."""
+def count_grams(texts: DataFrame, across: bool) -> DataFrame:
+    """Counts of the longest grams over rows (text, class): hi, lo, n0, n1."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = (Counter(), Counter())
+        units, classes, size = [], [], 0
 
         def out():
-            words = list(held[0].keys() | held[1].keys())
-            weights = [np.array([held[c][w] for w in words], np.int64) for c in (0, 1)]
-            grams, word = longest_grams(words)
-            keys, at = np.unique(grams, return_inverse=True)
-            sums = [np.bincount(at, weights[c][word], len(keys)).astype(np.int64) for c in (0, 1)]
-            for counter in held:
-                counter.clear()
-            for low in range(0, len(keys), 100_000):
-                part = slice(low, low + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[part]), pa.array(sums[0][part]), pa.array(sums[1][part])], ["gram", "n0", "n1"])
+            grams, toxic = Grams(units), np.array(classes, np.int64)
+            sums = [np.bincount(grams.ends[toxic[grams.unit] == c], minlength=grams.starts[-1]) for c in (0, 1)]
+            seen = np.flatnonzero(sums[0] + sums[1])
+            for low in range(0, len(seen), 100_000):
+                part = seen[low : low + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(x[part].astype(np.int64)) for x in (grams.hi, grams.lo, *sums)], ["hi", "lo", "n0", "n1"])
 
         for batch in batches:
             for value, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                held[toxic].update(word_counts(value.as_py()))
-            if len(held[0]) + len(held[1]) >= most:
-                yield from out()
-        if held[0] or held[1]:
+                for unit in units_of(value.as_py(), across):
+                    units.append(unit)
+                    classes.append(toxic)
+                    size += len(unit) + 2
+                if size >= CHUNK_CHARS:
+                    yield from out()
+                    units, classes, size = [], [], 0
+        if units:
             yield from out()
 
-    partial = texts.mapInArrow(count, "gram bigint, n0 bigint, n1 bigint")
-    return partial.groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    partial = texts.mapInArrow(count, "hi bigint, lo bigint, n0 bigint, n1 bigint")
+    return partial.groupBy("hi", "lo").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
-def length_of(gram):
-    return F.shiftright(gram, 60)
+def length_of(hi):
+    return F.shiftright(hi, HIGH_BITS)
 
 
-def shorten(gram, length):
-    """The last ``length`` characters of a gram column."""
-    mask = F.element_at(F.array(*[F.lit((1 << (CHAR_BITS * i)) - 1) for i in range(1, ORDER + 1)]), length.cast("int"))
-    return gram.bitwiseAND(mask).bitwiseOR(F.shiftleft(length.cast("long"), 60))
+def last_of(length):
+    """The last ``length`` characters (a column) of the gram (hi, lo)."""
+    high = F.when(length >= 5, F.col("hi").bitwiseAND((1 << HIGH_BITS) - 1)).when(length == 4, F.col("hi").bitwiseAND((1 << CODE_BITS) - 1)).otherwise(F.lit(0).cast("long"))
+    low = F.when(length >= 3, F.col("lo")).when(length == 2, F.col("lo").bitwiseAND((1 << HIGH_BITS) - 1)).otherwise(F.col("lo").bitwiseAND((1 << CODE_BITS) - 1))
+    return F.struct(high.bitwiseOR(F.shiftleft(length, HIGH_BITS)).alias("hi"), low.alias("lo"))
 
 
 def kneser_ney_counts(longest: DataFrame) -> DataFrame:
-    """Counts of the grams of every length: as seen for the longest and those that begin a word, else of continuations."""
-    lengths = F.sequence(F.lit(1).cast("long"), length_of("gram"))
-    parts = longest.select(F.explode(F.transform(lengths, lambda n: shorten(F.col("gram"), n))).alias("gram"), (F.col("n0") > 0).alias("p0"), (F.col("n1") > 0).alias("p1"))
-    present = parts.groupBy("gram").agg(F.max("p0").alias("p0"), F.max("p1").alias("p1")).where(length_of("gram") > 1)
-    suffix = shorten(F.col("gram"), length_of("gram") - 1)
-    continued = present.groupBy(suffix.alias("gram")).agg(F.sum(F.col("p0").cast("long")).alias("n0"), F.sum(F.col("p1").cast("long")).alias("n1"))
-    return longest.select("gram", "n0", "n1").unionByName(continued)
-
+    """Counts of the grams of every length: as seen for the longest and those that begin a unit, plus those of continuations."""
+    lengths = F.sequence(F.lit(2).cast("long"), length_of("hi"))
+    parts = longest.select(F.explode(F.transform(lengths, last_of)).alias("gram"), (F.col("n0") > 0).alias("p0"), (F.col("n1") > 0).alias("p1"))
+    present = parts.groupBy("gram.hi", "gram.lo").agg(F.max("p0").alias("p0"), F.max("p1").alias("p1"))
+    shorter = present.select(last_of(length_of("hi") - 1).alias("gram"), "p0", "p1")
+    continued = shorter.select("gram.hi", "gram.lo", F.col("p0").cast("long").alias("n0"), F.col("p1").cast("long").alias("n1"))
+    return longest.select("hi", "lo", "n0", "n1").unionByName(continued).groupBy("hi", "lo").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
-def fixed_table(rows: DataFrame, columns: list[str], bits: int) -> np.ndarray:
-    """Sums of the columns by slot of the gram, as arrays of ``2**bits``, gathered as at most ``2**(bits - BLOCK_BITS)`` packed blocks."""
-    width = 1 << BLOCK_BITS
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(slot(batch.column(0).to_numpy(), bits)), *batch.columns[1:]], ["slot", *columns])
+@dataclass
+class Models:
+    """Both models: a row per gram and context (hi, lo and COUNTS), the sum of the characters' counts and the alphabet's size."""
 
-    def pack(key: tuple, table: pa.Table) -> pa.Table:
-        block = np.zeros((len(columns), width), np.float32)
-        at = table.column("slot").to_numpy() & (width - 1)
-        for i, name in enumerate(columns):
-            block[i, at] = table.column(name).to_numpy()
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([block.tobytes()], pa.binary())})
+    rows: DataFrame
+    total: int
+    alphabet: int
+    across: bool
 
-    longs = ", ".join(f"{name} bigint" for name in columns)
-    by_slot = rows.select("gram", *columns).mapInArrow(hashed, f"slot bigint, {longs}").groupBy("slot").agg(*[F.sum(name).alias(name) for name in columns])
-    packed = by_slot.groupBy(F.shiftright("slot", BLOCK_BITS).alias("block")).applyInArrow(pack, "block bigint, data binary")
-    found = np.zeros((len(columns), 1 << bits), np.float32)
-    for row in packed.collect():
-        found[:, row.block * width : (row.block + 1) * width] = np.frombuffer(row.data, np.float32).reshape(len(columns), width)
-    return found
+    def ratios(self, words: list[str]) -> np.ndarray:
+        """Sum over the characters of each word of log p(toxic) - log p(ordinary)."""
+        docs = self.rows.sparkSession.createDataFrame(list(enumerate(words)), "doc_id bigint, text string")
+        found = {row.doc_id: row.log_ratio * row.n_chars for row in log_ratios(docs, self).collect()}
+        return np.array([found[i] for i in range(len(words))])
 
 
-class Models:
-    """The fixed-size tables and the log-likelihood ratio of words they give."""
+def train(texts: DataFrame, across: bool = False) -> Models:
+    """Both models from rows (text, class); ``across`` lets the history run over the ends of words."""
+    counts = materialize(kneser_ney_counts(materialize(count_grams(texts, across), "grams")), "counts")
+    high = F.shiftright(F.col("hi").bitwiseAND((1 << HIGH_BITS) - 1), CODE_BITS).bitwiseOR(F.shiftleft(length_of("hi") - 1, HIGH_BITS))
+    low = F.shiftright("lo", CODE_BITS).bitwiseOR(F.shiftleft(F.col("hi").bitwiseAND((1 << CODE_BITS) - 1), HIGH_BITS))
+    sums = [F.sum(f"n{c}").alias(f"sum{c}") for c in (0, 1)] + [F.count(F.when(F.col(f"n{c}") > 0, 1)).alias(f"kinds{c}") for c in (0, 1)]
+    contexts = counts.where(length_of("hi") > 1).groupBy(high.alias("hi"), low.alias("lo")).agg(*sums)
+    zero = F.lit(0).cast("long")
+    both = counts.select("hi", "lo", "n0", "n1", *[zero.alias(name) for name in COUNTS[2:]]).unionByName(contexts.select("hi", "lo", zero.alias("n0"), zero.alias("n1"), *COUNTS[2:]))
+    rows = materialize(both.groupBy("hi", "lo").agg(*[F.sum(name).alias(name) for name in COUNTS]), "models")
+    one = counts.where(length_of("hi") == 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("n0") + F.col("n1")), zero).alias("total")).first()
+    return Models(rows, one.total, max(1 << CHAR_BITS, one.n), across)
 
-    def __init__(self, grams: np.ndarray, contexts: np.ndarray, base: np.ndarray):
-        # grams: n0, n1; contexts: N0, N1, T0, T1; base: shared probability of each folded character.
-        self.grams, self.contexts, self.base = grams, contexts, base
 
-    def ratios(self, words: list[str]) -> np.ndarray:
-        """Sum over the characters of each word of log p(toxic) - log p(ordinary)."""
-        folded, reach, word = characters(words)
-        p = [self.base[folded].astype(np.float64) for _ in (0, 1)]
-        for length in range(2, ORDER + 1):
-            at = np.flatnonzero(reach + 1 >= length)
-            at = at[at > 0]
-            gram = grams_of(folded, length)[at]
-            context = ((gram & ((1 << 60) - 1)) >> CHAR_BITS) | ((length - 1) << 60)
-            g, h = slot(gram, GRAM_BITS), slot(context, CONTEXT_BITS)
-            for c in (0, 1):
-                total = self.contexts[c][h]
-                mixed = (np.maximum(self.grams[c][g] - DISCOUNT, 0) + DISCOUNT * self.contexts[2 + c][h] * p[c][at]) / np.maximum(total, 1)
-                p[c][at] = np.where(total > 0, np.minimum(mixed, 1.0), p[c][at])
-        logs = np.log(np.maximum(p[1], 1e-12)) - np.log(np.maximum(p[0], 1e-12))
-        return np.bincount(word[1:], logs[1:], len(words))
-
-
-def train(texts: DataFrame) -> Models:
-    """Both models from rows (text, class)."""
-    counts = materialize(kneser_ney_counts(materialize(count_grams(texts), "grams")), "counts")
-    history = F.shiftright(F.col("gram").bitwiseAND((1 << 60) - 1), CHAR_BITS).bitwiseOR(F.shiftleft(length_of("gram") - 1, 60))
-    sums = [F.sum(f"n{c}").alias(f"N{c}") for c in (0, 1)] + [F.count(F.when(F.col(f"n{c}") > 0, 1)).alias(f"T{c}") for c in (0, 1)]
-    contexts = counts.where(length_of("gram") > 1).groupBy(history.alias("gram")).agg(*sums)
-    base = np.ones(1 << CHAR_BITS)
-    for row in counts.where(length_of("gram") == 1).collect():  # at most 1,024 characters
-        base[row.gram & ((1 << CHAR_BITS) - 1)] += row.n0 + row.n1
-    return Models(
-        fixed_table(counts.where(length_of("gram") > 1), ["n0", "n1"], GRAM_BITS),
-        fixed_table(contexts, ["N0", "N1", "T0", "T1"], CONTEXT_BITS),
-        (base / base.sum()).astype(np.float32),
-    )
-
-
-def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text", carry: str | None = None, memo: int = 400_000) -> DataFrame:
-    """Key, number of words, effective number of words and log-likelihood ratio per character of every row.
+def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text", carry: str | None = None) -> DataFrame:
+    """Key, number of words, effective number of words, characters and log-likelihood ratio per character of every row.
 
     The effective number, squared sum over sum of squares of the words' counts, is the number of words for even
-    counts and near 1 for one word repeated. Words are scored once each while the memo of their ratios, which is emptied at ``memo`` entries, holds them.
+    counts and near 1 for one word repeated.
     """
     kept = [key] + [carry] * (carry is not None)
     kinds = [f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in kept]
-    held = docs.sparkSession.sparkContext.broadcast((models.grams, models.contexts, models.base))
+    across, total, alphabet = models.across, models.total, models.alphabet
+    # Results are compared with types whose fields may all be null.
+    types = to_arrow_schema(StructType.fromDDL(", ".join(kinds))).types
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        local, known = Models(*held.value), {}
+    def grams_of(texts: list[str | None]) -> tuple[Grams, np.ndarray]:
+        units = [units_of(value, across) for value in texts]
+        return Grams([unit for part in units for unit in part]), np.repeat(np.arange(len(texts)), [len(part) for part in units])
+
+    def packed(table: pa.Table) -> bytes:
+        stream = pa.BufferOutputStream()
+        with pa.ipc.new_stream(stream, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(table)
+        return stream.getvalue().to_pybytes()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
+
+        def out():
+            table = pa.Table.from_batches(held).combine_chunks()
+            grams, _ = grams_of(table.column(len(kept)).to_pylist())
+            wanted = pa.table({"hi": grams.hi, "lo": grams.lo})
+            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([packed(table)], pa.binary()), pa.array([packed(wanted)], pa.binary())], ["chunk", "rows", "wanted"])
+
+        for batch in batches:
+            low, lengths = 0, [len(value) if value else 0 for value in batch.column(len(kept)).to_pylist()]
+            for at, length in enumerate(lengths):
+                size += length
+                if size >= CHUNK_CHARS:
+                    held.append(batch.slice(low, at + 1 - low))
+                    yield out()
+                    chunk, held, size, low = chunk + 1, [], 0, at + 1
+            if low < len(lengths):
+                held.append(batch.slice(low))
+        if held:
+            yield out()
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, spread, ratios = [], [], []
-            for value in batch.column(len(kept)):
-                words = word_counts(value.as_py())
-                if len(known) > memo:
-                    known.clear()
-                fresh = [w for w in words if w not in known]
-                if fresh:
-                    known.update(zip(fresh, local.ratios(fresh).tolist()))
-                characters = sum(n * (len(w) + 1) for w, n in words.items())
-                sizes.append(sum(words.values()))
-                spread.append(sizes[-1] ** 2 / max(1, sum(n * n for n in words.values())))
-                ratios.append(sum(n * known[w] for w, n in words.items()) / max(1, characters))
-            columns = [*batch.columns[: len(kept)], pa.array(sizes, pa.int64()), pa.array(spread, pa.float64()), pa.array(ratios, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, "n_words", "n_effective", "log_ratio"])
-
-    return docs.select(*kept, text).mapInArrow(apply, ", ".join([*kinds, "n_words bigint, n_effective double, log_ratio double"]))
+            for chunk, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                table, low = pa.ipc.open_stream(wanted).read_all(), 0
+                for part in table.to_batches(max_chunksize=100_000):
+                    n = part.num_rows
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(np.arange(low, low + n)), *part.columns], ["chunk", "at", "hi", "lo"])
+                    low += n
+
+    def score(group: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        table = pa.ipc.open_stream(left.column("rows")[0].as_py()).read_all()
+        texts = table.column(len(kept)).to_pylist()
+        grams, row = grams_of(texts)
+        at, counts = right.column("at").to_numpy(), {}
+        for name in COUNTS:
+            counts[name] = np.zeros(grams.starts[-1])
+            counts[name][at] = right.column(name).to_numpy()
+        each = row[grams.unit] if len(row) else np.zeros(0, np.int64)
+        sums = np.bincount(each, grams.ratios(counts, total, alphabet)[grams.ends], len(texts))
+        chars = np.bincount(each, minlength=len(texts))
+        words = [word_counts(value) for value in texts]
+        sizes = [sum(found.values()) for found in words]
+        spread = [n**2 / max(1, sum(x * x for x in found.values())) for n, found in zip(sizes, words)]
+        columns = [pa.array(sizes, pa.int64()), pa.array(spread, pa.float64()), pa.array(chars.astype(np.int64)), pa.array(sums / np.maximum(chars, 1))]
+        return pa.Table.from_arrays([*(column.cast(kind) for column, kind in zip(table.columns, types)), *columns], [*kept, "n_words", "n_effective", "n_chars", "log_ratio"])
+
+    chunks = materialize(docs.select(*kept, text).mapInArrow(cut, "chunk bigint, rows binary, wanted binary"), "chunks")
+    asked = chunks.select("chunk", "wanted").mapInArrow(ask, "chunk bigint, at bigint, hi bigint, lo bigint")
+    answers = asked.join(models.rows, ["hi", "lo"]).select("chunk", "at", *COUNTS)
+    both = chunks.select("chunk", "rows").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    return both.applyInArrow(score, ", ".join([*kinds, "n_words bigint, n_effective double, n_chars bigint, log_ratio double"]))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, steps: int = 100) -> np.ndarray:
@@ -273,7 +312,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
     spare = F.pmod(F.xxhash64(key), F.lit(5)) == 0
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~fold).select(key, F.col(label).cast("int").alias("class"))
     small = broadcast_if_small(known.where(~spare), LABEL_ROWS)
-    models = train(docs.select(key, F.col(text).alias("text")).join(small, key).select("text", "class"))
+    models = train(docs.select(key, F.col(text).alias("text")).join(small, key).select("text", "class"), across=True)
     scored = materialize(log_ratios(docs, models, key, text, carry), "ratios")
     sample = scored.where(spare).join(known, key).orderBy(F.xxhash64(key, F.lit(1))).limit(calibration_rows).select("log_ratio", "n_effective", "class").collect()
     features = lambda ratio, n: [np.ones_like(ratio), ratio, ratio * np.sqrt(n), np.log1p(n)]

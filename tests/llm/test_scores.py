@@ -130,3 +130,15 @@ def test_rejected_rows_are_judged_by_their_own_text(data):
     predicted = toxicity.toxicity_scores(frame, known)
     assert kept.count() == predicted.where("predicted = 0").count()
     assert {r.text for r in kept.where("doc_id is null or doc_id >= 400").collect()} == {t for k, t in docs if k is None or k >= 400}
+
+
+def test_grams_are_exact_for_every_alphabet_and_cross_words(spark):
+    ordinary, toxic = ["ka lo", "mi tu"] * 50, ["ka tu"] * 50
+    models = toxicity.train(spark.createDataFrame([(t, 0) for t in ordinary] + [(t, 1) for t in toxic], "text string, class int"), across=True)
+    expression, other = (models.ratios([text])[0] for text in ("ka tu", "ka lo"))
+    assert expression > 1 > -1 > other
+    # These characters agree in the bits that a folded table would keep.
+    grams = toxicity.Grams(["aѡ", "\U00010461b", "aa"])
+    assert len({(h, l) for h, l in zip(grams.hi, grams.lo)}) == grams.starts[-1]
+    spelled = {"".join(chr(c) for c in (hi >> 21 & 0x1FFFFF, hi & 0x1FFFFF, lo >> 42, lo >> 21 & 0x1FFFFF, lo & 0x1FFFFF) if c) for hi, lo in zip((grams.hi & (1 << 42) - 1).tolist(), grams.lo.tolist())}
+    assert spelled == {f" {w} "[i:j] for w in ("aѡ", "\U00010461b", "aa") for i in range(len(w) + 2) for j in range(i + 1, min(len(w) + 2, i + 5) + 1)}
