@@ -267,7 +267,7 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
     return both.applyInArrow(score, ", ".join([*kinds, "n_words bigint, n_effective double, n_chars bigint, log_ratio double"]))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, steps: int = 100) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0, ridge: float = 0.01, steps: int = 100) -> np.ndarray:
     """Weights of a logistic regression whose first column is constant: Newton steps on standardised columns, halved until the loss falls."""
     mean, spread = x.mean(axis=0), x.std(axis=0)
     mean[0], spread[0] = 0.0, 1.0
@@ -278,13 +278,13 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, steps: int = 100
 
     def loss(w: np.ndarray) -> float:
         score = z @ w
-        return float((np.logaddexp(0, score) - y * score).sum() + 0.5 * (penalty * w * w).sum())
+        return float((weight * (np.logaddexp(0, score) - y * score)).sum() + 0.5 * (penalty * w * w).sum())
 
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
-        slope = z.T @ (p - y) + penalty * w
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty), slope)
+        slope = z.T @ (weight * (p - y)) + penalty * w
+        step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + np.diag(penalty), slope)
         size, now = 1.0, loss(w)
         while size > 1e-6 and loss(w - size * step) > now:
             size /= 2
@@ -302,27 +302,40 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
 
     A row is held out if crc32 of its key as text leaves ``held`` modulo ``folds``. Of the others, a fifth (by hash of the key) is
     not counted but calibrates the probability: a logistic curve over the length-normalised log-likelihood ratio and the effective number of words, fitted to the
-    ``calibration_rows`` of them that are first by hash; all the rest is counted. Labels, language, source and key are
+    ``calibration_rows`` of each class that are first by hash, weighted to the number of its rows; all the rest is counted. If the
+    fifth or the rest lacks a class, all labelled rows are counted and the probability is that of the models with the classes' shares. Labels, language, source and key are
     never inputs of a score. Every label row counts once; labels other than 0 and 1 and null keys are left out. Without
     labels of both classes all scores are 0. Texts without words, null ones too, have ratio and score 0. Rows without key are
     scored and not held out. Repeated rows stay, other columns are ignored, an empty table gives an empty result.
     Returns the key, the column ``carry`` if named, held_out, score, predicted (1 from ``threshold`` on), n_words and log_ratio.
     """
     fold = F.coalesce(F.crc32(F.col(key).cast("string")) % folds == held, F.lit(False))
-    spare = F.pmod(F.xxhash64(key), F.lit(5)) == 0
+    fifth = F.pmod(F.xxhash64(key), F.lit(5)) == 0
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~fold).select(key, F.col(label).cast("int").alias("class"))
-    small = broadcast_if_small(known.where(~spare), LABEL_ROWS)
+    worded = docs.where(F.col(text).rlike(r"\S")).select(key).join(broadcast_if_small(known, LABEL_ROWS), key)
+    sizes = {(row.spare, row["class"]): row["count"] for row in worded.groupBy(fifth.alias("spare"), "class").count().collect()}
+    # A curve needs both classes in the fifth and in the rest; with too few labels for that all are counted.
+    curve = all((part, c) in sizes for part in (False, True) for c in (0, 1))
+    of_class = [sizes.get((False, c), 0) + sizes.get((True, c), 0) for c in (0, 1)]
+    small = broadcast_if_small(known.where(~fifth) if curve else known, LABEL_ROWS)
     models = train(docs.select(key, F.col(text).alias("text")).join(small, key).select("text", "class"), across=True)
     scored = materialize(log_ratios(docs, models, key, text, carry), "ratios")
-    sample = scored.where(spare).join(known, key).orderBy(F.xxhash64(key, F.lit(1))).limit(calibration_rows).select("log_ratio", "n_effective", "class").collect()
-    features = lambda ratio, n: [np.ones_like(ratio), ratio, ratio * np.sqrt(n), np.log1p(n)]
-    ratio, n, y = (np.array([row[i] for row in sample], float) for i in range(3)) if sample else (np.zeros(0),) * 3
-    if 0 < y.sum() < len(y):
-        w = logistic(np.stack(features(ratio, n), axis=1), y)
-        r, m = F.col("log_ratio"), F.col("n_effective")
+    m = F.col("n_effective")
+    # One expression again and again says less than its ratio.
+    r = F.col("log_ratio") * m / (m + 1)
+    if curve:
+        spare = scored.where(fifth & (F.col("n_words") > 0)).join(known, key)
+        drawn = [spare.where(F.col("class") == c).orderBy(F.xxhash64(key, F.lit(1))).limit(calibration_rows).select("log_ratio", "n_effective", "class").collect() for c in (0, 1)]
+        ratio, n, y = (np.array([row[i] for part in drawn for row in part], float) for i in range(3))
+        ratio = ratio * n / (n + 1)
+        weight = np.where(y == 1, sizes[True, 1] / len(drawn[1]), sizes[True, 0] / len(drawn[0]))
+        w = logistic(np.stack([np.ones_like(ratio), ratio, ratio * np.sqrt(n), np.log1p(n)], axis=1), y, weight)
         # The trend over the number of words is not carried on below the fewest words it was fitted to.
         size = F.log1p(F.greatest(m, F.lit(float(n.min()))))
         z = F.lit(float(w[0])) + r * float(w[1]) + r * F.sqrt(m) * float(w[2]) + size * float(w[3])
+    elif min(of_class):
+        z = F.col("log_ratio") * F.col("n_chars") + float(np.log(of_class[1] / of_class[0]))
+    if min(of_class):
         score = F.when(F.col("n_words") == 0, 0.0).otherwise(1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), z)))))
     else:
         score = F.lit(0.0)

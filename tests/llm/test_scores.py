@@ -142,3 +142,12 @@ def test_grams_are_exact_for_every_alphabet_and_cross_words(spark):
     assert len({(h, l) for h, l in zip(grams.hi, grams.lo)}) == grams.starts[-1]
     spelled = {"".join(chr(c) for c in (hi >> 21 & 0x1FFFFF, hi & 0x1FFFFF, lo >> 42, lo >> 21 & 0x1FFFFF, lo & 0x1FFFFF) if c) for hi, lo in zip((grams.hi & (1 << 42) - 1).tolist(), grams.lo.tolist())}
     assert spelled == {f" {w} "[i:j] for w in ("aѡ", "\U00010461b", "aa") for i in range(len(w) + 2) for j in range(i + 1, min(len(w) + 2, i + 5) + 1)}
+
+
+def test_few_toxic_labels_still_give_scores(spark):
+    """The calibrating fifth has no toxic row here: scores come from all labelled rows."""
+    frame = spark.createDataFrame([(i, "zgru zgro " * 9 if i % 6 == 1 else "ba ke lo mi " * 9) for i in range(60)], "doc_id bigint, text string")
+    fifth = {r.doc_id for r in frame.selectExpr("doc_id", "pmod(xxhash64(doc_id), 5L) = 0 as spare").where("spare").collect()}
+    known = spark.createDataFrame([(i, int(i % 6 == 1)) for i in range(60) if i % 6 != 1 or i not in fifth], "doc_id bigint, toxic int")
+    got = toxicity.toxicity_scores(frame, known).collect()
+    assert all(r.predicted == int(r.doc_id % 6 == 1) for r in got)
