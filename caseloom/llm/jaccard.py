@@ -193,9 +193,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One whole row of every class of near duplicates; rows without words all stay, exact repetitions of the row kept go too."""
-    found = materialize(near_duplicates(docs, key, text, **options).select(F.col(key).alias("found_key"), F.col("mark").alias("found_mark"), "is_first"), "kept")
-    dropped = found.where("not is_first").drop("is_first").distinct()
-    same = docs[key].eqNullSafe(dropped["found_key"]) & (F.xxhash64(docs[text]) == dropped["found_mark"])
-    kept = docs.join(dropped, same, "left_anti")
-    repeated = found.where("is_first").groupBy("found_key", "found_mark").count().where("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates([key, text])
+    found = materialize(near_duplicates(docs, key, text, **options).select(F.col(key).alias("found_key"), F.col("mark").alias("found_mark"), "is_first", "n_equal"), "kept")
+    pairs = lambda rows: docs[key].eqNullSafe(rows["found_key"]) & (F.xxhash64(docs[text]) == rows["found_mark"])
+    dropped = found.where("not is_first").select("found_key", "found_mark").distinct()
+    kept = docs.join(dropped, pairs(dropped), "left_anti")
+    # Rows without words have n_equal 1, also where they repeat; equal rows with words count each other.
+    repeated = found.where("is_first and n_equal > 1").groupBy("found_key", "found_mark").count().where("count > 1")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, pairs(repeated), "left_semi").dropDuplicates([key, text])
+    return kept.join(repeated, pairs(repeated), "left_anti").unionByName(once)

@@ -99,3 +99,13 @@ def test_components(spark):
     hub = {a for a, b in links if b == "099"} | {"099"}
     assert {got[x] for x in hub} == {min(hub)} and "200" not in got
     assert graph.components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_keep_one_leaves_repeated_rows_without_words(spark):
+    from caseloom.llm.jaccard import keep_one
+
+    text = "one two three four five six seven"
+    rows = [(None, None, "a"), (None, None, "b"), (None, "", "c"), (None, "", "d"), (4, " ! ", "e"), (4, " ! ", "f"), (1, text, "g"), (1, text, "h"), (2, text, "i"), (3, "other", "j")]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    left = sorted(r.source for r in kept.collect())
+    assert [x for x in left if x not in "gh"] == ["a", "b", "c", "d", "e", "f", "j"] and len(left) == 8
