@@ -14,23 +14,34 @@ EDGES = string.punctuation + "“”„‘’«»…–—¿¡·•"
 
 
 class Memo(dict):
-    """Values made on first use, in two generations of at most ``limit`` entries, so memory is bounded.
+    """Values made on first use, in two generations of at most ``limit`` entries and ``size`` characters and bytes each, so memory is bounded.
 
     When the young generation is full it becomes the old one; what is used again moves back, so frequent keys stay.
+    Keys of more than ``LONGEST`` characters are not kept.
     """
 
-    def __init__(self, make: Callable, limit: int = 300_000):
+    LONGEST = 1_000
+
+    def __init__(self, make: Callable, limit: int = 300_000, size: int = 1 << 25):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.limit, self.size, self.held, self.old = make, limit, size, 0, {}
+
+    def put(self, key, value) -> None:
+        """Keep a value in the young generation."""
+        sized = sum(len(x) for x in (key, value) if isinstance(x, (str, bytes)))
+        if isinstance(key, (str, bytes)) and len(key) > self.LONGEST:
+            return
+        if len(self) >= self.limit or self.held + sized > self.size:
+            self.old, self.held = dict(self), 0
+            self.clear()
+        self[key] = value
+        self.held += sized
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        self[key] = value
+        self.put(key, value)
         return value
 
 

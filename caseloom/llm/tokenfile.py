@@ -151,7 +151,8 @@ class PieceEncoder:
             part = fresh[low : low + at_once]
             ids = self._ids(" " + " ".join(part))
             ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(piece.encode()) + 1 for piece in part])) + 1
-            self.memo.update(zip(part, [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]))
+            for piece, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist()):
+                self.memo.put(piece, ids[a:b].tobytes())
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text (null: none) as little-endian unsigned 32-bit integers."""
@@ -161,7 +162,7 @@ class PieceEncoder:
             if part:
                 found.update(part[1:])
         known, old = self.memo, self.memo.old
-        self._learn([piece for piece in found if piece not in known and piece not in old])
+        self._learn([piece for piece in found if len(piece) <= Memo.LONGEST and piece not in known and piece not in old])
         return [self.first[part[0]] + b"".join(map(known.__getitem__, part[1:])) if part else b"" for part in parts]
 
 

@@ -265,3 +265,20 @@ def test_damaged_archive_in_a_job(spark, tmp_path):
     got = warc.read_archives(files, str(tmp_path))
     gap = got.where("kind = 'gap'").collect()
     assert got.where("kind = 'record'").count() == 19 and [(g.start, g.end) for g in gap] == [(sum(map(len, parts[:3])), sum(map(len, parts[:3])) + 99)]
+
+
+def test_piece_memo_is_bounded():
+    import public_tokenizers
+
+    from caseloom.llm.text import Memo
+    from caseloom.llm.tokenfile import PieceEncoder
+
+    encode = PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    encode.memo.limit = 50
+    texts = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(20)] + ["y" * 5_000 + " " + "z" * 5_000]
+    for text in texts:
+        assert encode([text]) == [encode._ids(text).tobytes()]
+        assert len(encode.memo) <= 50 and len(encode.memo.old) <= 50
+    assert max(map(len, [*encode.memo, *encode.memo.old, *encode.first])) <= Memo.LONGEST
+    memo = Memo(lambda key: key * 2, size=100)
+    assert [memo["a" * 20 + str(i)][:1] for i in range(9)] == ["a"] * 9 and sum(map(len, memo)) <= 100
