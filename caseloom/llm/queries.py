@@ -110,3 +110,42 @@ def suffix_array_query(spark, folder):
     from caseloom.llm.suffix import removed_bytes
 
     return removed_bytes(table(spark, folder, "documents"))
+
+
+@query(
+    "op11_periodic_runs",
+    r"""WITH t AS (SELECT list(list_reduce(list_concat([n], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS crc
+      FROM (SELECT unnest(range(256)) AS n)),
+    d AS (SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+      xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda c, b: xor(c >> 8, crc[1 + (xor(c, b) & 255)])), 4294967295) AS h FROM documents, t),
+    e AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+    f AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM e),
+    w AS (SELECT d, n, i, w[1 + CASE WHEN a IS NULL OR i < a THEN i ELSE a + (i - a) % p END] AS x FROM (SELECT *, unnest(range(n)) AS i FROM f)),
+    s AS (SELECT u.d, u.i, v.i - u.i AS q FROM w AS u JOIN w AS v ON u.d = v.d AND u.x = v.x AND v.i > u.i AND 4 * (v.i - u.i) <= u.n),
+    k AS (SELECT d, q, i, i - row_number() OVER (PARTITION BY d, q ORDER BY i) AS streak FROM s),
+    m AS (SELECT d, q, min(i) AS start, count(*) + q AS length FROM k GROUP BY d, q, streak HAVING count(*) + q >= greatest(6, 4 * q)),
+    r AS (SELECT d, start, length, min(q) AS period FROM m GROUP BY d, start, length),
+    b AS (SELECT d, start, length, period FROM (SELECT *, row_number() OVER (PARTITION BY d ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS o FROM r) WHERE o = 1),
+    l AS (SELECT d, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM r GROUP BY d),
+    g AS (SELECT DISTINCT d, unnest(range(start + period, start + length)) AS i FROM r),
+    c AS (SELECT w.d, string_agg(x, ' ' ORDER BY w.i) AS kept FROM w ANTI JOIN g ON w.d = g.d AND w.i = g.i GROUP BY w.d)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+      sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+    FROM d LEFT JOIN b USING (d) LEFT JOIN l USING (d) LEFT JOIN c USING (d)""",
+)
+def periodic_runs_query(spark, folder):
+    from caseloom.llm.runs import greatest_run, tiled, word_runs
+
+    docs = table(spark, folder, "documents")
+    code = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), 0)
+    planted = F.array_join(tiled(words, F.floor(code / 10)), " ")
+    text = F.when((code % 10 == 0) & F.rlike("text", F.lit(r"[^\x20\x09-\x0D]")), planted).otherwise(F.col("text"))
+    found = word_runs(docs.select("doc_id", text.alias("text"))).withColumn("best", greatest_run(F.col("runs")))
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
