@@ -171,3 +171,10 @@ def hard_negatives_query(spark, folder):
     vectors = vectors.select("vec_id", label.alias("label"), "embedding")
     return hard_negatives(vectors, vectors.where(F.col("vec_id") % 50 == 0)).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@query("op13_license_scan")
+def license_scan_query(spark, folder):
+    from caseloom.llm.licenses import license_places, license_summary
+
+    return license_summary(license_places(table(spark, folder, "documents"))).drop("places")
