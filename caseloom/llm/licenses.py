@@ -69,29 +69,31 @@ def split_pieces(notice: str, edits: int) -> list[tuple[int, str]]:
 
 
 class Scanner:
-    """Finds phrases exactly and notices with at most ``share`` of their characters edited, on whole words.
+    """Finds phrases exactly and notices with at most ``share`` of their characters and ``most`` of them edited, on whole words.
 
     The pieces of all notices form one automaton that reads a text once. A piece found at some place allows a match only
     within ``edits`` characters of where it belongs; that window, cut to whole words, goes to the bounded-error matcher,
-    which reports the best match inside. Matches of one notice do not overlap: a window begins after the one before.
+    which reports the best match inside, unless it holds the notice itself or too few of its trigrams. Matches of one notice do not overlap: a window begins after the one before.
     Results of windows are kept for repeated lines, up to ``KEPT`` of them.
     """
 
     KEPT = 20_000
 
-    def __init__(self, phrases: Mapping[str, str], notices: Mapping[str, Sequence[str]], share: float):
-        self.share = share
+    def __init__(self, phrases: Mapping[str, str], notices: Mapping[str, Sequence[str]], share: float, most: int = 4):
         self.rules = [(label, words, "phrase", 0) for words, label in phrases.items()]
-        self.rules += [(label, words, "notice", int(len(words) * share)) for label, many in notices.items() for words in many]
+        self.rules += [(label, words, "notice", min(most, int(len(words) * share))) for label, many in notices.items() for words in many]
         self.found: dict[tuple[int, str], tuple[int, int, int] | None] = {}
         seeds: dict[str, list[tuple[int, int]]] = {}
-        self.matchers = []
+        self.matchers, self.shared = [], []
         for i, (_, words, _, edits) in enumerate(self.rules):
             if not words or plain_words(words) != words:
                 raise ValueError(f"{words!r} is not in lower case with single spaces")
             for offset, piece in split_pieces(words, edits):
                 seeds.setdefault(piece, []).append((offset, i))
             error = f"{{e<={edits}}}" if edits else ""
+            # An edit changes at most three trigrams, so a match leaves this many of them in its window.
+            trigrams = {words[j : j + 3] for j in range(len(words) - 2)}
+            self.shared.append((trigrams, len(trigrams) - 3 * edits))
             self.matchers.append(regex.compile(rf"(?<![^ ])(?:{regex.escape(words, literal_spaces=True)}){error}(?![^ ])", regex.BESTMATCH))
         self.automaton = ahocorasick.Automaton()
         for piece, uses in seeds.items():
@@ -100,6 +102,13 @@ class Scanner:
             self.automaton.make_automaton()
 
     def _best(self, rule: int, window: str) -> tuple[int, int, int] | None:
+        notice, edits = self.rules[rule][1], self.rules[rule][3]
+        exact = f" {window} ".find(f" {notice} ")
+        if exact >= 0:
+            return exact, exact + len(notice), 0
+        trigrams, least = self.shared[rule]
+        if not edits or sum(t in window for t in trigrams) < least:
+            return None
         key = (rule, window)
         if key not in self.found:
             if len(self.found) >= self.KEPT:
@@ -163,12 +172,12 @@ class Scanner:
 
 
 def license_places(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, notices: Mapping[str, Sequence[str]] = NOTICES, edit_share: float = 0.1,
-                   id: str = "doc_id", text: str = "text") -> DataFrame:
+                   most_edits: int = 4, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Places of licence phrases and notices in every whole text.
 
     Texts are read as words of digits, letters and characters beyond ASCII, with A-Z in lower case. A phrase counts at every
     place where its words stand consecutively. A notice counts where whole words differ from it by at most ``edit_share`` of
-    its characters (inserted, deleted or substituted); its matches do not overlap each other, and one with edits gives way
+    its characters, and no more than ``most_edits`` (inserted, deleted or substituted); its matches do not overlap each other, and one with edits gives way
     to an overlapping match of another label with fewer. No shuffle; memory grows with the longest text (about six times it).
 
     Null and empty texts have no words and no places. A row gives a row, also if it is repeated, if ids are null or occur
@@ -180,7 +189,7 @@ def license_places(docs: DataFrame, phrases: Mapping[str, str] = PHRASES, notice
     fixed, wanted = dict(phrases), {k: list(v) for k, v in notices.items()}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(fixed, wanted, edit_share)
+        scanner = Scanner(fixed, wanted, edit_share, most_edits)
         of_place = pa.list_(pa.struct([("label", pa.string()), ("notice", pa.string()), ("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("edits", pa.int32())]))
         for batch in batches:
             counts, places = [], []
