@@ -94,7 +94,7 @@ class Scanner:
             # An edit changes at most three trigrams, so a match leaves this many of them in its window.
             trigrams = {words[j : j + 3] for j in range(len(words) - 2)}
             self.shared.append((trigrams, len(trigrams) - 3 * edits))
-            self.matchers.append(regex.compile(rf"(?<![^ ])(?:{regex.escape(words, literal_spaces=True)}){error}(?![^ ])", regex.BESTMATCH))
+            self.matchers.append(regex.compile(rf"(?:{regex.escape(words, literal_spaces=True)}){error}(?![^ ])", regex.BESTMATCH))
         self.automaton = ahocorasick.Automaton()
         for piece, uses in seeds.items():
             self.automaton.add_word(piece, (len(piece), uses))
@@ -113,8 +113,10 @@ class Scanner:
         if key not in self.found:
             if len(self.found) >= self.KEPT:
                 self.found.clear()
-            match = self.matchers[rule].search(window)
-            self.found[key] = match and (*match.span(), sum(match.fuzzy_counts))
+            starts = [i for i in range(len(window) - len(notice) + edits + 1) if not i or window[i - 1] == " "]
+            # Matched from each word in turn: a search never tries an insertion before its first character.
+            matches = [m for m in (self.matchers[rule].match(window, i) for i in starts) if m]
+            self.found[key] = min(((*m.span(), sum(m.fuzzy_counts)) for m in matches), key=lambda m: m[2], default=None)
         return self.found[key]
 
     def spans(self, words: str) -> list[tuple[int, int, int, int]]:

@@ -57,7 +57,7 @@ def test_every_notice_within_the_bound_is_found():
     rules = [(label, words, edits) for label, words, _, edits in scanner.rules]
     filler = ["der", "commit", "licenses", "public", "general", "mit", "cc", "under", "the", "söme", "license", "by"]
     hits = 0
-    for trial in range(250):
+    for trial in range(400):
         label, notice, most = draw.choice(rules)
         parts = [draw.choice(filler) for _ in range(draw.randrange(4))] + [garbled(draw, notice, draw.randrange(most + 3))] + [draw.choice(filler) for _ in range(draw.randrange(4))]
         words = plain_words(" ".join(parts))
