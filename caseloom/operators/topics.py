@@ -1,12 +1,9 @@
-"""Terms, topic models and their report tables."""
+"""Terms and the report tables of topic models."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,55 +52,6 @@ def sparsity(counts: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
-def vectorize(df: DataFrame, terms: str, min_docs: int = 2, name: str = "counts") -> tuple[CountVectorizerModel, DataFrame]:
-    """Sparse count vectors over every term with enough documents: the vocabulary size is counted first, not capped."""
-    per_doc = df.select(F.explode(F.array_distinct(terms)).alias("term"))
-    size = per_doc.groupBy("term").count().where(F.col("count") >= min_docs).count()
-    model = CountVectorizer(inputCol=terms, outputCol=name, minDF=float(min_docs), vocabSize=max(size, 1)).fit(df)
-    return model, model.transform(df)
-
-
-def fit_topics(
-    vectors: DataFrame, k: int = 20, passes: int = 10, batches: int = 1, decay: float = 0.7, seed: int = 100, counts: str = "counts",
-) -> LDAModel:
-    """Online topic model over ``passes`` full passes through the documents, each in ``batches`` mini-batches.
-
-    A mini-batch is one distributed job over its share of all rows, so on large tables a pass is best one batch.
-    """
-    lda = LDA(
-        k=k, maxIter=passes * batches, optimizer="online", learningDecay=decay, learningOffset=10.0, subsamplingRate=1.0 / batches,
-        seed=seed, featuresCol=counts, topicDistributionCol="topics",
-    )
-    return lda.fit(vectors)
-
-
-def topic_quality(model: LDAModel, vectors: DataFrame) -> DataFrame:
-    row = (float(model.logLikelihood(vectors)), float(model.logPerplexity(vectors)))
-    frame = vectors.sparkSession.createDataFrame([row], "log_likelihood double, log_perplexity double")
-    return frame.select("log_likelihood", F.exp("log_perplexity").alias("perplexity"))
-
-
-def topic_grid(
-    vectors: DataFrame, key: str, topics: Sequence[int] = (5, 10, 15), decays: Sequence[float] = (0.7, 0.8, 0.9),
-    folds: int = 5, passes: int = 10, batches: int = 1, seed: int = 100,
-) -> DataFrame:
-    """Held-out log-likelihood for every topic count, decay and fold; folds come from a hash of the key.
-
-    The loop runs over settings, not data; each fit is distributed. The vectors are read once per fit, so persist
-    or materialise them first.
-    """
-    fold = F.pmod(F.xxhash64(key), F.lit(folds))
-    marked = vectors.withColumn("__fold", fold)
-    results = []
-    for f in sorted(row["__fold"] for row in marked.select("__fold").distinct().collect()):
-        train, held = marked.where(F.col("__fold") != f), marked.where(F.col("__fold") == f)
-        for k in topics:
-            for decay in decays:
-                model = fit_topics(train, k, passes, batches, decay, seed)
-                results.append((k, float(decay), int(f), float(model.logLikelihood(held))))
-    return vectors.sparkSession.createDataFrame(results, "topics int, decay double, fold int, score double")
-
-
 def grid_summary(results: DataFrame, decays: Sequence[float]) -> DataFrame:
     """Mean score per topic count, one column per decay (``decay_0_7``)."""
     wide = results.groupBy("topics").pivot("decay", list(decays)).agg(F.round(F.avg("score"))).orderBy("topics")
@@ -115,15 +63,6 @@ def best_setting(results: DataFrame) -> DataFrame:
     return means.orderBy(F.desc("score"), "topics", "decay").limit(1)
 
 
-def fit_best(vectors: DataFrame, results: DataFrame, passes: int = 10, batches: int = 1, seed: int = 100) -> tuple[LDAModel, DataFrame]:
-    """The best setting of a grid fitted on all documents, and its row: topics, decay, mean held-out score, log-likelihood, perplexity."""
-    best = best_setting(results).first()
-    model = fit_topics(vectors, best["topics"], passes, batches, best["decay"], seed)
-    quality = topic_quality(model, vectors)
-    setting = [F.lit(best[name]).alias(name) for name in ("topics", "decay", "score")]
-    return model, quality.select(*setting, *quality.columns)
-
-
 def document_topics(weights: Column, digits: int = 2) -> tuple[Column, Column]:
     """Topic weights rounded half to even, and the index of the first largest rounded weight."""
     rounded = F.transform(weights, lambda w: F.bround(w, digits))
@@ -146,18 +85,8 @@ def topic_distribution(df: DataFrame, weights: Sequence[str], topic: str, thresh
     return inner_join(everything, above.withColumnRenamed(topic, "__topic"), topic, "__topic")
 
 
-def topic_keywords(model: LDAModel, vocabulary: Sequence[str], n: int = 15) -> DataFrame:
-    """Top words per topic, one column per rank. Topics times words: a small table."""
-    described = model.describeTopics(n)
-    # Topics times n indexes, and only their words.
-    named = described.sparkSession.createDataFrame(
-        [(row["topic"], rank, vocabulary[index]) for row in described.collect() for rank, index in enumerate(row["termIndices"])],
-        "topic int, rank int, word string")
-    return named.groupBy("topic").pivot("rank", list(range(n))).agg(F.first("word")).select(
+def keyword_columns(keywords: DataFrame, n: int = 15) -> DataFrame:
+    """Top words ``(topic, rank, word)`` of a topic model with one column per rank."""
+    return keywords.groupBy("topic").pivot("rank", list(range(n))).agg(F.first("word")).select(
         "topic", *[F.col(str(i)).alias(f"word_{i}") for i in range(n)]
     )
-
-
-def topic_weights(model: LDAModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Rows with their topic distribution as an array."""
-    return model.transform(df).select(*keep, vector_to_array("topics").alias("topic_weights"))

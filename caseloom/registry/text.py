@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import ACCENTED, UNACCENTED, WORD_PATTERN, clean_text, run_lengths, sorted_runs, terms, tokenize
-from caseloom.operators import topics
-from caseloom.operators.ml import kmeans
+from caseloom.operators import topic_fit, topics
+from caseloom.operators.ml import array_features, kmeans
 from caseloom.registry.core import Tables, query
-from caseloom.session import materialize, spread_narrow
 
 STOP_WORDS = ["the", "of", "and", "to", "in", "is", "it", "that", "on", "for", "le", "la", "les", "der", "die", "und", "el", "los"]
 _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -99,70 +98,111 @@ def topic_distribution(t: Tables):
     return topics.topic_distribution(wide, [f"topic{i}" for i in range(64)], "dominant_topic", 0.3)
 
 
-def _vectors(t: Tables):
-    """Term counts of all documents, written once because every fit reads them several times."""
-    texts = t("documents").select("doc_id", "text").repartition("doc_id").sortWithinPartitions("doc_id")
-    documents = materialize(texts.select("doc_id", terms(clean_text("text"), STOP_WORDS).alias("terms")), "terms")
-    vocabulary, vectors = topics.vectorize(documents, "terms")
-    return vocabulary.vocabulary, materialize(vectors.select("doc_id", "counts"), "vectors")
+# Dealt documents, fitted models and grids by session and folder: the queries below read one fit.
+_FITS: dict[tuple, object] = {}
 
 
-def _topics(t: Tables, k: int = 20):
-    vocabulary, vectors = _vectors(t)
-    return vocabulary, vectors, topics.fit_topics(vectors, k)
+def _once(t: Tables, name: str, build):
+    """What an earlier query of this session made of the folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder, name)
+    if key not in _FITS:
+        _FITS[key] = build()
+    return _FITS[key]
+
+
+def _corpus(t: Tables) -> topic_fit.Corpus:
+    return _once(t, "corpus", lambda: topic_fit.deal_documents(t.texts().select("doc_id", terms(clean_text("text"), STOP_WORDS).alias("terms")), "doc_id", "terms"))
+
+
+def _topics(t: Tables) -> tuple[topic_fit.Corpus, topic_fit.TopicModels]:
+    corpus = _corpus(t)
+    return corpus, _once(t, "topics", lambda: topic_fit.fit_topics(corpus, [topic_fit.Setting(20)]))
+
+
+def _weights(t: Tables):
+    corpus, models = _topics(t)
+    return models.weights(corpus).withColumnRenamed("key", "doc_id")
+
+
+def _grid(t: Tables):
+    """All 45 settings and folds side by side, three passes each (a fit of one setting takes ten)."""
+    return _once(t, "grid", lambda: topic_fit.topic_grid(_corpus(t), passes=3))
 
 
 @query("lda_topics")
 def lda_topics(t: Tables):
-    _, vectors, model = _topics(t)
-    weights = topics.topic_weights(model, vectors, ["doc_id"])
-    return weights.select("doc_id", F.posexplode("topic_weights").alias("topic", "weight"))
+    return _weights(t).select("doc_id", F.posexplode("topic_weights").alias("topic", "weight"))
 
 
 @query("lda_quality")
 def lda_quality(t: Tables):
-    _, vectors, model = _topics(t)
-    return topics.topic_quality(model, vectors)
+    corpus, models = _topics(t)
+    found = models.bounds(corpus)[0]
+    return t.spark.createDataFrame([(found["bound"], found["perplexity"])], "log_likelihood double, perplexity double")
+
+
+@query(
+    "lda_batches",
+    """SELECT 10::BIGINT AS passes, count(*) * 10 AS uses, count(DISTINCT doc_id) AS documents, CAST(ceil(count(*) / 128.0) AS BIGINT) AS batches,
+    CAST(least(128, count(*)) AS BIGINT) AS largest, 1::BIGINT AS uses_a_pass FROM documents""",
+)
+def lda_batches(t: Tables):
+    """How the documents are dealt: no batch above 128, every document once a pass."""
+    documents = _corpus(t).documents
+    uses = documents.groupBy("key").agg(F.count(F.lit(1)).alias("uses"))
+    batches = documents.groupBy("batch").agg(F.count(F.lit(1)).alias("rows")).agg(F.count(F.lit(1)).alias("batches"), F.max("rows").alias("largest"))
+    return uses.agg((F.sum("uses") * 10).alias("uses"), F.count(F.lit(1)).alias("documents"), F.max("uses").alias("uses_a_pass")).join(F.broadcast(batches)).select(
+        F.lit(10).cast("bigint").alias("passes"), "uses", "documents", "batches", "largest", "uses_a_pass")
 
 
 @query("lda_grid")
 def lda_grid(t: Tables):
-    _, vectors = _vectors(t)
-    return topics.grid_summary(topics.topic_grid(vectors, "doc_id"), (0.7, 0.8, 0.9))
+    return topics.grid_summary(_grid(t), (0.7, 0.8, 0.9))
+
+
+@query(
+    "lda_grid_settings",
+    """WITH d AS (SELECT CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 5 AS fold FROM documents),
+    f AS (SELECT fold, count(*) AS n_held, (SELECT count(*) FROM d) - count(*) AS n_train FROM d GROUP BY fold)
+    SELECT topics, decay, CAST(fold AS INTEGER) AS fold, n_train, n_held, true AS scored
+    FROM f, (SELECT unnest([5, 10, 15]) AS topics), (SELECT unnest([0.7::DOUBLE, 0.8::DOUBLE, 0.9::DOUBLE]) AS decay)""",
+)
+def lda_grid_settings(t: Tables):
+    """A row for every setting and fold of the grid: on how many documents it learnt and was scored."""
+    scored = ~F.isnan("score") & (F.col("score") < 0)
+    return _grid(t).select("topics", "decay", "fold", "n_train", "n_held", scored.alias("scored"))
 
 
 @query("lda_best")
 def lda_best(t: Tables):
     """The best setting of the grid, fitted again on all documents."""
-    _, vectors = _vectors(t)
-    return topics.fit_best(vectors, topics.topic_grid(vectors, "doc_id"))[1]
+    best = topics.best_setting(_grid(t)).first()
+    corpus = _corpus(t)
+    found = topic_fit.fit_topics(corpus, [topic_fit.Setting(best["topics"], best["decay"])]).bounds(corpus)[0]
+    row = (best["topics"], best["decay"], best["score"], found["bound"], found["perplexity"])
+    return t.spark.createDataFrame([row], "topics int, decay double, score double, log_likelihood double, perplexity double")
 
 
 @query("lda_weights_sum", "SELECT doc_id, 20::BIGINT AS topics, true AS sums_to_one FROM documents")
 def lda_weights_sum(t: Tables):
-    """The weights of every document are a distribution over all topics; a document without known terms has none and counts as such."""
-    _, vectors, model = _topics(t)
+    """The weights of every document are a distribution over all topics."""
     total = F.aggregate("topic_weights", F.lit(0.0), lambda a, x: a + x)
-    weights = topics.topic_weights(model, vectors, ["doc_id"])
-    return weights.select("doc_id", F.size("topic_weights").cast("bigint").alias("topics"), ((F.abs(total - 1) < 1e-6) | (total == 0)).alias("sums_to_one"))
+    return _weights(t).select("doc_id", F.size("topic_weights").cast("bigint").alias("topics"), (F.abs(total - 1) < 1e-6).alias("sums_to_one"))
 
 
 @query("topic_keywords")
 def topic_keywords(t: Tables):
-    vocabulary, _, model = _topics(t)
-    return topics.topic_keywords(model, vocabulary, 15)
+    return topics.keyword_columns(_topics(t)[1].keywords(15), 15)
 
 
 @query("topic_clusters")
 def topic_clusters(t: Tables):
-    _, vectors, model = _topics(t)
-    _, clustered = kmeans(model.transform(vectors), 10, 100, "topics")
+    _, clustered = kmeans(array_features(_weights(t), "topic_weights"), 10, 100)
     return clustered.select("doc_id", "cluster")
 
 
 @query("classified_documents")
 def classified_documents(t: Tables):
-    _, vectors, model = _topics(t)
-    weights = topics.with_dominant_topic(topics.topic_weights(model, vectors, ["doc_id"]), F.col("topic_weights"))
+    weights = topics.with_dominant_topic(_weights(t), F.col("topic_weights"))
     wide = topics.topic_columns(weights, "weights", 20).drop("topic_weights", "weights")
     return t("documents").select("doc_id", "text").join(wide, "doc_id")

@@ -153,8 +153,6 @@ def test_term_counts_and_sparsity(spark):
     counts = topics.term_counts(df, "k", "t")
     assert rows(counts) == [(1, "a", 2), (2, "a", 1)]
     assert topics.sparsity(counts, df).first().sparsity == pytest.approx(100 * 2 / 3)
-    model, vectors = topics.vectorize(df, "t")
-    assert model.vocabulary == ["a"] and vectors.count() == 3
 
 
 def test_documents_are_counted_without_a_shuffle(spark, folder):
@@ -171,24 +169,6 @@ def test_topic_tables(spark):
     assert rows(topics.topic_distribution(wide, ["topic0", "topic1"], "dominant_topic", 0.6)) == [(1, 2, 2)]
 
 
-def test_topic_models_separate_two_vocabularies(spark):
-    docs = [(i, (["apple", "pear", "plum"] if i % 2 else ["bolt", "nut", "screw"]) * 6) for i in range(60)]
-    df = spark.createDataFrame(docs, "k int, t array<string>").repartition(2, "k")
-    model, vectors = topics.vectorize(df, "t")
-    lda = topics.fit_topics(vectors, 2, passes=30)
-    best = topics.with_dominant_topic(topics.topic_weights(lda, vectors, ["k"]), F.col("topic_weights"))
-    by_kind = {(r.k % 2, r.dominant_topic) for r in best.collect()}
-    assert len(by_kind) == 2
-    words = topics.topic_keywords(lda, model.vocabulary, 3).collect()
-    assert {frozenset(r[1:]) for r in words} == {frozenset(["apple", "pear", "plum"]), frozenset(["bolt", "nut", "screw"])}
-    quality = topics.topic_quality(lda, vectors).first()
-    assert quality.log_likelihood < 0 and 1 < quality.perplexity < 20
-    grid = topics.topic_grid(vectors, "k", (2, 3), (0.7,), folds=2, passes=3)
-    assert grid.count() == 4
-    assert topics.grid_summary(grid, (0.7,)).columns == ["topics", "decay_0_7"]
-    assert topics.best_setting(grid).count() == 1
-
-
 # Rewriting
 
 
