@@ -95,20 +95,39 @@ def variant_counts(log: EventLog, sep: str = " > ", part_events: int = PART_EVEN
 
 
 def variant_codes(log: EventLog, name: str = "variant_code", part_events: int = PART_EVENTS, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """0-based code of each case's variant, in the order of the variant texts.
+    """0-based code of each case's variant, in the order of the variant texts, whole texts of any length.
 
-    Variants are told apart by their whole sequence; only the sort order of very long ones rests on their first part.
+    Variants are compared part by part. Parts of ``part_events`` activities are ranked by their text once; from then on ranks
+    of neighbouring parts are ranked as pairs, so that a rank covers 1, 2, 4, ... parts, until one rank stands for a whole
+    variant. Texts are never joined beyond a part, and every round sorts two numbers for half as many rows. The order
+    is the same for any size of parts, if no name holds the separator: every part but the last of a variant ends with it, and a
+    variant that ends sorts before one that goes on.
     """
     ordered = _narrow_order(log, group_rows)
     cases = _identities(ordered, log.case_columns)
-    chosen = cases.groupBy(*IDENTITY).agg(F.min(F.struct(*log.case_columns)).alias("__case")).select(*IDENTITY, "__case.*")
-    first_parts = ordered.where(F.col("__pos") <= part_events).join(chosen, log.case_columns, "left_semi")
-    starts = _texts(first_parts, log.case_columns, " > ", part_events)
-    named = starts.join(chosen, log.case_columns).select("variant", *IDENTITY)
-    codes = with_position(named, ["variant", *IDENTITY], name).select(*IDENTITY, name)
+    chosen = materialize(
+        cases.groupBy(*IDENTITY).agg(F.min(F.struct(*log.case_columns)).alias("__case")).select(*IDENTITY, "__case.*"), "chosen")
+    sep = " > "
+    events = ordered.join(chosen, log.case_columns).select(*IDENTITY, "__pos", F.concat("__act", F.when(F.col("__pos") < F.col("n_events"), sep).otherwise("")).alias("__text"))
+    parts = ordered_text(events, IDENTITY, "__pos", F.col("__text"), "", part_events, "__text")
+    ranked = materialize(_dense_rank(parts, ["__text"], "__rank").select(*IDENTITY, "part", "__rank"), "ranks")
+    last = ranked.agg(F.max("part")).first()[0] or 0
+    while last > 0:
+        half = F.floor(F.col("part") / 2).cast("bigint").alias("part")
+        first, second = (F.max(F.when(F.col("part") % 2 == i, F.col("__rank"))) for i in (0, 1))
+        pairs = ranked.groupBy(*IDENTITY, half).agg(first.alias("__first"), F.coalesce(second, F.lit(-1)).alias("__second"))
+        ranked = materialize(_dense_rank(pairs, ["__first", "__second"], "__rank").select(*IDENTITY, "part", "__rank"), "ranks")
+        last //= 2
+    # Names that hold the separator can give two variants one text; these keep their own codes, ordered by hash.
+    codes = with_position(ranked.select("__rank", *IDENTITY), ["__rank", *IDENTITY], name).select(*IDENTITY, name)
     return cases.join(codes, list(IDENTITY)).select(*log.case_columns, name)
 
 
+def _dense_rank(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+    """0-based rank of the distinct values of ``by``, numbered by a distributed sort."""
+    return df.join(with_position(df.select(*by).distinct(), list(by), name), list(by))
+
+
 def throughput_days(log: EventLog, name: str = "throughput_days") -> DataFrame:
     """Days between the first and last event of each case."""
     spans = log.df.groupBy(*log.case_columns).agg(F.min(log.ts).alias("first_ts"), F.max(log.ts).alias("last_ts"))

@@ -35,9 +35,17 @@ def combine_csv(spark: SparkSession, folder: str, same_header: bool = False, **o
     return union_all([scan_csv(spark, row["paths"], **options) for row in groups])
 
 
+# A record: runs of plain characters and quoted fields, each taken whole, so that its length does not deepen the matching.
+_RECORD = r'(?:[^"\r\n]++|"[^"]*+(?:""[^"]*+)*+"?)++'
+
+
 def csv_payload(df: DataFrame, text: str, schema: str, keep: list[str] | None = None, header: bool = True, sep: str = ",") -> DataFrame:
-    """Rows of CSV text held in a column; the first record of each text is its header. Quoted fields may hold line breaks."""
-    records = F.regexp_extract_all(text, F.lit(r'(?:[^"\r\n]|"(?:[^"]|"")*")+'), F.lit(0))
+    """Rows of CSV text held in a column; the first record of each text is its header. Quoted fields may hold line breaks.
+
+    Records may be of any length. A quote that is never closed reaches to the end of the text.
+    """
+    records = F.regexp_extract_all(text, F.lit(_RECORD), F.lit(0))
     lines = df.select(*(keep or []), F.posexplode(records).alias("__i", "__line"))
     data = lines.where((F.col("__i") > 0) if header else F.lit(True)).where(F.length(F.trim("__line")) > 0)
-    return data.select(*(keep or []), F.from_csv("__line", schema, {"sep": sep, "multiLine": "true", "escape": '"'}).alias("__r")).select(*(keep or []), "__r.*")
+    options = {"sep": sep, "multiLine": "true", "escape": '"', "maxCharsPerColumn": "-1"}
+    return data.select(*(keep or []), F.from_csv("__line", schema, options).alias("__r")).select(*(keep or []), "__r.*")

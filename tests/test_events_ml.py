@@ -56,14 +56,25 @@ def test_variant_counts(spark, part_events):
     assert sorted(v for _, v in whole[(1, 1)]) == ["a", "abab"]
 
 
-def test_variant_codes_follow_text_order(log):
+@pytest.mark.parametrize("part_events", [10_000, 7, 2, 1])
+def test_variant_codes_follow_text_order(log, part_events):
     bound, data = log
     texts = {c: " > ".join(s) for c, s in sequences(data).items()}
     order = {v: i for i, v in enumerate(sorted(set(texts.values())))}
-    got = {r.case: r.variant_code for r in events.variant_codes(bound).collect()}
+    got = {r.case: r.variant_code for r in events.variant_codes(bound, part_events=part_events).collect()}
     assert got == {c: order[v] for c, v in texts.items()}
 
 
+@pytest.mark.parametrize("part_events", [10_000, 3, 1])
+def test_variant_codes_of_shared_beginnings(spark, part_events):
+    variants = ["a", "aa", "a b", "ab", "a!", "a,a", "a,b", "a,b,a", "a,b,a,a,a,a,a,b", "a,b,a,a,a,a,a,c", "a,b,a,a,a,a", "b", "é,a", "a,b,a,a,a,a,a,b,a"]
+    data = [(f"{copy}-{v}", act, i) for copy in range(2) for v in variants for i, act in enumerate(v.split(","))]
+    df = spark.createDataFrame(data, "case string, act string, ts int").withColumn("ts", F.timestamp_seconds("ts"))
+    got = {r.case: r.variant_code for r in events.variant_codes(events.EventLog(df, "case", "act", "ts"), part_events=part_events).collect()}
+    order = {v: i for i, v in enumerate(sorted(variants, key=lambda v: v.replace(",", " > ").encode()))}
+    assert got == {f"{copy}-{v}": order[v] for copy in range(2) for v in variants}
+
+
 def test_throughput(spark):
     df = spark.sql("SELECT * FROM VALUES ('a', timestamp_ntz'2020-01-01 00:00:00'), ('a', timestamp_ntz'2020-01-02 12:00:00'), ('b', timestamp_ntz'2020-01-01') AS t(c, ts)")
     got = events.throughput_days(events.EventLog(df, "c", "c", "ts"))

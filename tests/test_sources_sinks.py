@@ -58,6 +58,16 @@ def test_paged_service_reads_in_parallel(spark, tmp_path):
     assert sorted(r.id for r in df.collect()) == [10 * i + j for i in range(11) for j in range(3)]
 
 
+def test_csv_payload_with_long_records(spark):
+    long, quotes = "x" * 1_000_000, 'a""b,\n' * 150_000
+    body = f'a,b\n1,{long}\n2,"{quotes}"\n3,plain\r\n4,"no end'
+    df = spark.createDataFrame([(7, body)], "log int, body string")
+    got = {r.a: r.b for r in csv_payload(df, "body", "a int, b string", ["log"]).collect()}
+    assert got[1] == long and got[2] == quotes.replace('""', '"') and got[3] == "plain" and set(got) == {1, 2, 3, 4}
+    short = csv_payload(spark.createDataFrame([(1, 'a;b\n\n5;"x;""y"" "\n6;z')], "log int, body string"), "body", "a int, b string", sep=";")
+    assert rows(short) == [(5, 'x;"y" '), (6, "z")]
+
+
 def test_csv_payload(spark):
     df = spark.createDataFrame([(1, "a,b\n1,x\r\n2,\"y,z\"\n\n"), (2, "a,b\n")], "log int, body string")
     assert rows(csv_payload(df, "body", "a int, b string", ["log"])) == [(1, 1, "x"), (1, 2, "y,z")]
