@@ -16,18 +16,19 @@ found meets the chunk again. A chunk ends after ``CHUNK_CHARS`` characters; a lo
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from caseloom.llm.text import mix
 from caseloom.session import broadcast_if_small, materialize
 
 # The alphabet has 2**CHAR_BITS characters, or as many as were seen if these are more.
@@ -35,21 +36,22 @@ ORDER, CHAR_BITS = 5, 10
 # Bits of a code point. A gram's last three characters are in ``lo``, those before in ``hi`` below its length.
 CODE_BITS, HIGH_BITS, LOW_BITS = 21, 42, 63
 DISCOUNT = 0.75
-CHUNK_CHARS = 6_000_000
+# Characters of a chunk of texts, and of the part of it whose grams are made at once.
+CHUNK_CHARS, PIECE_CHARS = 16_000_000, 1_000_000
+# Rows of a block of the model.
+BLOCK_ROWS = 1_000_000
+# Penalty on the squared weights of the probability curve, on standardised inputs.
+RIDGE = 0.3
+# Lengths of the stretches whose highest mean ratio is taken.
+WINDOWS = (8, 16, 32, 64)
+# Stretches are also counted in spans of so many characters, of which the highest TOP count.
+SPAN, TOP = 64, 3
 # Label rows up to which they are broadcast (16 bytes each); beyond it texts and labels are shuffled.
 LABEL_ROWS = 1_000_000
 # Of a gram n, of a context the sum and the number of what follows.
 COUNTS = ["n0", "n1", "sum0", "sum1", "kinds0", "kinds1"]
 
 
-def word_counts(text: str | None) -> Counter:
-    """The words of a text in lower case, cut to 200 characters a piece so that one endless word is many."""
-    words = text.lower().split() if text else []
-    if words and max(map(len, words)) > 200:
-        words = [word[i : i + 200] for word in words for i in range(0, len(word), 200)]
-    return Counter(words)
-
-
 def units_of(text: str | None, across: bool) -> list[str]:
     """What a history does not leave: the whole text, or else each of its words."""
     words = text.lower().split() if text else []
@@ -129,7 +131,7 @@ def count_grams(texts: DataFrame, across: bool) -> DataFrame:
                     units.append(unit)
                     classes.append(toxic)
                     size += len(unit) + 2
-                if size >= CHUNK_CHARS:
+                if size >= PIECE_CHARS:
                     yield from out()
                     units, classes, size = [], [], 0
         if units:
@@ -165,6 +167,7 @@ class Models:
     """Both models: a row per gram and context (hi, lo and COUNTS), the sum of the characters' counts and the alphabet's size."""
 
     rows: DataFrame
+    size: int
     total: int
     alphabet: int
     across: bool
@@ -187,26 +190,96 @@ def train(texts: DataFrame, across: bool = False) -> Models:
     both = counts.select("hi", "lo", "n0", "n1", *[zero.alias(name) for name in COUNTS[2:]]).unionByName(contexts.select("hi", "lo", zero.alias("n0"), zero.alias("n1"), *COUNTS[2:]))
     rows = materialize(both.groupBy("hi", "lo").agg(*[F.sum(name).alias(name) for name in COUNTS]), "models")
     one = counts.where(length_of("hi") == 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("n0") + F.col("n1")), zero).alias("total")).first()
-    return Models(rows, one.total, max(1 << CHAR_BITS, one.n), across)
+    return Models(rows, rows.count(), one.total, max(1 << CHAR_BITS, one.n), across)
+
+
+def _zip(*arrays: np.ndarray) -> bytes:
+    """Arrays of equal length, 64 bits an entry, one after the other, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(x, "<i8").tobytes() for x in arrays))
+
+
+def _unzip(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<i8").reshape(count, -1)
+
+
+def spread_of(hi: np.ndarray, lo: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of the model that holds a gram."""
+    return (mix(hi.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + lo.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+
+
+def _order(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    return np.lexsort((lo, hi))
+
+
+def find_grams(hi: np.ndarray, lo: np.ndarray, of_hi: np.ndarray, of_lo: np.ndarray) -> np.ndarray:
+    """Places of grams in a list sorted by (hi, lo), -1 where it lacks them."""
+    if not len(of_hi):
+        return np.full(len(hi), -1)
+    # The ranks of both numbers make one that keeps the order.
+    (highs, high), (lows, low) = np.unique(of_hi, return_inverse=True), np.unique(of_lo, return_inverse=True)
+    a, b = np.searchsorted(highs, hi), np.searchsorted(lows, lo)
+    a[a == len(highs)], b[b == len(lows)] = 0, 0
+    own, wanted = high * len(lows) + low, a * len(lows) + b
+    place = np.searchsorted(own, wanted)
+    place[place == len(own)] = 0
+    return np.where((highs[a] == hi) & (lows[b] == lo) & (own[place] == wanted), place, -1)
+
+
+def window_ratios(ratios: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per text (its characters stand together) for each of WINDOWS the highest mean ratio of a stretch of that length, and the
+    mean of the TOP highest, one for every SPAN characters in which stretches begin.
+
+    One expression makes the first high, several in different places also the second. A text shorter than a stretch counts its
+    whole sum; a text with fewer spans takes the mean over those it has; without characters all are 0.
+    """
+    total = np.concatenate(([0.0], np.cumsum(ratios)))
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    best = np.zeros((len(sizes), 2 * len(WINDOWS)))
+    if not len(ratios):
+        return best
+    of_text = np.repeat(np.arange(len(sizes)), sizes)
+    inside = np.arange(len(ratios)) - starts[of_text]
+    heads = np.flatnonzero(inside % SPAN == 0)
+    span_text = of_text[heads]
+    filled, first = np.unique(span_text, return_index=True)
+    rank = np.arange(len(heads)) - np.repeat(first, np.diff(np.append(first, len(heads))))
+    counted = rank < TOP
+    for j, length in enumerate(WINDOWS):
+        # A stretch that would leave its text begins at the last place that does not.
+        stop = np.minimum(np.arange(len(ratios)) + length, ends[of_text])
+        begin = np.maximum(stop - length, starts[of_text])
+        highest = np.maximum.reduceat(total[stop] - total[begin], heads) / length
+        order = np.lexsort((-highest, span_text))
+        best[filled, 2 * j] = highest[order][first]
+        best[:, 2 * j + 1] = np.bincount(span_text[counted], highest[order][counted], len(sizes)) / np.maximum(1, np.bincount(span_text[counted], minlength=len(sizes)))
+    return best
 
 
 def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text", carry: str | None = None) -> DataFrame:
-    """Key, number of words, effective number of words, characters and log-likelihood ratio per character of every row.
+    """Key, number of words, characters, mean log-likelihood ratio per character and highest means over WINDOWS of every row.
 
-    The effective number, squared sum over sum of squares of the words' counts, is the number of words for even
-    counts and near 1 for one word repeated.
+    Texts are held in chunks of up to ``CHUNK_CHARS`` characters, worked off ``PIECE_CHARS`` at a time. The model lies in
+    blocks by hash; a chunk sends each block one packed, sorted list of its distinct grams and gets their counts back.
     """
     kept = [key] + [carry] * (carry is not None)
     kinds = [f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in kept]
     across, total, alphabet = models.across, models.total, models.alphabet
+    blocks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-models.size // BLOCK_ROWS))
     # Results are compared with types whose fields may all be null.
     types = to_arrow_schema(StructType.fromDDL(", ".join(kinds))).types
 
-    def grams_of(texts: list[str | None]) -> tuple[Grams, np.ndarray]:
-        units = [units_of(value, across) for value in texts]
-        return Grams([unit for part in units for unit in part]), np.repeat(np.arange(len(texts)), [len(part) for part in units])
-
-    def packed(table: pa.Table) -> bytes:
+    def pieces_of(texts: list[str | None]) -> Iterator[tuple[int, int, Grams, np.ndarray]]:
+        """Consecutive texts (first, end) with their grams and the text of each unit."""
+        low, held = 0, 0
+        for at, value in enumerate(texts):
+            held += len(value) if value else 0
+            if held >= PIECE_CHARS or at + 1 == len(texts):
+                units = [units_of(x, across) for x in texts[low : at + 1]]
+                yield low, at + 1, Grams([u for part in units for u in part]), np.repeat(np.arange(at + 1 - low), [len(part) for part in units])
+                low, held = at + 1, 0
+
+    def stored(table: pa.Table) -> bytes:
         stream = pa.BufferOutputStream()
         with pa.ipc.new_stream(stream, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             out.write_table(table)
@@ -214,12 +287,22 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
+        names = ["chunk", "block", "data"]
 
         def out():
             table = pa.Table.from_batches(held).combine_chunks()
-            grams, _ = grams_of(table.column(len(kept)).to_pylist())
-            wanted = pa.table({"hi": grams.hi, "lo": grams.lo})
-            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([packed(table)], pa.binary()), pa.array([packed(wanted)], pa.binary())], ["chunk", "rows", "wanted"])
+            hi, lo = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            for _, _, grams, _ in pieces_of(table.column(len(kept)).to_pylist()):
+                hi, lo = np.concatenate((hi, grams.hi)), np.concatenate((lo, grams.lo))
+                order = _order(hi, lo)
+                hi, lo = hi[order], lo[order]
+                first = np.concatenate(([True], (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])))[: len(hi)]
+                hi, lo = hi[first], lo[first]
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([-1], pa.int32()), pa.array([stored(table)], pa.binary())], names)
+            of_block = spread_of(hi, lo, blocks)
+            for b in np.unique(of_block).tolist():
+                mine = of_block == b
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([b], pa.int32()), pa.array([_zip(hi[mine], lo[mine])], pa.binary())], names)
 
         for batch in batches:
             low, lengths = 0, [len(value) if value else 0 for value in batch.column(len(kept)).to_pylist()]
@@ -227,44 +310,58 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
                 size += length
                 if size >= CHUNK_CHARS:
                     held.append(batch.slice(low, at + 1 - low))
-                    yield out()
+                    yield from out()
                     chunk, held, size, low = chunk + 1, [], 0, at + 1
             if low < len(lengths):
                 held.append(batch.slice(low))
         if held:
-            yield out()
+            yield from out()
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The model's rows with their block."""
         for batch in batches:
-            for chunk, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                table, low = pa.ipc.open_stream(wanted).read_all(), 0
-                for part in table.to_batches(max_chunksize=100_000):
-                    n = part.num_rows
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk)), pa.array(np.arange(low, low + n)), *part.columns], ["chunk", "at", "hi", "lo"])
-                    low += n
+            hi, lo = (batch.column(i).to_numpy() for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(spread_of(hi, lo, blocks).astype(np.int32)), *batch.columns], ["block", "hi", "lo", *COUNTS])
+
+    def answer(group: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        hi, lo = (right.column(name).to_numpy() for name in ("hi", "lo"))
+        order = _order(hi, lo)
+        hi, lo = hi[order], lo[order]
+        counts = [right.column(name).to_numpy()[order] for name in COUNTS]
+        chunk, found = left.column("chunk").to_pylist(), []
+        for data in left.column("data"):
+            wanted = _unzip(data.as_py(), 2)
+            at = find_grams(wanted[0], wanted[1], hi, lo)
+            seen = at >= 0
+            found.append(_zip(wanted[0][seen], wanted[1][seen], *(c[at[seen]] for c in counts)))
+        return pa.Table.from_arrays([pa.array(chunk, pa.int64()), pa.array(found, pa.binary())], ["chunk", "found"])
 
     def score(group: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        table = pa.ipc.open_stream(left.column("rows")[0].as_py()).read_all()
+        table = pa.ipc.open_stream(left.column("data")[0].as_py()).read_all()
         texts = table.column(len(kept)).to_pylist()
-        grams, row = grams_of(texts)
-        at, counts = right.column("at").to_numpy(), {}
-        for name in COUNTS:
-            counts[name] = np.zeros(grams.starts[-1])
-            counts[name][at] = right.column(name).to_numpy()
-        each = row[grams.unit] if len(row) else np.zeros(0, np.int64)
-        sums = np.bincount(each, grams.ratios(counts, total, alphabet)[grams.ends], len(texts))
-        chars = np.bincount(each, minlength=len(texts))
-        words = [word_counts(value) for value in texts]
-        sizes = [sum(found.values()) for found in words]
-        spread = [n**2 / max(1, sum(x * x for x in found.values())) for n, found in zip(sizes, words)]
-        columns = [pa.array(sizes, pa.int64()), pa.array(spread, pa.float64()), pa.array(chars.astype(np.int64)), pa.array(sums / np.maximum(chars, 1))]
-        return pa.Table.from_arrays([*(column.cast(kind) for column, kind in zip(table.columns, types)), *columns], [*kept, "n_words", "n_effective", "n_chars", "log_ratio"])
-
-    chunks = materialize(docs.select(*kept, text).mapInArrow(cut, "chunk bigint, rows binary, wanted binary"), "chunks")
-    asked = chunks.select("chunk", "wanted").mapInArrow(ask, "chunk bigint, at bigint, hi bigint, lo bigint")
-    answers = asked.join(models.rows, ["hi", "lo"]).select("chunk", "at", *COUNTS)
-    both = chunks.select("chunk", "rows").groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    return both.applyInArrow(score, ", ".join([*kinds, "n_words bigint, n_effective double, n_chars bigint, log_ratio double"]))
+        parts = [_unzip(data.as_py(), 2 + len(COUNTS)) for data in right.column("found")]
+        rows = np.concatenate(parts, axis=1) if parts else np.zeros((2 + len(COUNTS), 0), np.int64)
+        rows = rows[:, _order(rows[0], rows[1])]
+        sums, chars, best = np.zeros(len(texts)), np.zeros(len(texts), np.int64), np.zeros((len(texts), 2 * len(WINDOWS)))
+        for low, end, grams, of_unit in pieces_of(texts):
+            at = find_grams(grams.hi, grams.lo, rows[0], rows[1])
+            counts = {name: np.where(at >= 0, rows[2 + i][at] if rows.shape[1] else 0, 0).astype(np.float64) for i, name in enumerate(COUNTS)}
+            each = of_unit[grams.unit] if len(of_unit) else np.zeros(0, np.int64)
+            ratios = grams.ratios(counts, total, alphabet)[grams.ends]
+            sizes = np.bincount(each, minlength=end - low).astype(np.int64)
+            sums[low:end], chars[low:end] = np.bincount(each, ratios, end - low), sizes
+            best[low:end] = window_ratios(ratios, sizes)
+        words = [len(value.split()) if value else 0 for value in texts]
+        columns = [pa.array(words, pa.int64()), pa.array(chars), pa.array(sums / np.maximum(chars, 1))]
+        windows = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * best.shape[1]), pa.array(best.ravel()))
+        return pa.Table.from_arrays([*(column.cast(kind) for column, kind in zip(table.columns, types)), *columns, windows], [*kept, "n_words", "n_chars", "log_ratio", "windows"])
+
+    chunks = materialize(docs.select(*kept, text).mapInArrow(cut, "chunk bigint, block int, data binary"), "chunks")
+    model = models.rows.select("hi", "lo", *COUNTS).mapInArrow(place, "block int, hi bigint, lo bigint, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    asked = chunks.where("block >= 0").groupBy("block")
+    answers = asked.cogroup(model.groupBy("block")).applyInArrow(answer, "chunk bigint, found binary")
+    both = chunks.where("block < 0").select("chunk", "data").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    return both.applyInArrow(score, ", ".join([*kinds, "n_words bigint, n_chars bigint, log_ratio double, windows array<double>"]))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0, ridge: float = 0.01, steps: int = 100) -> np.ndarray:
@@ -301,9 +398,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
     """Toxicity of every whole text, learnt from the labelled rows outside the held-out fold.
 
     A row is held out if crc32 of its key as text leaves ``held`` modulo ``folds``. Of the others, a fifth (by hash of the key) is
-    not counted but calibrates the probability: a logistic curve over the length-normalised log-likelihood ratio and the effective number of words, fitted to the
-    ``calibration_rows`` of each class that are first by hash, weighted to the number of its rows; all the rest is counted. If the
-    fifth or the rest lacks a class, all labelled rows are counted and the probability is that of the models with the classes' shares. Labels, language, source and key are
+    not counted but calibrates the probability: a logistic curve over length-normalised log-likelihood ratios, that of the whole
+    text and the highest of its stretches of WINDOWS characters (see ``window_ratios``), fitted to the ``calibration_rows`` of each class that
+    are first by hash, weighted to the number of its rows; all the rest is counted. If the
+    fifth or the rest lacks a class, all labelled rows are counted and the same curve is fitted to them. Labels, language, source and key are
     never inputs of a score. Every label row counts once; labels other than 0 and 1 and null keys are left out. Without
     labels of both classes all scores are 0. Texts without words, null ones too, have ratio and score 0. Rows without key are
     scored and not held out. Repeated rows stay, other columns are ignored, an empty table gives an empty result.
@@ -314,28 +412,22 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~fold).select(key, F.col(label).cast("int").alias("class"))
     worded = docs.where(F.col(text).rlike(r"\S")).select(key).join(broadcast_if_small(known, LABEL_ROWS), key)
     sizes = {(row.spare, row["class"]): row["count"] for row in worded.groupBy(fifth.alias("spare"), "class").count().collect()}
-    # A curve needs both classes in the fifth and in the rest; with too few labels for that all are counted.
-    curve = all((part, c) in sizes for part in (False, True) for c in (0, 1))
-    of_class = [sizes.get((False, c), 0) + sizes.get((True, c), 0) for c in (0, 1)]
-    small = broadcast_if_small(known.where(~fifth) if curve else known, LABEL_ROWS)
+    # With a class missing in the fifth or in the rest, the same rows are counted and fitted to.
+    apart = all((part, c) in sizes for part in (False, True) for c in (0, 1))
+    of_class = [sizes.get((True, c), 0) + (0 if apart else sizes.get((False, c), 0)) for c in (0, 1)]
+    small = broadcast_if_small(known.where(~fifth) if apart else known, LABEL_ROWS)
     models = train(docs.select(key, F.col(text).alias("text")).join(small, key).select("text", "class"), across=True)
     scored = materialize(log_ratios(docs, models, key, text, carry), "ratios")
-    m = F.col("n_effective")
-    # One expression again and again says less than its ratio.
-    r = F.col("log_ratio") * m / (m + 1)
-    if curve:
-        spare = scored.where(fifth & (F.col("n_words") > 0)).join(known, key)
-        drawn = [spare.where(F.col("class") == c).orderBy(F.xxhash64(key, F.lit(1))).limit(calibration_rows).select("log_ratio", "n_effective", "class").collect() for c in (0, 1)]
-        ratio, n, y = (np.array([row[i] for part in drawn for row in part], float) for i in range(3))
-        ratio = ratio * n / (n + 1)
-        weight = np.where(y == 1, sizes[True, 1] / len(drawn[1]), sizes[True, 0] / len(drawn[0]))
-        w = logistic(np.stack([np.ones_like(ratio), ratio, ratio * np.sqrt(n), np.log1p(n)], axis=1), y, weight)
-        # The trend over the number of words is not carried on below the fewest words it was fitted to.
-        size = F.log1p(F.greatest(m, F.lit(float(n.min()))))
-        z = F.lit(float(w[0])) + r * float(w[1]) + r * F.sqrt(m) * float(w[2]) + size * float(w[3])
-    elif min(of_class):
-        z = F.col("log_ratio") * F.col("n_chars") + float(np.log(of_class[1] / of_class[0]))
     if min(of_class):
+        spare = scored.where((F.col("n_words") > 0) & (fifth if apart else F.lit(True))).join(known, key)
+        drawn = [spare.where(F.col("class") == c).orderBy(F.xxhash64(key, F.lit(1))).limit(calibration_rows).select("log_ratio", "windows", "class").collect() for c in (0, 1)]
+        rows = [row for part in drawn for row in part]
+        x = np.array([[1.0, row["log_ratio"], *row["windows"]] for row in rows])
+        y = np.array([row["class"] for row in rows], float)
+        w = logistic(x, y, np.where(y == 1, of_class[1] / len(drawn[1]), of_class[0] / len(drawn[0])), ridge=RIDGE)
+        z = F.lit(float(w[0])) + F.col("log_ratio") * float(w[1])
+        for j in range(2 * len(WINDOWS)):
+            z = z + F.col("windows")[j] * float(w[2 + j])
         score = F.when(F.col("n_words") == 0, 0.0).otherwise(1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), z)))))
     else:
         score = F.lit(0.0)

@@ -80,14 +80,15 @@ def test_discriminant_equals_the_densities():
     assert np.allclose(model.score(point), 1 / (1 + np.exp(logs[0] - logs[1])), atol=1e-6)
 
 
-def test_spelling_models_equal_plain_kneser_ney(spark):
+@pytest.mark.parametrize("across", [False, True])
+def test_spelling_models_equal_plain_kneser_ney(spark, across, monkeypatch):
     docs, labels = corpus(60)
     classes = {k: t for k, _, t in labels[:-6]}
     texts = [(t, classes[k]) for k, t in docs if k in classes and t]
-    models = toxicity.train(spark.createDataFrame(texts, "text string, class int").repartition(3))
+    models = toxicity.train(spark.createDataFrame(texts, "text string, class int").repartition(3), across=across)
     raw = [Counter(), Counter()]
     for text, c in texts:
-        for w in text.lower().split():
+        for w in toxicity.units_of(text, across):
             w = f" {w} "
             for i in range(1, len(w)):
                 raw[c][w[max(0, i - toxicity.ORDER + 1) : i + 1]] += 1
@@ -117,6 +118,27 @@ def test_spelling_models_equal_plain_kneser_ney(spark):
         lower, seen = p(c, history[1:], w), nexts[c].get(history)
         return lower if not seen else (max(counts[c][history + w] - 0.75, 0) + 0.75 * len(seen) * lower) / sum(seen)
 
+    def plain(text):
+        whole = f" {text} "
+        return [math.log(p(1, h, w) / p(0, h, w)) for h, w in ((whole[max(0, i - toxicity.ORDER + 1) : i], whole[i]) for i in range(1, len(whole)))]
+
+    if across:
+        # The scores' inputs: mean ratio and highest stretches, over the texts themselves and small pieces and chunks of them.
+        monkeypatch.setattr(toxicity, "PIECE_CHARS", 500)
+        monkeypatch.setattr(toxicity, "CHUNK_CHARS", 2000)
+        monkeypatch.setattr(toxicity, "BLOCK_ROWS", 100)
+        some = [t for t, _ in texts[:12]] + [None, "", "q", "bake zgrulo"]
+        docs = spark.createDataFrame(list(enumerate(some)), "doc_id bigint, text string")
+        for row in toxicity.log_ratios(docs, models).collect():
+            units = toxicity.units_of(some[row.doc_id], True)
+            r = plain(units[0]) if units and units[0] else []
+            assert row.n_chars == len(r) and abs(row.log_ratio - sum(r) / max(1, len(r))) < 1e-6
+            for j, size in enumerate(toxicity.WINDOWS):
+                stretches = [sum(r[i : i + size]) / size for i in range(max(1, len(r) - size + 1))] if r else [0.0]
+                assert abs(row.windows[2 * j] - max(stretches)) < 1e-6
+                at = lambda i: stretches[min(i, len(stretches) - 1)]  # noqa: E731, B023
+                spans = sorted((max(at(i) for i in range(low, min(low + toxicity.SPAN, len(r)))) for low in range(0, len(r), toxicity.SPAN)), reverse=True)[: toxicity.TOP]
+                assert abs(row.windows[2 * j + 1] - (sum(spans) / len(spans) if spans else 0.0)) < 1e-6
     for word in ("bake", "zgrulo", "q", "lomitu", "zgru"):
         whole = f" {word} "
         want = sum(math.log(p(1, h, w) / p(0, h, w)) for h, w in ((whole[max(0, i - toxicity.ORDER + 1) : i], whole[i]) for i in range(1, len(whole))))
@@ -144,6 +166,16 @@ def test_grams_are_exact_for_every_alphabet_and_cross_words(spark):
     assert spelled == {f" {w} "[i:j] for w in ("aѡ", "\U00010461b", "aa") for i in range(len(w) + 2) for j in range(i + 1, min(len(w) + 2, i + 5) + 1)}
 
 
+def test_grams_are_found_in_sorted_lists():
+    draw = np.random.default_rng(1)
+    hi, lo = draw.integers(0, 5, 200), draw.integers(0, 50, 200)
+    pairs = sorted(set(zip(hi.tolist(), lo.tolist())))
+    known, asked = pairs[::2], pairs + [(9, 0), (0, 99), (9, 99)]
+    got = toxicity.find_grams(*np.array(asked).T, *np.array(known).T)
+    assert got.tolist() == [known.index(x) if x in known else -1 for x in asked]
+    assert toxicity.find_grams(hi, lo, hi[:0], lo[:0]).tolist() == [-1] * 200
+
+
 def test_few_toxic_labels_still_give_scores(spark):
     """The calibrating fifth has no toxic row here: scores come from all labelled rows."""
     frame = spark.createDataFrame([(i, "zgru zgro " * 9 if i % 6 == 1 else "ba ke lo mi " * 9) for i in range(60)], "doc_id bigint, text string")
