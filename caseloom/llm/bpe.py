@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.text import Memo, pieces
+from caseloom.llm.text import Memo, pieces, release
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -170,6 +170,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text: str =
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         bpe = encoder(vocabulary, pattern)
         for batch in batches:
             rows = []

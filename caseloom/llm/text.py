@@ -4,17 +4,25 @@ from __future__ import annotations
 
 import re
 import string
+import sys
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 # Marks stripped from the edges of words before hashing.
 EDGES = string.punctuation + "“”„‘’«»…–—¿¡·•"
 
 
+def _bytes_of(x) -> int:
+    return sys.getsizeof(x) + 32 * len(x) if isinstance(x, tuple) else sys.getsizeof(x)
+
+
 class Memo(dict):
-    """Values made on first use, in two generations of at most ``limit`` entries and ``size`` characters and bytes each, so memory is bounded.
+    """Values made on first use, in two generations of at most ``limit`` entries and ``size`` bytes each, so memory is bounded.
+
+    Every key and value counts with its own bytes, those of the numbers in a tuple and its place in the table.
 
     When the young generation is full it becomes the old one; what is used again moves back, so frequent keys stay.
     Keys of more than ``LONGEST`` characters are not kept.
@@ -22,13 +30,13 @@ class Memo(dict):
 
     LONGEST = 1_000
 
-    def __init__(self, make: Callable, limit: int = 300_000, size: int = 1 << 25):
+    def __init__(self, make: Callable, limit: int = 300_000, size: int = 48 << 20):
         super().__init__()
         self.make, self.limit, self.size, self.held, self.old = make, limit, size, 0, {}
 
     def put(self, key, value) -> None:
         """Keep a value in the young generation."""
-        sized = sum(len(x) for x in (key, value) if isinstance(x, (str, bytes)))
+        sized = 100 + _bytes_of(key) + _bytes_of(value)
         if isinstance(key, (str, bytes)) and len(key) > self.LONGEST:
             return
         if len(self) >= self.limit or self.held + sized > self.size:
@@ -37,6 +45,10 @@ class Memo(dict):
         self[key] = value
         self.held += sized
 
+    def forget(self) -> None:
+        self.clear()
+        self.old, self.held = {}, 0
+
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
@@ -54,6 +66,12 @@ def hash_word(word: str) -> int:
 _WORDS = Memo(hash_word)
 
 
+def release() -> None:
+    """Give back what earlier tasks of this Python worker have kept: word hashes and unused Arrow memory."""
+    _WORDS.forget()
+    pa.default_memory_pool().release_unused()
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     """Hashes of the words of a text in order (words end at white space; words of marks only are left out)."""
     words = text.split() if text else []

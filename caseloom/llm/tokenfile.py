@@ -129,7 +129,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         # Tokens are spelled with one letter per byte.
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -155,15 +155,20 @@ class PieceEncoder:
                 self.memo.put(piece, ids[a:b].tobytes())
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of every text (null: none) as little-endian unsigned 32-bit integers."""
-        parts = [pieces(text) if text else None for text in texts]
+        """Ids of every text (null: none) as little-endian unsigned 32-bit integers.
+
+        A text that holds an added token of the vocabulary is encoded whole: the library cuts it there first.
+        """
+        whole = [bool(text) and any(token in text for token in self.added) for text in texts]
+        parts = [pieces(text) if text and not own else None for text, own in zip(texts, whole)]
         found: set[str] = set()
         for part in parts:
             if part:
                 found.update(part[1:])
         known, old = self.memo, self.memo.old
         self._learn([piece for piece in found if len(piece) <= Memo.LONGEST and piece not in known and piece not in old])
-        return [self.first[part[0]] + b"".join(map(known.__getitem__, part[1:])) if part else b"" for part in parts]
+        joined = [self.first[part[0]] + b"".join(map(known.__getitem__, part[1:])) if part else b"" for part in parts]
+        return [self._ids(text).tobytes() if own else ids for text, own, ids in zip(texts, whole, joined)]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}

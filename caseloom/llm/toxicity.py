@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from caseloom.llm.text import mix
+from caseloom.llm.text import mix, release
 from caseloom.session import broadcast_if_small, materialize
 
 # The alphabet has 2**CHAR_BITS characters, or as many as were seen if these are more.
@@ -37,7 +37,7 @@ ORDER, CHAR_BITS = 5, 10
 CODE_BITS, HIGH_BITS, LOW_BITS = 21, 42, 63
 DISCOUNT = 0.75
 # Characters of a chunk of texts, and of the part of it whose grams are made at once.
-CHUNK_CHARS, PIECE_CHARS = 16_000_000, 1_000_000
+CHUNK_CHARS, PIECE_CHARS = 16_000_000, 500_000
 # Rows of a block of the model.
 BLOCK_ROWS = 1_000_000
 # Penalty on the squared weights of the probability curve, on standardised inputs.
@@ -316,6 +316,7 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
                 held.append(batch.slice(low))
         if held:
             yield from out()
+        release()
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The model's rows with their block."""
@@ -351,7 +352,9 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
             sizes = np.bincount(each, minlength=end - low).astype(np.int64)
             sums[low:end], chars[low:end] = np.bincount(each, ratios, end - low), sizes
             best[low:end] = window_ratios(ratios, sizes)
+            del grams, at, counts, each, ratios
         words = [len(value.split()) if value else 0 for value in texts]
+        release()
         columns = [pa.array(words, pa.int64()), pa.array(chars), pa.array(sums / np.maximum(chars, 1))]
         windows = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * best.shape[1]), pa.array(best.ravel()))
         return pa.Table.from_arrays([*(column.cast(kind) for column, kind in zip(table.columns, types)), *columns, windows], [*kept, "n_words", "n_chars", "log_ratio", "windows"])
