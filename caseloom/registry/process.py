@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from caseloom.functions.strings import safe_identifier
 from caseloom.operators import rewrite
 from caseloom.operators.clean import fill_mean
+from caseloom.operators.line_diff import diff_counts, line_diff
 from caseloom.operators.events import EventLog, case_variants, event_order, throughput_days, variant_codes, variant_counts
 from caseloom.operators.ml import assemble, kmeans, label_encode
 from caseloom.registry.core import Tables, query
@@ -157,3 +158,16 @@ def alias_rewrite(t: Tables):
 def rewrite_lines(t: Tables):
     lines = rewrite.script_lines(t.texts(), "doc_id", "text")
     return rewrite.rewrite_lines(lines, [("([a-z]+)ing", "$1ed"), (r"\bof the\b", "of")])
+
+
+@query(
+    "line_diff",
+    """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+    SELECT doc_id, count(*) FILTER (i % 7 <> 3) AS n_same, count(*) FILTER (i % 7 = 3) AS n_removed, 1::BIGINT AS n_added FROM l GROUP BY doc_id""",
+)
+def line_diff_query(t: Tables):
+    """Documents against a version with a new first line and without every seventh line."""
+    old = t.texts().select("doc_id", "text")
+    kept = F.filter(F.split("text", "\n", -1), lambda line, i: i % 7 != 2)
+    new = old.select("doc_id", F.array_join(F.concat(F.array(F.lit("-- a new first line --")), kept), "\n").alias("text"))
+    return diff_counts(line_diff(old, new, "doc_id", "text"), "doc_id")
