@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from caseloom.functions.dates import quarter_start, week_start
 from caseloom.operators import additive, arma
 from caseloom.operators import timeseries as ts
+from caseloom.operators.asof import asof_join
 from caseloom.plans.forecasting import decompose, export_frame, forecast_all
 from caseloom.registry.core import Tables, query
 from caseloom.session import materialize
@@ -268,3 +269,30 @@ def additive_forecast(t: Tables):
 @query("forecast_components")
 def forecast_components(t: Tables):
     return additive.long_components(_components(t), "series", "ds")
+
+
+@query(
+    "asof_join",
+    """WITH c AS (SELECT user_id, ts, max(event_id) AS event_id FROM events WHERE event_type = 'click' GROUP BY 1, 2),
+    k AS (SELECT user_id, ts, event_id, value FROM events JOIN c USING (user_id, ts, event_id))
+    SELECT e.event_id, e.user_id, e.ts, k.event_id AS click_event_id, k.ts AS click_ts, k.value AS click_value
+    FROM events AS e ASOF LEFT JOIN k ON e.user_id = k.user_id AND e.ts >= k.ts""",
+)
+def asof_join_query(t: Tables):
+    """Every event with its user's latest click that is not later."""
+    clicks = t("events").where("event_type = 'click'").select("user_id", "ts", "event_id", "value")
+    return asof_join(t("events").select("event_id", "user_id", "ts"), clicks, ["user_id"], "ts", ties=["event_id"], prefix="click_")
+
+
+@query(
+    "asof_hot_key",
+    """WITH c AS (SELECT ts, max(event_id) AS event_id FROM events WHERE event_type = 'error' GROUP BY 1),
+    k AS (SELECT ts, event_id FROM events JOIN c USING (ts, event_id))
+    SELECT e.event_id, k.event_id AS error_event_id, k.ts AS error_ts FROM events AS e ASOF LEFT JOIN k ON e.ts >= k.ts""",
+)
+def asof_hot_key(t: Tables):
+    """Every event with the latest error of anybody: all rows share one key."""
+    one = F.lit(1).alias("everybody")
+    errors = t("events").where("event_type = 'error'").select(one, "ts", "event_id")
+    found = asof_join(t("events").select(one, "event_id", "ts"), errors, ["everybody"], "ts", ties=["event_id"], prefix="error_")
+    return found.select("event_id", "error_event_id", "error_ts")

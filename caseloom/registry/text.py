@@ -150,9 +150,10 @@ def lda_batches(t: Tables):
     """How the documents are dealt: no batch above 128, every document once a pass."""
     documents = _corpus(t).documents
     uses = documents.groupBy("key").agg(F.count(F.lit(1)).alias("uses"))
-    batches = documents.groupBy("batch").agg(F.count(F.lit(1)).alias("rows")).agg(F.count(F.lit(1)).alias("batches"), F.max("rows").alias("largest"))
-    return uses.agg((F.sum("uses") * 10).alias("uses"), F.count(F.lit(1)).alias("documents"), F.max("uses").alias("uses_a_pass")).join(F.broadcast(batches)).select(
-        F.lit(10).cast("bigint").alias("passes"), "uses", "documents", "batches", "largest", "uses_a_pass")
+    dealt = documents.groupBy("batch").agg(F.count(F.lit(1)).alias("rows")).agg(F.count(F.lit(1)).alias("batches"), F.max("rows").alias("largest")).first()
+    return uses.agg((F.sum("uses") * 10).alias("uses"), F.count(F.lit(1)).alias("documents"), F.max("uses").alias("uses_a_pass")).select(
+        F.lit(10).cast("bigint").alias("passes"), "uses", "documents", F.lit(dealt["batches"]).cast("bigint").alias("batches"),
+        F.lit(dealt["largest"]).cast("bigint").alias("largest"), "uses_a_pass")
 
 
 @query("lda_grid")

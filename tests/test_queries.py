@@ -7,7 +7,7 @@ import __spark_entry__ as contract
 from caseloom.registry import ORACLES, QUERIES
 
 # Fits that take minutes on a small machine; their parts are tested in test_text and test_ml.
-SLOW = {"lda_grid", "lda_quality", "topic_clusters", "topic_keywords", "feature_importance", "gbt_evaluation", "forecast_components"}
+SLOW = {"lda_quality", "feature_importance", "gbt_evaluation", "forecast_components"}
 
 
 @pytest.fixture(scope="module")
