@@ -16,12 +16,14 @@ found meets the chunk again. A chunk ends after ``CHUNK_CHARS`` characters; a lo
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from caseloom.llm.text import mix, release
-from caseloom.session import broadcast_if_small, materialize
+from caseloom.session import broadcast_if_small, materialize, open_store, scratch_path
 
 # The alphabet has 2**CHAR_BITS characters, or as many as were seen if these are more.
 ORDER, CHAR_BITS = 5, 10
@@ -260,12 +262,14 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
     """Key, number of words, characters, mean log-likelihood ratio per character and highest means over WINDOWS of every row.
 
     Texts are held in chunks of up to ``CHUNK_CHARS`` characters, worked off ``PIECE_CHARS`` at a time. The model lies in
-    blocks by hash; a chunk sends each block one packed, sorted list of its distinct grams and gets their counts back.
+    blocks by hash; a chunk sends each block one packed, sorted list of its distinct grams and gets their counts back, as a file of
+    the shared folder, so that the texts themselves are stored once and never shuffled.
     """
     kept = [key] + [carry] * (carry is not None)
     kinds = [f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in kept]
     across, total, alphabet = models.across, models.total, models.alphabet
     blocks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-models.size // BLOCK_ROWS))
+    folder = scratch_path(docs.sparkSession, "answers")
     # Results are compared with types whose fields may all be null.
     types = to_arrow_schema(StructType.fromDDL(", ".join(kinds))).types
 
@@ -281,7 +285,7 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
 
     def stored(table: pa.Table) -> bytes:
         stream = pa.BufferOutputStream()
-        with pa.ipc.new_stream(stream, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(stream, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))) as out:
             out.write_table(table)
         return stream.getvalue().to_pybytes()
 
@@ -337,10 +341,34 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
             found.append(_zip(wanted[0][seen], wanted[1][seen], *(c[at[seen]] for c in counts)))
         return pa.Table.from_arrays([pa.array(chunk, pa.int64()), pa.array(found, pa.binary())], ["chunk", "found"])
 
-    def score(group: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        table = pa.ipc.open_stream(left.column("data")[0].as_py()).read_all()
+    def keep(group: tuple, table: pa.Table) -> pa.Table:
+        """The answers to a chunk as a file of its number: made under another name, so it is whole or not there, in any attempt."""
+        store, base = open_store(folder)
+        store.create_dir(base, recursive=True)
+        made = f"{base}/{uuid.uuid4().hex}"
+        with store.open_output_stream(made) as out, pa.ipc.new_stream(out, table.select(["found"]).schema) as rows:
+            rows.write_table(table.select(["found"]))
+        store.move(made, f"{base}/{group[0].as_py()}")
+        return table.select(["chunk"]).slice(0, 1)
+
+    def answers_to(chunk: int) -> list[np.ndarray]:
+        store, base = open_store(folder)
+        name = f"{base}/{chunk}"
+        if store.get_file_info(name).type == fs.FileType.NotFound:
+            return []
+        with store.open_input_stream(name) as data:
+            found = pa.ipc.open_stream(data).read_all().column("found")
+        return [_unzip(x.as_py(), 2 + len(COUNTS)) for x in found]
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from score(batch.column("chunk")[i].as_py(), batch.column("data")[i].as_py()).to_batches()
+
+    def score(chunk: int, data: bytes) -> pa.Table:
+        table = pa.ipc.open_stream(data).read_all()
         texts = table.column(len(kept)).to_pylist()
-        parts = [_unzip(data.as_py(), 2 + len(COUNTS)) for data in right.column("found")]
+        parts = answers_to(chunk)
         rows = np.concatenate(parts, axis=1) if parts else np.zeros((2 + len(COUNTS), 0), np.int64)
         rows = rows[:, _order(rows[0], rows[1])]
         sums, chars, best = np.zeros(len(texts)), np.zeros(len(texts), np.int64), np.zeros((len(texts), 2 * len(WINDOWS)))
@@ -363,8 +391,8 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
     model = models.rows.select("hi", "lo", *COUNTS).mapInArrow(place, "block int, hi bigint, lo bigint, " + ", ".join(f"{c} bigint" for c in COUNTS))
     asked = chunks.where("block >= 0").groupBy("block")
     answers = asked.cogroup(model.groupBy("block")).applyInArrow(answer, "chunk bigint, found binary")
-    both = chunks.where("block < 0").select("chunk", "data").groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    return both.applyInArrow(score, ", ".join([*kinds, "n_words bigint, n_chars bigint, log_ratio double, windows array<double>"]))
+    answers.groupBy("chunk").applyInArrow(keep, "chunk bigint").write.format("noop").mode("overwrite").save()
+    return chunks.where("block < 0").select("chunk", "data").mapInArrow(scores, ", ".join([*kinds, "n_words bigint, n_chars bigint, log_ratio double, windows array<double>"]))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0, ridge: float = 0.01, steps: int = 100) -> np.ndarray:
