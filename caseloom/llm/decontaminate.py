@@ -1,44 +1,64 @@
 """Benchmark decontamination by spaced seeds: masks that ignore some word positions find overlaps despite substitutions.
 
-Every window of ``SPAN`` words gets one hash per mask from the words the mask keeps. Windows of documents and of benchmark
-items with equal hashes are hits; around a hit the two texts are aligned and compared word by word. A document is
-contaminated if an aligned stretch, in which every substituted word costs two matching ones, holds enough equal words.
+Every window gets one hash per mask from the words the mask keeps: windows of 12 words, for items of 8 to 11 words of 8,
+and for items of 5 to 7 words of 5. Windows of documents and of benchmark items with equal hashes are hits; around a hit
+the two texts are aligned and compared word by word. A document is contaminated if 12 of 16 aligned words in a row are
+equal (of a shorter item three quarters of its words), or if an aligned stretch, in which every substituted word costs
+two matching ones, holds 12 equal words.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.text import mix, multipliers, word_hashes
+from caseloom.llm.text import column_word_hashes, multipliers
 from caseloom.session import materialize
 
-# Fixed masks: 1 keeps a position. Eight of twelve words each.
-MASKS = ("111010010111", "110110110011", "101101101101", "111100001111")
-SPAN = 12
+# Window lengths, and how many of the four residues of a position modulo 4 the masks of that length keep. All choices of
+# residues are masks, so one substitution in 5 words and two in 8 or 12 words leave a mask whole, wherever they fall.
+SPANS = {5: 3, 8: 2, 12: 2}
+# Fixed masks of windows of 12 words beside those: 1 keeps a position.
+EXTRA_MASKS = ("100011110001", "110000101101")
 # Items of fewer words say nothing: they never match.
 LEAST_WORDS = 5
+# The share of equal words that the stretch of an overlap needs.
+SHARE = 0.75
 # The filter of benchmark hashes has this many bits (8 MB), whatever the benchmark.
 FILTER_BITS, BLOCK_BITS = 26, 16
+# Windows hashed at once.
+CHUNK = 1 << 19
 
 
-def window_hashes(words: np.ndarray, short: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows under all masks, and where the windows begin.
+def masks(span: int) -> list[list[int]]:
+    """The positions that each mask of a window length keeps."""
+    kept = [[i for i in range(span) if i % 4 in residues] for residues in combinations(range(4), SPANS[span])]
+    return kept + [[i for i, c in enumerate(mask) if c == "1"] for mask in EXTRA_MASKS if len(mask) == span]
 
-    With ``short`` (fewer than SPAN words) the windows have that many words and one mask that keeps all.
-    """
-    span = short or SPAN
+
+def span_of(n: int) -> int:
+    """The window length of an item of ``n`` words."""
+    return max(s for s in SPANS if s <= n)
+
+
+def window_hashes(words: np.ndarray, span: int) -> Iterator[np.ndarray]:
+    """Hashes of all windows of ``span`` words, one array per mask."""
     count = len(words) - span + 1
     if count <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    factors = multipliers(1000 + span, SPAN)
+        return
+    factors = multipliers(1000 + span, span)
     scaled = [words[i : i + count] * factors[i] for i in range(span)]
-    sums = [np.sum([scaled[i] for i in range(span) if short or mask[i] == "1"], axis=0, dtype=np.uint64) + np.uint64(span * 16 + m) for m, mask in enumerate(MASKS[:1] if short else MASKS)]
-    return mix(np.concatenate(sums)), np.tile(np.arange(count, dtype=np.int64), len(sums))
+    residues = [sum(scaled[r + 4 :: 4], start=scaled[r]) for r in range(4)]
+    for number, kept in enumerate(masks(span)):
+        whole = SPANS[span] if number < math.comb(4, SPANS[span]) else 0
+        parts = [residues[r] for r in sorted({i % 4 for i in kept})] if whole else [scaled[i] for i in kept]
+        yield sum(parts[1:], start=parts[0] + np.uint64((span * 16 + number) * 0x9E3779B97F4A7C15 % 2**64))
 
 
 def filter_bits(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,15 +71,16 @@ def benchmark_windows(benchmark: DataFrame, item: str, text: str) -> tuple[DataF
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [word_hashes(value.as_py()) for value in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w.tobytes() for w in words], pa.binary()), pa.array([len(w) for w in words], pa.int64())], ["item", "item_words", "n"])
+            for first, words, ends in column_word_hashes(batch.column(1)):
+                sides = np.split(words, ends[:-1])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[first : first + len(ends)], pa.array([w.tobytes() for w in sides], pa.binary()), pa.array(np.diff(ends, prepend=0))], ["item", "item_words", "n"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column(0), batch.column(1).to_pylist()):
                 words = np.frombuffer(data, np.uint64)
-                hashes, at = window_hashes(words, len(words) if len(words) < SPAN else None)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array([name.as_py()] * len(at), batch.schema.types[0]), pa.array(at)], ["hash", "item", "at"])
+                for hashes in window_hashes(words, span_of(len(words))):
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array([name.as_py()] * len(hashes), batch.schema.types[0]), pa.array(np.arange(len(hashes)))], ["hash", "item", "at"])
 
     kind = benchmark.schema[item].dataType.simpleString()
     spelled = benchmark.select(F.col(item).alias("item"), F.col(text).alias("t")).mapInArrow(spell, f"item {kind}, item_words binary, n bigint")
@@ -98,43 +119,71 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     return int(equal[start : end + 1].sum()), start, end + 1
 
 
+def verified(equal: np.ndarray, n: int, least: int = 12) -> tuple[int, int, int] | None:
+    """Equal words, start and end of the stretch that proves an overlap with an item of ``n`` words, if there is one.
+
+    ``equal`` tells of each aligned word whether both texts have it; beyond the document's ends there is none.
+    """
+    matched, start, end = best_stretch(equal)
+    if matched >= least:
+        return matched, start, end
+    needed = min(least, math.ceil(SHARE * n))
+    width = min(n, math.ceil(least / SHARE), len(equal))
+    sums = np.concatenate([[0], np.cumsum(equal)])
+    inside = sums[width:] - sums[:-width]
+    at = int(np.argmax(inside))
+    return (int(inside[at]), at, at + width) if inside[at] >= needed else None
+
+
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 12, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """Verified overlaps: one row per (document key, text hash, item) with matched, n, doc_at, length of the best stretch.
 
-    An overlap needs ``least`` equal words, or all words of a shorter item. Documents are scanned once against a
-    filter of fixed size; only those with hits go on, with their words. Joins are plain equi-joins on hashes, items and
-    documents, so hot hashes can be split.
+    An overlap is a stretch as ``verified`` finds it. Documents are scanned once against a filter of fixed size; only
+    those with hits go on, with their words. Joins are plain equi-joins on hashes, items and documents, so hot hashes
+    can be split.
     """
     spark = docs.sparkSession
     items, windows = benchmark_windows(benchmark, item, item_text)
-    lengths = sorted(row.n for row in items.where(F.col("n") < SPAN).select("n").distinct().collect())  # at most SPAN values
+    lengths = items.select(F.least("n", F.lit(max(SPANS))).alias("n")).distinct().collect()
+    spans = sorted({span_of(row.n) for row in lengths})  # three values at most
     held = spark.sparkContext.broadcast(build_filter(windows))
     kind = docs.schema[key].dataType.simpleString()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = held.value
 
-        def inside(bit):
-            return (known[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+        def hits(hashes):
+            """Places whose hash has both bits in the filter; most fail by the byte of the first bit alone."""
+            at = np.flatnonzero(known[hashes >> np.uint64(67 - FILTER_BITS)])
+            one, two = ((known[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 for bit in filter_bits(hashes[at]))
+            return at[(one & two) == 1]
 
         for batch in batches:
             rows = []
-            for name, mark, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                words = word_hashes(value.as_py())
-                hits = []
-                for short in [None, *lengths]:
-                    hashes, at = window_hashes(words, short)
-                    one, two = filter_bits(hashes)
-                    keep = np.flatnonzero(inside(one))
-                    keep = keep[inside(two[keep])]
-                    hits.append((hashes[keep], at[keep]))
-                hashes, at = (np.concatenate(x) for x in zip(*hits))
-                if len(at):
-                    rows.append((name, mark, words.tobytes(), hashes.view(np.int64), at))
+            for first, words, ends in column_word_hashes(batch.column(2)):
+                found = []
+                for span in spans:
+                    for low in range(0, len(words), CHUNK):
+                        for hashes in window_hashes(words[low : low + CHUNK + span - 1], span):
+                            at = hits(hashes)
+                            place = low + at
+                            row = np.searchsorted(ends, place, side="right")
+                            whole = place + span <= ends[row]
+                            found.append((row[whole], place[whole], hashes[at[whole]]))
+                if not found:
+                    continue
+                row, place, hashes = (np.concatenate(x) for x in zip(*found))
+                order = np.argsort(row, kind="stable")
+                row, place, hashes = row[order], place[order], hashes[order].view(np.int64)
+                bounds = np.flatnonzero(np.diff(row, prepend=-1, append=len(ends)))
+                for a, b in zip(bounds[:-1], bounds[1:]):
+                    begin = int(ends[row[a] - 1]) if row[a] else 0
+                    rows.append((first + int(row[a]), words[begin : ends[row[a]]].tobytes(), hashes[a:b], place[a:b] - begin))
             if rows:
-                columns = list(zip(*rows))
-                kinds = [batch.schema.types[0], pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["key", "mark", "words", "hashes", "places"])
+                at, texts, hashes, places = zip(*rows)
+                taken = batch.select([0, 1]).take(pa.array(at))
+                numbers = [pa.array(c, pa.list_(pa.int64())) for c in (hashes, places)]
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(texts, pa.binary()), *numbers], ["key", "mark", "words", "hashes", "places"])
 
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("t"))
     found = materialize(rows.mapInArrow(scan, f"key {kind}, mark bigint, words binary, hashes array<bigint>, places array<bigint>"), "hits")
@@ -155,8 +204,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, least: int = 12, key: s
                 theirs, ours = np.frombuffer(item_words, np.uint64), np.frombuffer(part, np.uint64)
                 skipped = max(0, -shift)
                 theirs = theirs[skipped : skipped + len(ours)]
-                matched, start, end = best_stretch(theirs == ours[: len(theirs)])
-                if matched >= min(least, n):
+                if proof := verified(theirs == ours[: len(theirs)], n, least):
+                    matched, start, end = proof
                     rows.append((name, mark, which, matched, n, max(shift, 0) + start, end - start))
             if rows:
                 types = [batch.schema.types[0], pa.int64(), batch.schema.types[2], *[pa.int64()] * 4]
@@ -187,7 +236,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, least: int = 12, key: s
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Rows of ``docs``, whole, whose text holds no verified overlap."""
+    """Rows of ``docs``, whole, whose text holds no verified overlap.
+
+    All columns stay, whatever their names. Rows with a null or empty text stay; repeated rows and rows of a null key are
+    decided by their own text, each for itself. An empty table or benchmark removes nothing.
+    """
     flagged = find_overlaps(docs, benchmark, key=key, text=text, **options).select("key", F.col("mark").alias("found_mark")).distinct()
     same = docs[key].eqNullSafe(flagged["key"]) & (F.xxhash64(docs[text]) == flagged["found_mark"])
     return docs.join(flagged, same, "left_anti")

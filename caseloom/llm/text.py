@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 import string
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 # Marks stripped from the edges of words before hashing.
@@ -79,6 +80,24 @@ def word_hashes(text: str | None) -> np.ndarray:
     return found[found != 0]
 
 
+def column_word_hashes(texts: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``word_hashes`` of many texts: the first row of a group, the word hashes of its rows in a row, and the rows' ends.
+
+    Groups hold about ``limit`` bytes of text or a single longer one. Each distinct word of a group is hashed once.
+    """
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = np.cumsum(sizes) // limit
+    starts = np.flatnonzero(np.diff(group, prepend=-1)) if len(sizes) else np.zeros(0, np.int64)
+    for first, end in zip(starts, [*starts[1:], len(sizes)]):
+        lists = pc.utf8_split_whitespace(pc.fill_null(texts[first:end], ""))
+        words = lists.flatten().dictionary_encode()
+        hashes = np.fromiter(map(hash_word, words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
+        found = hashes[words.indices.to_numpy()] if len(words) else hashes
+        kept = np.concatenate([[0], np.cumsum(found != 0)])
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        yield int(first), found[found != 0], kept[ends]
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A finaliser that spreads 64-bit values over all bits."""
     v = values.astype(np.uint64, copy=True)
