@@ -317,9 +317,8 @@ def stream_upsert(t: Tables):
     events.write.mode("append").parquet(folder)
     events.where("event_type IN ('click', 'view', 'error')").write.mode("append").parquet(folder)
     store, name = _store(t), _name("streamed")
-    stream = tail_files(t.spark, folder, events.schema, files_per_batch=4).withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.lit(8)))
-    keys = ["event_id", "bucket"]
-    running = upsert_batches(stream, store, name, keys, scratch_path(t.spark, "checkpoint"), [F.desc("ts")], ["bucket"])
+    stream = tail_files(t.spark, folder, events.schema, files_per_batch=4)
+    running = upsert_batches(stream, store, name, ["event_id"], scratch_path(t.spark, "checkpoint"), [F.desc("ts")])
     running.awaitTermination()
     return store.read(name).select("event_id", "user_id", "event_type", "value")
 

@@ -1,8 +1,9 @@
 """Publishing frames as tables: replace, append, error, upsert.
 
-Each table is an external parquet table. A replace or an upsert writes a complete new version below the store's root
-and then points the catalog entry at it, so readers never see half a table and the old version stays readable.
-Concurrent writers of one table are not coordinated.
+A table with keys is a ``VersionedTable`` below the store's root with a view over the folders of its latest version; upserts
+and appends leave the buckets they do not touch as they are, and writers do not overwrite each other's changes. A table
+without keys, or partitioned by columns, is an external parquet table: a replace writes a complete new version and then
+points the catalog entry at it, so readers never see half a table; concurrent writers of one are not coordinated.
 """
 
 from __future__ import annotations
@@ -12,21 +13,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from caseloom.operators.relational import require_unique, top_n
+from caseloom.operators.relational import require_unique
 from caseloom.plans.model import ForeignKey, Model
 from caseloom.session import materialize
-
-
-def upsert_result(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[Column] | None = None) -> DataFrame:
-    """Target rows whose keys the source lacks, plus the source rows; keys compare null-safe.
-
-    Repeated source keys keep the first row by ``order_by``; without an order they are an error.
-    """
-    latest = top_n(source, keys, order_by, 1, "__n").drop("__n") if order_by else require_unique(source, keys)
-    names = latest.select(*[F.col(k).alias(f"__{k}") for k in keys])
-    same = [target[k].eqNullSafe(names[f"__{k}"]) for k in keys]
-    return target.join(names, same, "left_anti").unionByName(latest.select(*target.columns))
+from caseloom.sinks.versions import VersionedTable, upsert_result
 
 
 class TableStore:
@@ -43,25 +35,29 @@ class TableStore:
         return self.spark.catalog.tableExists(f"{self.database}.{name}")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.table(self.full_name(name))
+        kept = self.versioned(name)
+        return kept.read() if kept else self.spark.table(self.full_name(name))
+
+    def versioned(self, name: str) -> VersionedTable | None:
+        """The versions behind a table with keys; none for other tables."""
+        path = self.properties(name).get("caseloom.versions")
+        return VersionedTable(self.spark, path) if path else None
+
+    def retain(self, name: str, keep: int = 2) -> None:
+        """Give up all but the last ``keep`` versions of a table with keys."""
+        self.versioned(name).retain(keep)
 
     def create(self, name: str, data: DataFrame | str, types: Mapping[str, str] | None = None,
                primary_keys: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
         """New table; an existing one is an error."""
         if self.exists(name):
             raise ValueError(f"table {name!r} already exists")
-        df = self._frame(data, types)
-        if primary_keys:
-            require_unique(df, primary_keys)
-        self._define(name, df, primary_keys, partition_by)
+        self._define(name, self._frame(data, types), primary_keys, partition_by)
 
     def replace(self, name: str, data: DataFrame | str, types: Mapping[str, str] | None = None,
                 primary_keys: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
         """Table with new content and, if it differs, a new schema."""
-        df = self._frame(data, types)
-        if primary_keys:
-            require_unique(df, primary_keys)
-        self._define(name, df, primary_keys, partition_by)
+        self._define(name, self._frame(data, types), primary_keys, partition_by)
 
     def append(self, name: str, data: DataFrame | str) -> None:
         """Add rows; column names and types must fit the table."""
@@ -69,12 +65,24 @@ class TableStore:
         df = self._frame(data, None)
         if sorted(df.columns) != sorted(table.columns):
             raise ValueError(f"columns {sorted(df.columns)} do not fit {sorted(table.columns)}")
-        df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in table.schema]).write.insertInto(self.full_name(name))
+        if kept := self.versioned(name):
+            kept.append(df)
+            self._point(name, kept)
+        else:
+            df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in table.schema]).write.insertInto(self.full_name(name))
 
     def upsert(self, name: str, data: DataFrame | str, keys: Sequence[str] | None = None,
                order_by: Sequence[Column] | None = None) -> None:
-        """Insert new keys and update known ones. A table partitioned by key columns rewrites touched partitions only."""
-        table, df = self.read(name), self._frame(data, None)
+        """Insert new keys and update known ones; only touched buckets, or touched partitions of key columns, are rewritten.
+
+        A table that is neither in versions nor partitioned by key columns is laid out in versions by its first upsert.
+        """
+        df = self._frame(data, None)
+        if kept := self.versioned(name):
+            kept.upsert(df, keys, order_by)
+            self._point(name, kept)
+            return
+        table = self.read(name)
         keys = list(keys or self.primary_keys(name))
         if not keys:
             raise ValueError("upsert needs primary keys")
@@ -109,7 +117,30 @@ class TableStore:
         return {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(name)}").collect()}
 
     def set_property(self, name: str, key: str, value: str) -> None:
-        self.spark.sql(f"ALTER TABLE {self.full_name(name)} SET TBLPROPERTIES ('{key}' = '{value}')")
+        kind = "VIEW" if self._is_view(name) else "TABLE"
+        self.spark.sql(f"ALTER {kind} {self.full_name(name)} SET TBLPROPERTIES ('{key}' = '{value}')")
+
+    def _is_view(self, name: str) -> bool:
+        return self.spark.catalog.getTable(f"{self.database}.{name}").tableType == "VIEW"
+
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP {'VIEW' if self._is_view(name) else 'TABLE'} {self.full_name(name)}")
+
+    def _point(self, name: str, kept: VersionedTable) -> None:
+        """Let the view of a table show its latest version."""
+        manifest = kept.manifest()
+        schema = StructType.fromJson(manifest["schema"])
+        folders = [path.removeprefix(f"{kept.path}/data/") for path in kept.paths(manifest)]
+        if folders:
+            chosen = f"{{{','.join(folders)}}}" if len(folders) > 1 else folders[0]
+            body = f"SELECT {', '.join(f'`{c}`' for c in schema.names)} FROM parquet.`{kept.path}/data/{chosen}`"
+        else:
+            body = "SELECT " + ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema) + " WHERE false"
+        if self.exists(name):
+            self.spark.sql(f"ALTER VIEW {self.full_name(name)} AS {body}")
+        else:
+            properties = f"'caseloom.versions' = '{kept.path}', 'caseloom.keys' = '{','.join(manifest['keys'])}'"
+            self.spark.sql(f"CREATE VIEW {self.full_name(name)} TBLPROPERTIES ({properties}) AS {body}")
 
     def _overwrite_partitions(self, name: str, df: DataFrame) -> None:
         """Replace the partitions present in ``df`` and leave the others."""
@@ -128,9 +159,24 @@ class TableStore:
         return data.withColumns({c: F.col(c).cast(kind) for c, kind in types.items()}) if types else data
 
     def _define(self, name: str, df: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> None:
-        """Write a version of the table and point the catalog entry at it."""
+        """Write a version of the table and point the catalog entry at it. Keys must be unique."""
         location = f"{self.root}/{self.database}/{name}/{uuid.uuid4().hex}"
         known = self.exists(name)
+        if keys and not partition_by:
+            kept = self.versioned(name) if known else None
+            if kept is None:
+                kept = VersionedTable(self.spark, location)
+            kept.replace(df, keys)
+            if known and (not self._is_view(name) or self.primary_keys(name) != list(keys)):
+                self._drop(name)
+            self._point(name, kept)
+            return
+        if keys:
+            require_unique(df, keys)
+        if known and self._is_view(name):
+            df = materialize(df, "replace")
+            self._drop(name)
+            known = False
         if known and not partition_by and not self.partition_columns(name) and self.read(name).schema == df.schema:
             df.write.parquet(location)
             self.spark.sql(f"ALTER TABLE {self.full_name(name)} SET LOCATION '{location}'")
@@ -140,7 +186,7 @@ class TableStore:
             writer = df.write.format("parquet").option("path", location)
             (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(self.full_name(staged))
             if known:
-                self.spark.sql(f"DROP TABLE {self.full_name(name)}")
+                self._drop(name)
             self.spark.sql(f"ALTER TABLE {self.full_name(staged)} RENAME TO {self.full_name(name)}")
         if keys:
             self.set_property(name, "caseloom.keys", ",".join(keys))

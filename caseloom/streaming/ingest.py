@@ -43,8 +43,7 @@ def upsert_batches(
 ) -> StreamingQuery:
     """Upsert each micro-batch into a table of the store until the source is drained.
 
-    A large table should be partitioned by key columns (``partition_by``): a batch then rewrites only the partitions
-    it touches, otherwise the table.
+    A batch rewrites only the buckets its keys fall into, or with ``partition_by`` the partitions of those key columns.
 
     A batch that this checkpoint already applied is skipped by its number; applying one twice would not change the
     table either.

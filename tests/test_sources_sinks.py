@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from caseloom.plans.model import ForeignKey, Model
 from caseloom.sinks import exports
 from caseloom.sinks.tables import TableStore, upsert_result
+from caseloom.sinks.versions import VersionedTable
 from caseloom.sources.csv import combine_csv, csv_payload, scan_csv
 from caseloom.sources.extract import incremental_extract, trailing_days, unify_sources
 from caseloom.sources.json import flatten, paged_json, paged_service
@@ -159,6 +160,57 @@ def test_upsert_rewrites_touched_partitions_only(spark, store):
     assert {f for f in store.read("parts").where("p = 'y'").inputFiles()} == before
 
 
+def test_upsert_of_a_keyed_table_carries_untouched_buckets(spark, store, tmp_path):
+    kept = VersionedTable(spark, str(tmp_path / "kept"))
+    kept.replace(spark.range(400).selectExpr("id AS k", "'a' AS v"), ["k"], bucket_rows=50)
+    before = kept.manifest()
+    assert before["buckets"] == 8 and sum(before["rows"].values()) == 400
+    kept.upsert(spark.createDataFrame([(7, "b")], "k bigint, v string"))
+    after = kept.manifest()
+    assert sum(after["folders"][b] != before["folders"][b] for b in before["folders"]) == 1
+    assert rows(kept.read().where("v = 'b'")) == [(7, "b")] and kept.read().count() == 400
+    assert kept.read(before["version"]).where("v = 'b'").count() == 0
+    kept.upsert(spark.range(300, 1_300).selectExpr("id AS k", "'c' AS v"))  # the table outgrows its buckets
+    assert kept.manifest()["buckets"] == 32
+    assert rows(kept.read().groupBy("v").count()) == [("a", 299), ("b", 1), ("c", 1_000)]
+    kept.retain(1)
+    assert kept.versions() == [2] and kept.read().count() == 1_300
+    folders = {f"{p.parent.name}/{p.name}" for p in (tmp_path / "kept" / "data").glob("*/__bucket=*")}
+    assert folders == {f for listed in kept.manifest()["folders"].values() for f in listed}
+
+
+def test_two_writers_of_a_keyed_table(spark, tmp_path):
+    one, two = (VersionedTable(spark, str(tmp_path / "both")) for _ in range(2))
+    one.replace(frame(spark, (1, "a"), (2, "a")), ["k"])
+    publish, slept = one._list, []
+
+    def late(manifest):
+        if not slept:  # the other writer is faster once
+            slept.append(two.upsert(frame(spark, (2, "two"), (3, "two"))))
+        publish(manifest)
+
+    one._list = late
+    one.upsert(frame(spark, (1, "one")))
+    assert rows(two.read()) == [(1, "one"), (2, "two"), (3, "two")]
+    assert two.versions() == [0, 1, 2]
+
+
+def test_keyed_table_is_also_a_view(spark, store):
+    store.create("seen", frame(spark, (1, "a")).where("false"), primary_keys=["k"])
+    assert rows(spark.table(store.full_name("seen"))) == [] and store.read("seen").count() == 0
+    store.append("seen", frame(spark, *[(i, "b") for i in range(50)]))
+    store.append("seen", frame(spark, (50, "c")))
+    store.upsert("seen", frame(spark, (3, "x"), (51, "y")))
+    assert rows(spark.table(store.full_name("seen"))) == rows(store.read("seen"))
+    assert store.read("seen").count() == 52 and store.primary_keys("seen") == ["k"]
+    store.replace("seen", store.read("seen").where("v <> 'b'"), primary_keys=["k"])
+    assert rows(spark.table(store.full_name("seen"))) == [(3, "x"), (50, "c"), (51, "y")]
+    store.replace("seen", store.read("seen").where("k = 50"))
+    assert rows(store.read("seen")) == [(50, "c")] and store.primary_keys("seen") == []
+    store.replace("seen", spark.createDataFrame([("z", 1)], "n string, k int"), primary_keys=["n"])
+    assert rows(spark.table(store.full_name("seen"))) == [("z", 1)] and store.primary_keys("seen") == ["n"]
+
+
 def test_append_or_create_registers_once(spark, store):
     model = Model({"orders": frame(spark, (1, "o"))})
     key = ForeignKey("orders", "history", (("k", "k"),))
