@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.operators.clean import clamp_negative
+from caseloom.session import materialize
 
 # Polynomial coefficients of the published response surface for the unit-root test with a constant,
 # small-p and large-p branch, and the statistic limits between and around them.
@@ -71,6 +72,26 @@ def forecast_arma(fit: dict, steps: int, future_exo: np.ndarray | None = None) -
     return np.array(x[-steps:]) + fit["mean"], np.sqrt(fit["sigma2"] * np.cumsum(np.square(psi)))
 
 
+def step_arma(fit: dict, y: np.ndarray, seen: int, exo: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One-step predictions of every value under fixed parameters, and the last values and shocks after them.
+
+    The first ``seen`` values are those the model was fitted to; they run from a start at the mean. The values after them
+    run from the state that the model holds.
+    """
+    ar, ma = np.asarray(fit["ar"], dtype=float), np.asarray(fit["ma"], dtype=float)
+    x, e = np.zeros(len(ar)), np.zeros(len(ma))
+    fixed = fit["const"] + (exo @ np.asarray(fit["exo"], dtype=float) if exo is not None else np.zeros(len(y)))
+    told = np.empty(len(y))
+    for t in range(len(y) + 1):
+        if t == seen:
+            x, e = np.asarray(fit["x"], dtype=float)[::-1], np.asarray(fit["shocks"], dtype=float)[::-1]
+        if t < len(y):
+            told[t] = fixed[t] + ar @ x + ma @ e
+            value = y[t] - fit["mean"]
+            x, e = np.append(value, x)[: len(ar)], np.append(value - told[t], e)[: len(ma)]
+    return told + fit["mean"], x[::-1], e[::-1]
+
+
 def partial_autocorrelation(acf: np.ndarray) -> np.ndarray:
     """Durbin-Levinson recursion on autocorrelations 0..n."""
     out, phi = [1.0], np.empty(0)
@@ -130,26 +151,28 @@ def _matrix(xs, rows: int) -> np.ndarray | None:
 
 def walk_forward(
     df: DataFrame, series: str, date: str, value: str, p: int = 3, q: int = 3, val_share: float = 0.2,
-    clamp: bool = False, cutoffs_per_task: int = CUTOFFS_PER_TASK,
+    clamp: bool = False, cutoffs_per_task: int = CUTOFFS_PER_TASK, exo: list[str] | None = None,
 ) -> DataFrame:
     """One-step predictions for the last ``val_share`` of each series, refitted on the actual values before each step.
 
     The history holds actual values only, so cut-offs do not depend on each other and run in parallel. ``clamp``
-    turns negative predictions into 0.
+    turns negative predictions into 0. ``exo`` names regressors, also known on the predicted date.
     """
+    names = exo or []
 
     @F.pandas_udf("array<double>")
-    def predict(ys: pd.Series, low: pd.Series, high: pd.Series) -> pd.Series:
-        def steps(y, lo, hi):
+    def predict(ys: pd.Series, xs: pd.Series, low: pd.Series, high: pd.Series) -> pd.Series:
+        def steps(y, x, lo, hi):
             out = []
+            known = _matrix(x, hi) if names else None
             for cut in range(lo, hi):
-                fit = fit_arma(np.asarray(y[:cut], dtype=float), p, q)
-                out.append(float(forecast_arma(fit, 1)[0][0]) if fit else None)
+                fit = fit_arma(np.asarray(y[:cut], dtype=float), p, q, known[:cut] if names else None)
+                out.append(float(forecast_arma(fit, 1, known[cut : cut + 1] if names else None)[0][0]) if fit else None)
             return out
 
-        return pd.Series([steps(*row) for row in zip(ys, low, high)])
+        return pd.Series([steps(*row) for row in zip(ys, xs, low, high)])
 
-    arrays = as_arrays(df, series, date, value)
+    arrays = as_arrays(df, series, date, value, names)
     size = F.size("ys")
     sized = arrays.withColumn("__first", F.floor(size * (1 - val_share)).cast("int")).where(size > F.col("__first"))
     chunks = sized.withColumn("__low", F.explode(F.sequence(F.col("__first"), size - 1, F.lit(cutoffs_per_task))))
@@ -160,7 +183,7 @@ def walk_forward(
         series,
         F.inline(F.arrays_zip(
             F.slice("ds", F.col("__low") + 1, span).alias(date),
-            predict("ys", "__low", "__high").alias("predicted"),
+            predict("ys", "xs", "__low", "__high").alias("predicted"),
             F.slice("ys", F.col("__low") + 1, span).alias("actual"),
         )).alias(date, "predicted", "actual"),
     )
@@ -241,18 +264,76 @@ def forecast(df: DataFrame, series: str, date: str, value: str, steps: int = 5,
     return forecast_models(models, series, date, steps, **options)
 
 
-def classified(df: DataFrame, series: str, date: str, value: str, val_share: float = 0.2, steps: int = 5, p: int = 3,
-               q: int = 3, clamp: bool = False) -> DataFrame:
-    """Train, test and forecast rows of each series in one table."""
-    arrays = as_arrays(df, series, date, value)
+def carry_models(
+    models: DataFrame, df: DataFrame, series: str, date: str, value: str, exo: list[str] | None = None
+) -> DataFrame:
+    """Every series run through its stored model without refitting: ``ds``, ``ys``, one-step predictions ``told`` and the
+    model carried on to the last date, ready to be stored or to forecast from.
+
+    Values after the model's last date run from its state, which expects the next date of the grid; earlier ones from a
+    start at the mean. A series without a model, or with a null one, has null predictions and no model.
+    """
+    names = exo or []
+
+    @F.pandas_udf("struct<told:array<double>,x:array<double>,shocks:array<double>>")
+    def run(model: pd.DataFrame, ys: pd.Series, xs: pd.Series, seen: pd.Series) -> pd.DataFrame:
+        def one(fit, y, x, n):
+            known = _matrix(x, len(y)) if names else None
+            told, last, shocks = step_arma(fit, np.asarray(y, dtype=float), n, known)
+            return {"told": told.tolist(), "x": last.tolist(), "shocks": shocks.tolist()}
+
+        return pd.DataFrame([one(*row) for row in zip(model.to_dict("records"), ys, xs, seen)], columns=["told", "x", "shocks"])
+
+    arrays = as_arrays(df, series, date, value, names)
+    usable = models.where(F.col("model").isNotNull()).select(F.col(series).alias("__s"), F.col("last_date").alias("__at"), "model")
+    both = arrays.join(usable, F.col(series).eqNullSafe(F.col("__s")), "left")
+    seen = F.size(F.filter("ds", lambda d: d <= F.col("__at")))
+    known = both.where(F.col("model").isNotNull()).withColumn("__run", run("model", "ys", "xs", seen))
+    carried = F.col("model").withField("x", F.col("__run.x")).withField("shocks", F.col("__run.shocks"))
+    last = F.greatest("__at", F.element_at("ds", -1)).alias("last_date")
+    done = known.select(series, "ds", "ys", F.col("__run.told").alias("told"), last, carried.alias("model"))
+    rest = both.where(F.col("model").isNull()).select(series, "ds", "ys", F.element_at("ds", -1).alias("last_date"))
+    return done.unionByName(rest, allowMissingColumns=True)
+
+
+def carried_steps(carried: DataFrame, series: str, date: str, val_share: float = 1.0) -> DataFrame:
+    """The last ``val_share`` of every carried series as rows: date, one-step prediction, actual value."""
+    told = F.coalesce("told", F.array().cast("array<double>")).alias("told")
+    rows = F.posexplode(F.arrays_zip("ds", "ys", told)).alias("__i", "r")
+    placed = carried.select(series, F.floor(F.size("ys") * (1 - val_share)).alias("__first"), rows)
+    return placed.where(F.col("__i") >= F.col("__first")).select(
+        series, F.col("r.ds").alias(date), F.col("r.told").alias("predicted"), F.col("r.ys").alias("actual")
+    )
+
+
+def classified(
+    df: DataFrame, series: str, date: str, value: str, val_share: float = 0.2, steps: int = 5, p: int = 3, q: int = 3,
+    clamp: bool = False, exo: list[str] | None = None, future_exo: DataFrame | None = None, models: DataFrame | None = None,
+    **options,
+) -> DataFrame:
+    """Train, test and forecast rows of each series in one table.
+
+    ``exo`` names regressors of all steps, ``future_exo`` holds them for the forecast dates. With stored ``models`` (from
+    ``fit_models``) nothing is fitted: test rows are one-step predictions under the models' parameters, and the forecast
+    starts from the models carried on to the last date. ``options`` go to ``forecast_models``.
+    """
+    if models is None:
+        arrays = as_arrays(df, series, date, value, exo)
+        test = walk_forward(df, series, date, value, p, q, val_share, exo=exo)
+        ahead = forecast(df, series, date, value, steps, p, q, exo=exo, future_exo=future_exo, **options)
+    else:
+        arrays = materialize(carry_models(models, df, series, date, value, exo), "carried")
+        test = carried_steps(arrays, series, date, val_share)
+        ahead = forecast_models(arrays.select(series, "last_date", "model"), series, date, steps, exo=exo, future_exo=future_exo, **options)
+    if clamp:
+        test = test.withColumn("predicted", clamp_negative(F.col("predicted")))
     first = F.floor(F.size("ys") * (1 - val_share)).cast("int")
     train = arrays.select(series, F.explode(F.slice(F.arrays_zip("ds", "ys"), F.lit(1), first)).alias("r")).select(
         series, F.col("r.ds").alias(date), F.lit(None).cast("double").alias("predicted"), F.col("r.ys").alias("actual"),
         F.lit("train").alias("classification"),
     )
-    test = walk_forward(df, series, date, value, p, q, val_share, clamp).withColumn("classification", F.lit("test"))
-    ahead = forecast(df, series, date, value, steps, p, q).withColumn("classification", F.lit("forecast"))
-    return train.unionByName(test).unionByName(ahead, allowMissingColumns=True)
+    both = train.unionByName(test.withColumn("classification", F.lit("test")))
+    return both.unionByName(ahead.withColumn("classification", F.lit("forecast")), allowMissingColumns=True)
 
 
 def partial_autocorrelations(acf: DataFrame, series: str) -> DataFrame:

@@ -51,12 +51,18 @@ def decompose(
 
 
 def forecast_all(
-    parts: DataFrame, series: str, date: str, val_share: float = 0.2, steps: int = 5, p: int = 3, q: int = 3, clamp: bool = False
+    parts: DataFrame, series: str, date: str, val_share: float = 0.2, steps: int = 5, p: int = 3, q: int = 3, clamp: bool = False,
+    exo: list[str] | None = None, models: DataFrame | None = None,
 ) -> DataFrame:
-    """Residual predictions joined to the decomposition, and the total prediction on test and forecast rows."""
+    """Residual predictions joined to the decomposition, and the total prediction on test and forecast rows.
+
+    ``exo`` names regressor columns of ``parts``, whose rows after the last residual hold them for the forecast; ``models``
+    are stored models of the residual, then nothing is fitted.
+    """
     stored = materialize(parts, "decomposition")
     usable = stored.dropna("any", subset=["residual", "predicted_trend"])
-    results = classified(usable, series, date, "residual", val_share, steps, p, q, clamp)
+    later = stored.where("residual IS NULL").dropna("any", subset=exo) if exo else None
+    results = classified(usable, series, date, "residual", val_share, steps, p, q, clamp, exo, later, models)
     joined = stored.join(results.select(series, date, F.col("predicted").alias("predicted_residual"), "classification"), [series, date], "left")
     return ts.total_prediction(joined, "predicted_trend", "seasonality", "predicted_residual", "classification")
 

@@ -214,6 +214,53 @@ def test_stored_models_forecast_like_fresh_ones(spark, tmp_path):
     assert rows(stored) == rows(arma.forecast(df, "series", "week", "y", 4, 2, 1))
 
 
+def test_stored_models_are_carried_over_new_values(spark):
+    values = arma_path((0.5,), (0.3,), n=160)
+    df = weekly(spark, values)
+    old = df.where(df.week < day("2020-01-06") + dt.timedelta(days=7 * 120))
+    models = arma.fit_models(old, "series", "week", "y", 2, 1)
+    fit = arma.fit_arma(values[:120], 2, 1)
+    x, e, want = list(fit["x"]), list(fit["shocks"]), []
+    for value in values[120:]:
+        step = fit["const"] + fit["ar"][0] * x[-1] + fit["ar"][1] * x[-2] + fit["ma"][0] * e[-1]
+        want.append(step + fit["mean"])
+        x.append(value - fit["mean"])
+        e.append(x[-1] - step)
+    result = arma.classified(df, "series", "week", "y", 0.25, 3, models=models)
+    told = result.where("classification = 'test'").orderBy("week").collect()
+    assert np.allclose([r.predicted for r in told], want) and np.allclose([r.actual for r in told], values[120:])
+    ahead = result.where("classification = 'forecast'").orderBy("week").collect()
+    assert np.allclose([r.predicted for r in ahead], arma.forecast_arma(fit | {"x": np.array(x), "shocks": np.array(e)}, 3)[0])
+    assert ahead[0].week == day("2020-01-06") + dt.timedelta(days=7 * 160)
+    # Carried in two steps, through stored states, the model is the same; without new values it forecasts like a fresh one.
+    half = df.where(df.week < day("2020-01-06") + dt.timedelta(days=7 * 140))
+    first = arma.carry_models(models, half, "series", "week", "y").select("series", "last_date", "model")
+    late = df.where(df.week >= day("2020-01-06") + dt.timedelta(days=7 * 140))
+    second = arma.carry_models(first, late, "series", "week", "y")
+    assert np.allclose(column(arma.forecast_models(second, "series", "week", 3), "predicted"), [r.predicted for r in ahead])
+    same = arma.carry_models(models, old, "series", "week", "y")
+    assert rows(arma.forecast_models(same, "series", "week", 3)) == rows(arma.forecast_models(models, "series", "week", 3))
+
+
+def test_classified_with_regressors_and_unknown_series(spark):
+    rng = np.random.default_rng(9)
+    exo = rng.normal(size=204)
+    y = 5 * exo[:200] + rng.normal(scale=0.1, size=200)
+    frame = weekly(spark, exo).withColumnRenamed("y", "x")
+    known = weekly(spark, y).join(frame, ["series", "week"])
+    later = frame.join(known, ["series", "week"], "left_anti")
+    models = arma.fit_models(known.orderBy("week").limit(150), "series", "week", "y", 1, 0, ["x"])
+    other = known.limit(30).withColumn("series", known.series.substr(1, 0))
+    for stored, data in ((None, known), (models, known.unionByName(other))):
+        got = arma.classified(data, "series", "week", "y", 0.2, 4, 1, 0, exo=["x"], future_exo=later, models=stored)
+        told = got.where("classification = 'test' AND series = 's'").orderBy("week").collect()
+        assert np.allclose([r.predicted for r in told], y[160:], atol=0.6)
+        ahead = got.where("classification = 'forecast'").orderBy("week").collect()
+        assert np.allclose([r.predicted for r in ahead], 5 * exo[200:], atol=0.6)
+    assert got.where("series = '' AND predicted IS NOT NULL").count() == 0
+    assert got.where("series = ''").groupBy("classification").count().count() == 2
+
+
 def test_forecast_with_future_regressor(spark):
     rng = np.random.default_rng(9)
     exo = rng.normal(size=204)
