@@ -8,7 +8,10 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -87,9 +90,9 @@ class _PageReader(DataSourceReader):
 
 
 class CursorJsonSource(DataSource):
-    """Stream whose offset is the cursor of the next page.
+    """Stream of cursors, one row per page; its offset is the cursor of the next page. ``page_rows`` fetches the pages.
 
-    Each cursor is known only from the page before, so pages are requested one after the other; a micro-batch holds
+    Each cursor is known only from the page before, so cursors are followed one after the other; a micro-batch holds
     ``pages_per_batch`` of them. Options: ``folder``, ``row_schema``, ``rows_key``, ``next_key``, ``start``, ``prefix``,
     ``suffix``.
     """
@@ -99,7 +102,7 @@ class CursorJsonSource(DataSource):
         return "caseloom_cursor_json"
 
     def schema(self) -> str:
-        return self.options["row_schema"]
+        return "cursor string"
 
     def fetch(self, cursor: str) -> dict:
         """The page that starts at a cursor: its rows and the next cursor, or null when drained."""
@@ -108,13 +111,17 @@ class CursorJsonSource(DataSource):
             raise LookupError(f"no page at cursor {cursor!r}")
         return json.loads(texts[0])
 
+    def next_cursor(self, cursor: str) -> str | None:
+        """The cursor after a page. A service that tells it without the rows should be asked so; here the rows are dropped."""
+        return self.fetch(cursor).get(self.options["next_key"])
+
     def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
-        return _CursorReader(self, schema)
+        return _CursorReader(self)
 
 
 class _CursorReader(SimpleDataSourceStreamReader):
-    def __init__(self, source: CursorJsonSource, schema):
-        self.source, self.row_schema = source, schema
+    def __init__(self, source: CursorJsonSource):
+        self.source = source
 
     def initialOffset(self) -> dict:
         return {"cursor": self.source.options["start"]}
@@ -124,8 +131,8 @@ class _CursorReader(SimpleDataSourceStreamReader):
         for _ in range(int(self.source.options.get("pages_per_batch", "1"))):
             if cursor is None:
                 break
-            page, cursor = self._page(cursor)
-            rows += page
+            rows.append((cursor,))
+            cursor = self.source.next_cursor(cursor)
         # Spark copies the iterator of a cached batch, so it is one over a list.
         return iter(rows), {"cursor": cursor}
 
@@ -133,10 +140,21 @@ class _CursorReader(SimpleDataSourceStreamReader):
         """Replay after a failure: walk the cursors from start to end."""
         cursor = start["cursor"]
         while cursor is not None and cursor != end["cursor"]:
-            page, cursor = self._page(cursor)
-            yield from page
+            yield (cursor,)
+            cursor = self.source.next_cursor(cursor)
+
+
+def page_rows(cursors: DataFrame, source: type[CursorJsonSource], options: dict[str, str]) -> DataFrame:
+    """Rows of the pages at the cursors; tasks fetch the pages, each its share of a batch."""
+    key = options.get("rows_key", "logs")
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        service = source(options)
+        for batch in batches:
+            for cursor in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict({"rows": pa.array([json.dumps(service.fetch(cursor)[key])], pa.string())})
 
-    def _page(self, cursor: str) -> tuple[list[tuple], str | None]:
-        page = self.source.fetch(cursor)
-        rows = page[self.source.options.get("rows_key", "logs")]
-        return [_values(self.row_schema, r) for r in rows], page.get(self.source.options["next_key"])
+    tasks = min(int(options.get("pages_per_batch", "1")), cursors.sparkSession.sparkContext.defaultParallelism)
+    pages = cursors.repartition(tasks).mapInArrow(fetch, "rows string")
+    parsed = F.from_json("rows", f"array<struct<{options['row_schema']}>>", {"mode": "FAILFAST"})
+    return pages.select(F.inline(parsed))

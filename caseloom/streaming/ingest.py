@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from caseloom.operators.relational import top_n
 from caseloom.sinks.tables import TableStore
-from caseloom.sources.pages import CursorJsonSource
+from caseloom.sources.pages import CursorJsonSource, page_rows
 
 
 def tail_files(spark: SparkSession, folder: str, schema, fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -23,9 +23,13 @@ def tail_files(spark: SparkSession, folder: str, schema, fmt: str = "parquet", f
 
 
 def tail_cursor(spark: SparkSession, source: type[CursorJsonSource] = CursorJsonSource, **options: str) -> DataFrame:
-    """Pages of a cursor service as a stream; the offset in the checkpoint is the cursor."""
+    """Rows of a cursor service as a stream; the offset in the checkpoint is the cursor.
+
+    The driver follows cursors; the pages of a batch are fetched by tasks.
+    """
     spark.dataSource.register(source)
-    return spark.readStream.format(source.name()).options(**options).load()
+    cursors = spark.readStream.format(source.name()).options(**options).load()
+    return page_rows(cursors, source, options)
 
 
 def once_per_key(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:

@@ -1,9 +1,12 @@
+import datetime as dt
 import json
 
 import pytest
 from conftest import rows
+from pyspark import TaskContext
 
 from caseloom.sinks.tables import TableStore
+from caseloom.sources.pages import CursorJsonSource
 from caseloom.streaming.ingest import append_batches, drain, once_per_key, tail_cursor, tail_files, upsert_batches
 
 
@@ -48,3 +51,28 @@ def test_cursor_is_followed_and_resumed(spark, tmp_path):
 
     assert run() == [1, 2, 3, 4, 5]
     assert run() == [1, 2, 3, 4, 5]
+
+
+def test_pages_are_fetched_by_tasks(spark, tmp_path):
+    class TaskPages(CursorJsonSource):
+        """A service whose pages only tasks may fetch; cursors come without them."""
+
+        @classmethod
+        def name(cls):
+            return "task_pages"
+
+        def fetch(self, cursor):
+            if TaskContext.get() is None:
+                raise RuntimeError("page fetched outside a task")
+            at = int(cursor)
+            return {"logs": [{"id": at * 10 + i, "at": "2024-01-02 03:04:05", "tags": ["x"] * i} for i in range(3)]}
+
+        def next_cursor(self, cursor):
+            return str(int(cursor) + 1) if int(cursor) < 11 else None
+
+    stream = tail_cursor(spark, TaskPages, start="0", row_schema="id int, at timestamp_ntz, tags array<string>", pages_per_batch="5", next_key="")
+    out = str(tmp_path / "out")
+    drain(append_batches(stream, out, str(tmp_path / "checkpoint"), available_now=False))
+    got = spark.read.parquet(out).orderBy("id").collect()
+    assert [r.id for r in got] == [at * 10 + i for at in range(12) for i in range(3)]
+    assert {r["at"] for r in got} == {dt.datetime(2024, 1, 2, 3, 4, 5)} and got[-1].tags == ["x", "x"]
