@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caseloom.operators.relational import union_all
+
 
 def project(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Named expressions: ``{name: Spark SQL expression}``."""
@@ -89,21 +91,40 @@ def cast_columns(df: DataFrame, types: Mapping[str, str], strict: bool = False)
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """One row per column: type, rows, nulls and distinct values, from a single aggregate over the table."""
-    measures = [F.count(F.lit(1)).alias("__rows")]
-    for i, c in enumerate(df.columns):
-        measures += [F.count(F.col(f"`{c}`")).alias(f"v{i}"), F.countDistinct(F.col(f"`{c}`")).alias(f"d{i}")]
-    rows = [
-        F.struct(
-            F.lit(f.name).alias("column"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.col("__rows").alias("n"),
-            (F.col("__rows") - F.col(f"v{i}")).alias("nulls"),
-            F.col(f"d{i}").alias("distinct"),
-        )
-        for i, f in enumerate(df.schema)
-    ]
-    return df.agg(*measures).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    """One row per column: type, rows, nulls and distinct values.
+
+    Every column is scanned and counted for itself, so a table on disk is read once in all and no row is copied; store a
+    frame that is costly to make first.
+    """
+    return union_all([_scan(df, f, F.countDistinct(F.col(f"`{f.name}`")).alias("distinct")) for f in df.schema])
+
+
+def _scan(df: DataFrame, field, measure: Column) -> DataFrame:
+    value = F.col(f"`{field.name}`")
+    counted = df.agg(F.count(F.lit(1)).alias("n"), F.count(value).alias("__known"), measure)
+    rest = [c for c in counted.columns if c not in ("n", "__known")]
+    return counted.select(
+        F.lit(field.name).alias("column"), F.lit(field.dataType.simpleString()).alias("type"), "n", (F.col("n") - F.col("__known")).alias("nulls"), *rest
+    )
+
+
+def profile_state(df: DataFrame, precision: int = 14) -> DataFrame:
+    """The profile of a snapshot in a form that merges: counts, and a sketch of the distinct values of every column.
+
+    Stored per snapshot, states give the profile of any union of them by ``merge_profiles`` without reading rows again. The
+    relative standard error of a distinct count is about 1 / sqrt(2 ** precision), 0.8 % by default. Values that are
+    neither whole numbers nor text nor bytes are compared as text.
+    """
+    plain = ("int", "bigint", "string", "binary")
+    columns = [(f, F.col(f"`{f.name}`")) for f in df.schema]
+    sketches = [F.hll_sketch_agg(c if f.dataType.simpleString() in plain else c.cast("string"), precision) for f, c in columns]
+    return union_all([_scan(df, f, sketch.alias("sketch")) for (f, _), sketch in zip(columns, sketches)])
+
+
+def merge_profiles(states: DataFrame) -> DataFrame:
+    """The profile of all rows behind some states; distinct values are estimates."""
+    merged = states.groupBy("column", "type").agg(F.sum("n").alias("n"), F.sum("nulls").alias("nulls"), F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select("column", "type", "n", "nulls", F.hll_sketch_estimate("sketch").alias("distinct"))
 
 
 def target_rate(df: DataFrame, target: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.ml.stat import Summarizer
@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from caseloom.operators.ordered import with_position
 from caseloom.operators.relational import enrich_left, tagged_union
-from caseloom.session import broadcast_if_small
+from caseloom.session import BROADCAST_ROWS, broadcast_if_small
+
+# Values that may become columns.
+WIDE_VALUES = 10_000
 
 
 def label_encode(df: DataFrame, column: str, name: str = "code") -> DataFrame:
@@ -27,17 +30,54 @@ def label_encode(df: DataFrame, column: str, name: str = "code") -> DataFrame:
     return df.join(codes, column, "left").select(*df.columns, name)
 
 
-def one_hot(df: DataFrame, column: str, drop_first: bool = True) -> DataFrame:
-    """0/1 columns ``column_value`` in sort order, without the first. One pass finds the values, which become columns.
+def one_hot(df: DataFrame, column: str, drop_first: bool = True, values: Sequence | None = None) -> DataFrame:
+    """0/1 columns ``column_value``, without the first. Null and unlisted values are 0 everywhere.
 
-    For very many values index them with ``label_encode`` and take Spark's own sparse encoder.
+    ``values`` lists the values; without it one pass finds them, in sort order. They become columns, so more than
+    ``WIDE_VALUES`` found values are an error: encode those with ``one_hot_sparse``.
     """
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()
-    values = [r[0] for r in rows][1 if drop_first else 0 :]
-    flags = [F.coalesce((F.col(column) == v).cast("int"), F.lit(0)).alias(f"{column}_{v}") for v in values]
+    if values is None:
+        found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(WIDE_VALUES + 1).collect()
+        if len(found) > WIDE_VALUES:
+            raise ValueError(f"{column!r} has more than {WIDE_VALUES} values")
+        values = sorted(r[0] for r in found)
+    flags = [F.coalesce((F.col(column) == v).cast("int"), F.lit(0)).alias(f"{column}_{v}") for v in values[1 if drop_first else 0 :]]
     return df.select(*[c for c in df.columns if c != column], *flags)
 
 
+def categories(df: DataFrame, column: str, name: str = "code") -> DataFrame:
+    """Table of the values of a column and their 0-based codes in sort order; it can be stored and used for later rows."""
+    return with_position(df.select(column).where(F.col(column).isNotNull()).distinct(), column, name)
+
+
+def one_hot_sparse(df: DataFrame, column: str, known: DataFrame, name: str = "features", drop_first: bool = True,
+                   code: str = "code") -> DataFrame:
+    """The column as a sparse 0/1 vector over the values of a ``categories`` table, for any number of values.
+
+    A value's place is its code, less one without the first. Nulls, values that the table lacks and, if it is dropped, the
+    first value are vectors of zeros. Only the number of values reaches the driver.
+    """
+    first = 1 if drop_first else 0
+    size = known.count() - first
+    if size < 1:
+        raise ValueError(f"no values of {column!r} to encode")
+    codes = F.broadcast(known) if size < BROADCAST_ROWS else known
+    place = F.col(f"__known.{code}") - first
+    coded = df.join(codes.withColumnRenamed(column, "__value").alias("__known"), F.col(column) == F.col("__known.__value"), "left").select(
+        *[df[c] for c in df.columns], F.when(place >= 0, place).otherwise(size).cast("double").alias("__place")
+    )
+    # The place after the last is that of unknown values, which the encoder drops.
+    encoder = OneHotEncoder(inputCol="__place", outputCol=name, handleInvalid="keep", dropLast=True)
+    last = df.sparkSession.range(1).select(F.lit(size - 1.0).alias("__place"))
+    return encoder.fit(last).transform(coded).drop("__place", column)
+
+
+def sparse_places(c: str) -> Column:
+    """Places of the entries of a sparse vector, without making it dense."""
+    fields = F.from_json(F.to_json(F.struct(F.col(c).alias("v"))), "v struct<indices:array<int>>")
+    return fields["v"]["indices"]
+
+
 def forecast_rows(df: DataFrame, target: str) -> DataFrame:
     """Rows to predict: the target is unknown."""
     return df.where(F.col(target).isNull())

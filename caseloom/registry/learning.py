@@ -25,6 +25,17 @@ def one_hot(t: Tables):
     return ml.one_hot(t("events").select("event_id", "event_type"), "event_type")
 
 
+@query(
+    "one_hot_sparse",
+    "SELECT event_id, CASE WHEN p >= 0 THEN p END AS place FROM (SELECT event_id, CAST(dense_rank() OVER (ORDER BY user_id) - 2 AS INTEGER) AS p FROM events)",
+)
+def one_hot_sparse(t: Tables):
+    """Users as sparse vectors without the first: the place of the one."""
+    events = t("events").select("event_id", "user_id")
+    encoded = ml.one_hot_sparse(events, "user_id", ml.categories(events, "user_id"))
+    return encoded.select("event_id", F.get(ml.sparse_places("features"), F.lit(0)).alias("place"))
+
+
 @query("forecast_mask", "SELECT o_orderkey, o_orderdate FROM orders WHERE nullif(o_orderstatus, 'O') IS NULL")
 def forecast_mask(t: Tables):
     marked = t("orders").withColumn("target", F.nullif("o_orderstatus", F.lit("O")))

@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from caseloom.operators import events, ml
+from caseloom.operators.clean import column_profile, merge_profiles, profile_state
 from caseloom.registry.core import Tables
 
 
@@ -163,3 +164,32 @@ def test_classification_export_and_save(spark, learning_frame, tmp_path):
     path = ml.save_model(model, str(tmp_path), "boosted", "2024-01-02")
     again = type(model).load(path)
     assert rows(ml.score(again, test, ["k"])) == rows(ml.score(model, test, ["k"]))
+
+
+def test_sparse_one_hot_of_many_values(spark):
+    many = spark.range(300_000).selectExpr("id", "concat('v', lpad(id, 6, '0')) AS v", "1 AS code")
+    known = ml.categories(many, "v")
+    later = spark.createDataFrame([(0, "v000000"), (1, "v000001"), (2, "v299999"), (3, "new"), (4, None)], "id int, v string")
+    places = ml.one_hot_sparse(later, "v", known).select("id", ml.sparse_places("features").alias("p")).orderBy("id").collect()
+    assert [r.p for r in places] == [[], [0], [299_998], [], []]
+    first = ml.one_hot_sparse(many, "v", known, drop_first=False)
+    assert first.columns == ["id", "code", "features"]
+    assert first.where(ml.sparse_places("features")[0] == F.col("id")).count() == 300_000
+    assert ml.one_hot_sparse(later, "v", known).first().features.size == 299_999
+    with pytest.raises(ValueError, match="values"):
+        ml.one_hot(many, "v")
+    assert ml.one_hot(later, "v", values=["a", "new"]).columns == ["id", "v_new"]
+
+
+def test_merged_profiles(spark, folder):
+    orders = spark.read.parquet(f"{folder}/orders.parquet").withColumn("gap", F.nullif("o_orderstatus", F.lit("O")))
+    states = [profile_state(orders.where(F.col("o_orderkey") % 3 == part)) for part in range(3)]
+    merged = {r.column: r for r in merge_profiles(states[0].unionByName(states[1]).unionByName(states[2])).collect()}
+    exact = {r.column: r for r in column_profile(orders).collect()}
+    assert merged.keys() == exact.keys() == set(orders.columns)
+    for name, want in exact.items():
+        got = merged[name]
+        assert (got.type, got.n, got.nulls) == (want.type, want.n, want.nulls)
+        assert abs(got.distinct - want.distinct) <= 0.03 * want.distinct
+    assert exact["gap"].nulls == orders.where("o_orderstatus = 'O'").count()
+    assert "Expand" not in column_profile(orders)._jdf.queryExecution().executedPlan().toString()
