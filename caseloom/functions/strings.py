@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,17 +48,31 @@ def repair_encoding(c: Column | str) -> Column:
 def plain_decimal(c: Column | str) -> Column:
     """Number as text in positional notation with the shortest digits (``23.0``, ``10000000.0``), whatever its magnitude."""
     text = _col(c).cast("string")
+    # Every name stands for a column bound once by a lambda: spelt out, the expression would be evaluated many times over.
     parts = r"^(-?)(\d+)(?:\.(\d+))?(?:E([-+]?\d+))?$"
-    whole, after = F.regexp_extract(text, parts, 2), F.rtrim(F.regexp_extract(text, parts, 3), F.lit("0"))
-    point = F.length(whole) + F.coalesce(F.regexp_extract(text, parts, 4).try_cast("int"), F.lit(0))
-    digits = F.concat(whole, after)
-    filled = F.concat(F.repeat(F.lit("0"), F.greatest(1 - point, F.lit(0))), digits)
-    filled = F.rpad(filled, F.greatest(F.length(filled), point), "0")
-    at = F.greatest(point, F.lit(1))
-    left, right = F.substr(filled, F.lit(1), at), F.substr(filled, at + 1, F.length(filled))
-    left = F.coalesce(F.nullif(F.ltrim(left, F.lit("0")), F.lit("")), F.lit("0"))
-    plain = F.concat(F.regexp_extract(text, parts, 1), left, F.lit("."), F.when(right == "", "0").otherwise(right))
-    return F.when(text.rlike(parts), plain).otherwise(text)
+
+    def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def split(number: Column) -> Column:
+        whole, after = F.regexp_extract(number, parts, 2), F.rtrim(F.regexp_extract(number, parts, 3), F.lit("0"))
+        point = F.length(whole) + F.coalesce(F.regexp_extract(number, parts, 4).try_cast("int"), F.lit(0))
+        return F.struct(F.regexp_extract(number, parts, 1).alias("sign"), F.concat(whole, after).alias("digits"), point.alias("point"))
+
+    def fill(p: Column) -> Column:
+        filled = F.concat(F.repeat(F.lit("0"), F.greatest(1 - p["point"], F.lit(0))), p["digits"])
+        return F.struct(p["sign"].alias("sign"), F.rpad(filled, F.greatest(F.length(filled), p["point"]), "0").alias("filled"), F.greatest(p["point"], F.lit(1)).alias("at"))
+
+    def put(p: Column) -> Column:
+        left, right = F.ltrim(F.substr(p["filled"], F.lit(1), p["at"]), F.lit("0")), F.substr(p["filled"], p["at"] + 1, F.length(p["filled"]))
+        return F.concat(p["sign"], F.when(left == "", "0").otherwise(left), F.lit("."), F.when(right == "", "0").otherwise(right))
+
+    def plain(number: Column) -> Column:
+        moved = bound(split(number), lambda p: bound(fill(p), put))
+        # Most numbers are written this way already.
+        return F.when(number.rlike(r"^-?(?:0|[1-9]\d*)\.(?:0|\d*[1-9])$"), number).when(number.rlike(parts), moved).otherwise(number)
+
+    return bound(text, plain)
 
 
 def decimal_comma(c: Column | str) -> Column:

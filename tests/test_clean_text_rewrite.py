@@ -253,3 +253,13 @@ def test_bundle_skips_null_statements(spark):
     assert rows(out) == [("j", 0, "--###a###--\n\nSELECT 1\n\n--###c###--\n\nSELECT 2\n\n")]
     parts = rewrite.script_bundle(df, ["job"], "pos", F.col("name"), "statement", part_rows=2)
     assert [r.part for r in parts.orderBy("part").collect()] == [0, 1]
+
+
+def test_plain_decimal_is_one_small_expression(spark):
+    """The steps of the conversion are evaluated once a value: the plan names the number's pattern a few times, not thousands."""
+    from caseloom.functions.strings import plain_decimal
+
+    df = spark.createDataFrame([("1.5E-5", "0.000015"), ("-12", "-12.0"), ("007.50", "7.5"), ("0.00", "0.0"), ("-1.2E3", "-1200.0"), ("abc", "abc"), (None, None)], "x string, want string")
+    found = df.select(plain_decimal("x").alias("got"), "want")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") < 10
+    assert all(r.got == r.want for r in found.collect())
