@@ -263,3 +263,11 @@ def test_plain_decimal_is_one_small_expression(spark):
     found = df.select(plain_decimal("x").alias("got"), "want")
     assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") < 10
     assert all(r.got == r.want for r in found.collect())
+
+
+def test_lemmas_shuffle_lists_and_merge_repeated_keys(spark):
+    lexicon = spark.createDataFrame([("was", "be", "VERB"), ("the", "the", "DET"), ("odd", None, "DET")], "form string, lemma string, pos string")
+    rows = [(1, ["the", "cat", "was", "odd"]), (2, None), (3, []), (4, ["the", None]), (5, ["a", "the", "c"]), (5, ["z", "was"]), (None, ["was"])]
+    found = topics.lemmatize(spark.createDataFrame(rows, "k int, t array<string>"), "k", "t", lexicon)
+    assert {r.k: r.lemmas for r in found.collect()} == {1: ["cat", "be", "odd"], 2: [], 3: [], 4: [], 5: ["a", "z", "be", "c"], None: ["be"]}
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
