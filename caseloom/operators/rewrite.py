@@ -17,6 +17,8 @@ from caseloom.session import broadcast_if_small, materialize
 RULE_BLOCK = 10_000
 # Leading characters that lead from a formula to the names it may contain.
 PREFIX_CHARS = 6
+# Formulas of one task that looks for names: a small file of short formulas is much work.
+FORMULA_ROWS = 100_000
 
 
 def replace_all(c: Column | str, rules: Mapping[str, str]) -> Column:
@@ -70,11 +72,16 @@ def rename_references(formulas: DataFrame, names: DataFrame, key: str, template:
     From left to right the longest name at each place of the original text is replaced; what a replacement puts in is not
     looked at again. Names are found by equality: their first characters tell which lengths to try at a place of a
     formula, so a start that many names share leads to their lengths, not to the names. Formula keys must be unique.
+    Starts and names that can be broadcast are: a few of them stand in most formulas, and each would be one task's.
     """
     rules = names.select(F.col(name).alias("old"), safe_identifier(name).alias("new")).where("old <> new and old <> ''").distinct()
     rules = materialize(rules.withColumn("size", F.length("old")), "names")
     starts = rules.groupBy(F.substring("old", 1, PREFIX_CHARS).alias("start")).agg(F.collect_set("size").alias("sizes"))
     longest = F.coalesce(rules.agg(F.max("size")).scalar(), F.lit(0))
+    tasks = max(formulas.sparkSession.sparkContext.defaultParallelism, -(-formulas.count() // FORMULA_ROWS))
+    formulas = formulas.select(key, template)
+    if formulas.rdd.getNumPartitions() < tasks:
+        formulas = formulas.repartition(tasks, key)
     text = F.col(template)
     places = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
     # Only the part of the text that a name could fill travels.
@@ -82,8 +89,8 @@ def rename_references(formulas: DataFrame, names: DataFrame, key: str, template:
     pieces = formulas.withColumn("__longest", longest).select(key, F.explode(rests).alias("__rest"))
     lengths = F.sequence(F.lit(1), F.lit(PREFIX_CHARS))
     begun = pieces.select(key, "__rest", F.explode(F.array_distinct(F.transform(lengths, lambda n: F.substr("__rest", F.lit(1), n)))).alias("start"))
-    tried = begun.join(starts, "start").select(key, F.explode(F.transform("sizes", lambda n: F.substr("__rest", F.lit(1), n))).alias("old")).distinct()
-    found = tried.join(rules, "old").groupBy(key).agg(
+    tried = begun.join(broadcast_if_small(starts), "start").select(key, F.explode(F.transform("sizes", lambda n: F.substr("__rest", F.lit(1), n))).alias("old")).distinct()
+    found = tried.join(broadcast_if_small(rules), "old").groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("order"), "old", "new"))).alias("__rules"))
     quoted = F.transform("__rules", lambda r: F.concat(F.lit(r"\Q"), F.replace(r["old"], F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")))
     pattern = F.array_join(quoted, "|")

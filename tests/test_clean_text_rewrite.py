@@ -271,3 +271,24 @@ def test_lemmas_shuffle_lists_and_merge_repeated_keys(spark):
     found = topics.lemmatize(spark.createDataFrame(rows, "k int, t array<string>"), "k", "t", lexicon)
     assert {r.k: r.lemmas for r in found.collect()} == {1: ["cat", "be", "odd"], 2: [], 3: [], 4: [], 5: ["a", "z", "be", "c"], None: ["be"]}
     assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_common_names_are_not_shuffled_by_name(spark):
+    """Hot starts and names must not be one task's: only the rewritten formulas meet by hashing, by their key."""
+    formulas = spark.createDataFrame([(i, "SUM(a b) / (c d)", "a b" if i % 2 else "c d") for i in range(20)], "k int, f string, n string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = rewrite.rename_references(formulas.select("k", "f"), formulas.select("n"), "k", "f", "n")
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
+        assert {r.f for r in out.collect()} == {"SUM(a_b) / (c_d)"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_formulas_of_one_small_file_are_spread(spark):
+    formulas = spark.range(40).coalesce(1).selectExpr("id AS k", "'SUM(a b)' AS f", "'a b' AS n")
+    out = rewrite.rename_references(formulas.select("k", "f"), formulas.select("n"), "k", "f", "n")
+    assert "RepartitionByExpression [k" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.f for r in out.collect()} == {"SUM(a_b)"}
