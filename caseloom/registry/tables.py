@@ -347,7 +347,7 @@ def cursor_json(t: Tables):
     following = F.when(F.col("page") < last, (F.col("page") + 1).cast("string")).alias("following")
     pages.select("page", to_json_record("logs", following).alias("value")).write.partitionBy("page").text(folder)
     stream = tail_cursor(
-        t.spark, folder=folder, prefix="page=", suffix="", start="0", pages_per_batch="10", next_key="following",
+        t.spark, folder=folder, prefix="page=", suffix="", start="0", pages_per_batch="10", catch_up_pages="1000", next_key="following",
         row_schema="event_id bigint, event_type string, value double"
     )
     drain(append_batches(stream, out, scratch_path(t.spark, "checkpoint"), available_now=False))

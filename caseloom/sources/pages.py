@@ -6,7 +6,7 @@ Subclasses supply the request; the default reads page files from a shared folder
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyarrow import fs
@@ -93,8 +93,9 @@ class CursorJsonSource(DataSource):
     """Stream of cursors, one row per page; its offset is the cursor of the next page. ``page_rows`` fetches the pages.
 
     Each cursor is known only from the page before, so cursors are followed one after the other; a micro-batch holds
-    ``pages_per_batch`` of them. Options: ``folder``, ``row_schema``, ``rows_key``, ``next_key``, ``start``, ``prefix``,
-    ``suffix``.
+    ``pages_per_batch`` of them. With ``catch_up_pages`` every full batch doubles the next one up to so many pages, so that a
+    long backlog is not bound by the start-up of its batches; a batch that reaches the end goes back to the first size.
+    Options: ``folder``, ``row_schema``, ``rows_key``, ``next_key``, ``start``, ``prefix``, ``suffix``.
     """
 
     @classmethod
@@ -119,20 +120,29 @@ class CursorJsonSource(DataSource):
         return _CursorReader(self)
 
 
+def batch_pages(options: Mapping[str, str]) -> tuple[int, int]:
+    """Pages of the first micro-batch and of the largest."""
+    first = int(options.get("pages_per_batch", "1"))
+    return first, max(first, int(options.get("catch_up_pages", first)))
+
+
 class _CursorReader(SimpleDataSourceStreamReader):
     def __init__(self, source: CursorJsonSource):
         self.source = source
+        self.first, self.most = batch_pages(source.options)
+        self.pages = self.first
 
     def initialOffset(self) -> dict:
         return {"cursor": self.source.options["start"]}
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         rows, cursor = [], start["cursor"]
-        for _ in range(int(self.source.options.get("pages_per_batch", "1"))):
+        for _ in range(self.pages):
             if cursor is None:
                 break
             rows.append((cursor,))
             cursor = self.source.next_cursor(cursor)
+        self.pages = self.first if cursor is None else min(2 * self.pages, self.most)
         # Spark copies the iterator of a cached batch, so it is one over a list.
         return iter(rows), {"cursor": cursor}
 
@@ -154,7 +164,7 @@ def page_rows(cursors: DataFrame, source: type[CursorJsonSource], options: dict[
             for cursor in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_pydict({"rows": pa.array([json.dumps(service.fetch(cursor)[key])], pa.string())})
 
-    tasks = min(int(options.get("pages_per_batch", "1")), cursors.sparkSession.sparkContext.defaultParallelism)
+    tasks = min(batch_pages(options)[1], cursors.sparkSession.sparkContext.defaultParallelism)
     pages = cursors.repartition(tasks).mapInArrow(fetch, "rows string")
     parsed = F.from_json("rows", f"array<struct<{options['row_schema']}>>", {"mode": "FAILFAST"})
     return pages.select(F.inline(parsed))

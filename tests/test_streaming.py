@@ -76,3 +76,16 @@ def test_pages_are_fetched_by_tasks(spark, tmp_path):
     got = spark.read.parquet(out).orderBy("id").collect()
     assert [r.id for r in got] == [at * 10 + i for at in range(12) for i in range(3)]
     assert {r["at"] for r in got} == {dt.datetime(2024, 1, 2, 3, 4, 5)} and got[-1].tags == ["x", "x"]
+
+
+def test_batches_grow_while_pages_wait(spark, tmp_path):
+    for i in range(40):
+        page = {"logs": [{"id": i}], "following": str(i + 1) if i < 39 else None}
+        (tmp_path / f"{i}.json").write_text(json.dumps(page))
+    stream = tail_cursor(spark, folder=str(tmp_path), start="0", row_schema="id int", next_key="following", pages_per_batch="2", catch_up_pages="16")
+    out = str(tmp_path / "out")
+    running = append_batches(stream, out, str(tmp_path / "checkpoint"), available_now=False)
+    drain(running)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(40))
+    # One row a page; without growth there would be 20 batches of 2.
+    assert [p["numInputRows"] for p in running.recentProgress if p["numInputRows"]] == [2, 4, 8, 16, 10]
