@@ -27,6 +27,10 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+# Bytes at the end of a prefix that bound how far back its last token can begin.
+TAIL = 3
+
+
 class PrefixBpe:
     """Encoder for one table of ranks. ``pattern`` splits text into matches that are encoded separately."""
 
@@ -34,6 +38,11 @@ class PrefixBpe:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
+        # By the last TAIL bytes the length of the longest token that ends so; a token without such an entry is shorter.
+        self.reach: dict[bytes, int] = {}
+        for token in ranks:
+            if len(token) >= TAIL:
+                self.reach[token[-TAIL:]] = max(len(token), self.reach.get(token[-TAIL:], 0))
         self.split = regex.compile(pattern).findall if pattern else lambda text: [text]
         self.stable = Memo(lambda rank: self.merge(self.bytes_of[rank]) == [rank], 200_000)
         self.compatible = Memo(lambda pair: self.merge(self.bytes_of[pair[0]] + self.bytes_of[pair[1]]) == list(pair), 1_000_000)
@@ -102,10 +111,11 @@ class PrefixTable:
 
     def _extend(self, stop: int) -> None:
         """Fill the entries up to ``stop``: the one token that ends the prefix and fits the entry before it."""
-        ranks, stable, compatible, longest = self.bpe.ranks, self.bpe.stable, self.bpe.compatible, self.bpe.longest
+        ranks, stable, compatible, reach = self.bpe.ranks, self.bpe.stable, self.bpe.compatible, self.bpe.reach
         data, last = self.data, self.last
         for end in range(len(last) + 1, stop + 1):
-            for start in range(max(0, end - longest), end):
+            # Before TAIL bytes the slice is shorter than any key.
+            for start in range(max(0, end - reach.get(data[end - TAIL : end], TAIL - 1)), end):
                 token = ranks.get(data[start:end])
                 if token is not None and stable[token] and (start == 0 or compatible[last[start - 1], token]):
                     last.append(token)

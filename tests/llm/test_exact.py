@@ -281,3 +281,24 @@ def test_piece_memo_is_bounded():
     assert max(map(len, [*encode.memo, *encode.memo.old, *encode.first])) <= Memo.LONGEST
     memo = Memo(lambda key: key * 2, size=100)
     assert [memo["a" * 20 + str(i)][:1] for i in range(9)] == ["a"] * 9 and sum(map(len, memo)) <= 100
+
+
+def test_tails_bound_the_search_for_tokens():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    ranks = Counted(bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    draw = random.Random(3)
+    data = "".join(draw.choice("qxzjkvw") for _ in range(120)).encode()
+    table = bpe.PrefixBpe(ranks)
+    want = tuple(table.merge(data))
+    ranks.asked = 0
+    table.stable.make = table.compatible.make = lambda _: True
+    bpe.PrefixTable(table, data)
+    # All starts of all prefixes would be 7,000.
+    assert ranks.asked < 1_000
+    assert bpe.PrefixBpe(ranks).encode_match(data) == want
