@@ -33,6 +33,9 @@ from caseloom.session import materialize, open_store, scratch_path
 # Fixed values of the seekable format.
 SKIPPABLE_INDEX, SKIPPABLE_TABLE, TABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1, 0x80
 
+# Characters of texts whose pieces are encoded together.
+GROUP_CHARS = 8_000_000
+
 # Tasks that read files at most.
 MAX_READERS = 10_000
 
@@ -141,8 +144,8 @@ class PieceEncoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _learn(self, fresh: list[str], at_once: int = 2_000) -> None:
-        """Encode pieces that are not known yet, many in one call.
+    def _learn(self, fresh: list[str], found: dict[str, bytes | None], at_once: int = 2_000) -> None:
+        """Encode pieces that are not known yet, many in one call, and put their ids into ``found`` too.
 
         Each begins with a space and a visible character, so their joined text is encoded piece by piece; the number of
         bytes of the tokens tells where each piece ends.
@@ -152,22 +155,45 @@ class PieceEncoder:
             ids = self._ids(" " + " ".join(part))
             ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(piece.encode()) + 1 for piece in part])) + 1
             for piece, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist()):
-                self.memo.put(piece, ids[a:b].tobytes())
+                found[piece] = ids[a:b].tobytes()
+                self.memo.put(piece, found[piece])
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text (null: none) as little-endian unsigned 32-bit integers.
 
-        A text that holds an added token of the vocabulary is encoded whole: the library cuts it there first.
+        Texts are worked off in groups of about ``GROUP_CHARS`` characters or a single longer one. A text that holds an added
+        token of the vocabulary is encoded whole: the library cuts it there first.
         """
+        out, low, size = [], 0, 0
+        for at, text in enumerate(texts):
+            size += len(text) if text else 0
+            if size >= GROUP_CHARS or at + 1 == len(texts):
+                out += self._encode_group(texts[low : at + 1])
+                low, size = at + 1, 0
+        return out
+
+    def _encode_group(self, texts: list[str | None]) -> list[bytes]:
         whole = [bool(text) and any(token in text for token in self.added) for text in texts]
         parts = [pieces(text) if text and not own else None for text, own in zip(texts, whole)]
-        found: set[str] = set()
+        # The ids of the group's pieces stay until it is done: a full memo may drop them before they are used.
+        found: dict[str, bytes | None] = {}
         for part in parts:
             if part:
-                found.update(part[1:])
-        known, old = self.memo, self.memo.old
-        self._learn([piece for piece in found if len(piece) <= Memo.LONGEST and piece not in known and piece not in old])
-        joined = [self.first[part[0]] + b"".join(map(known.__getitem__, part[1:])) if part else b"" for part in parts]
+                found.update(dict.fromkeys(part[1:]))
+        known, old, fresh = self.memo, self.memo.old, []
+        for piece in found:
+            ids = known.get(piece)
+            if ids is None:
+                ids = old.get(piece)
+                if ids is not None:
+                    known.put(piece, ids)
+                elif len(piece) <= Memo.LONGEST:
+                    fresh.append(piece)
+                else:
+                    ids = known[piece]
+            found[piece] = ids
+        self._learn(fresh, found)
+        joined = [self.first[part[0]] + b"".join(map(found.__getitem__, part[1:])) if part else b"" for part in parts]
         return [self._ids(text).tobytes() if own else ids for text, own, ids in zip(texts, whole, joined)]
 
 

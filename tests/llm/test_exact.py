@@ -283,6 +283,20 @@ def test_piece_memo_is_bounded():
     assert [memo["a" * 20 + str(i)][:1] for i in range(9)] == ["a"] * 9 and sum(map(len, memo)) <= 100
 
 
+def test_pieces_of_a_group_are_encoded_once_whatever_the_memo_holds():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode = tokenfile.PieceEncoder(path)
+    encode.memo.limit = 10
+    calls, ids_of = [], encode._ids
+    encode._ids = lambda piece: calls.append(piece) or ids_of(piece)
+    texts = ["start " + " ".join(f"word{i}x" for i in range(500))] * 2
+    encode(["start " + " ".join(f"word{i}x" for i in range(0, 500, 50))])
+    del calls[:]
+    plain = Tokenizer.from_file(path)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [plain.encode(x, add_special_tokens=False).ids for x in texts]
+    assert len(calls) <= 2
+
+
 def test_tails_bound_the_search_for_tokens():
     class Counted(dict):
         asked = 0
