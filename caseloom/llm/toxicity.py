@@ -213,18 +213,38 @@ def _order(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
     return np.lexsort((lo, hi))
 
 
+def distinct_grams(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of all parts, each once and in order."""
+    hi, lo = (np.concatenate(x) for x in zip(*parts))
+    order = _order(hi, lo)
+    hi, lo = hi[order], lo[order]
+    first = np.concatenate(([True], (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])))[: len(hi)]
+    return hi[first], lo[first]
+
+
+class GramIndex:
+    """Places of grams in a list sorted by (hi, lo); made once for all searches in the list."""
+
+    def __init__(self, hi: np.ndarray, lo: np.ndarray):
+        # The ranks of both numbers make one that keeps the order.
+        (self.highs, high), (self.lows, low) = np.unique(hi, return_inverse=True), np.unique(lo, return_inverse=True)
+        self.own = high * len(self.lows) + low
+
+    def find(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        """The places, -1 for grams that the list lacks."""
+        if not len(self.own):
+            return np.full(len(hi), -1)
+        a, b = np.searchsorted(self.highs, hi), np.searchsorted(self.lows, lo)
+        a[a == len(self.highs)], b[b == len(self.lows)] = 0, 0
+        wanted = a * len(self.lows) + b
+        place = np.searchsorted(self.own, wanted)
+        place[place == len(self.own)] = 0
+        return np.where((self.highs[a] == hi) & (self.lows[b] == lo) & (self.own[place] == wanted), place, -1)
+
+
 def find_grams(hi: np.ndarray, lo: np.ndarray, of_hi: np.ndarray, of_lo: np.ndarray) -> np.ndarray:
     """Places of grams in a list sorted by (hi, lo), -1 where it lacks them."""
-    if not len(of_hi):
-        return np.full(len(hi), -1)
-    # The ranks of both numbers make one that keeps the order.
-    (highs, high), (lows, low) = np.unique(of_hi, return_inverse=True), np.unique(of_lo, return_inverse=True)
-    a, b = np.searchsorted(highs, hi), np.searchsorted(lows, lo)
-    a[a == len(highs)], b[b == len(lows)] = 0, 0
-    own, wanted = high * len(lows) + low, a * len(lows) + b
-    place = np.searchsorted(own, wanted)
-    place[place == len(own)] = 0
-    return np.where((highs[a] == hi) & (lows[b] == lo) & (own[place] == wanted), place, -1)
+    return GramIndex(of_hi, of_lo).find(hi, lo)
 
 
 def window_ratios(ratios: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -295,13 +315,14 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
 
         def out():
             table = pa.Table.from_batches(held).combine_chunks()
-            hi, lo = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            held.clear()
+            merged, new = (np.zeros(0, np.int64), np.zeros(0, np.int64)), []
             for _, _, grams, _ in pieces_of(table.column(len(kept)).to_pylist()):
-                hi, lo = np.concatenate((hi, grams.hi)), np.concatenate((lo, grams.lo))
-                order = _order(hi, lo)
-                hi, lo = hi[order], lo[order]
-                first = np.concatenate(([True], (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])))[: len(hi)]
-                hi, lo = hi[first], lo[first]
+                new.append((grams.hi, grams.lo))
+                # Sorting again for every piece would cost the square of their number.
+                if sum(len(part[0]) for part in new) > len(merged[0]):
+                    merged, new = distinct_grams([merged, *new]), []
+            hi, lo = distinct_grams([merged, *new])
             yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([-1], pa.int32()), pa.array([stored(table)], pa.binary())], names)
             of_block = spread_of(hi, lo, blocks)
             for b in np.unique(of_block).tolist():
@@ -332,11 +353,11 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
         hi, lo = (right.column(name).to_numpy() for name in ("hi", "lo"))
         order = _order(hi, lo)
         hi, lo = hi[order], lo[order]
-        counts = [right.column(name).to_numpy()[order] for name in COUNTS]
+        counts, index = [right.column(name).to_numpy()[order] for name in COUNTS], GramIndex(hi, lo)
         chunk, found = left.column("chunk").to_pylist(), []
         for data in left.column("data"):
             wanted = _unzip(data.as_py(), 2)
-            at = find_grams(wanted[0], wanted[1], hi, lo)
+            at = index.find(wanted[0], wanted[1])
             seen = at >= 0
             found.append(_zip(wanted[0][seen], wanted[1][seen], *(c[at[seen]] for c in counts)))
         return pa.Table.from_arrays([pa.array(chunk, pa.int64()), pa.array(found, pa.binary())], ["chunk", "found"])
@@ -368,13 +389,16 @@ def log_ratios(docs: DataFrame, models: Models, key: str = "doc_id", text: str =
     def score(chunk: int, data: bytes) -> pa.Table:
         table = pa.ipc.open_stream(data).read_all()
         texts = table.column(len(kept)).to_pylist()
-        parts = answers_to(chunk)
-        rows = np.concatenate(parts, axis=1) if parts else np.zeros((2 + len(COUNTS), 0), np.int64)
-        rows = rows[:, _order(rows[0], rows[1])]
+        parts = answers_to(chunk) or [np.zeros((2 + len(COUNTS), 0), np.int64)]
+        hi, lo = (np.concatenate([part[i] for part in parts]) for i in (0, 1))
+        order = _order(hi, lo)
+        known = [np.concatenate([part[2 + i] for part in parts])[order] for i in range(len(COUNTS))]
+        index = GramIndex(hi[order], lo[order])
+        del parts, hi, lo, order
         sums, chars, best = np.zeros(len(texts)), np.zeros(len(texts), np.int64), np.zeros((len(texts), 2 * len(WINDOWS)))
         for low, end, grams, of_unit in pieces_of(texts):
-            at = find_grams(grams.hi, grams.lo, rows[0], rows[1])
-            counts = {name: np.where(at >= 0, rows[2 + i][at] if rows.shape[1] else 0, 0).astype(np.float64) for i, name in enumerate(COUNTS)}
+            at = index.find(grams.hi, grams.lo)
+            counts = {name: np.where(at >= 0, values[at] if len(values) else 0, 0).astype(np.float64) for name, values in zip(COUNTS, known)}
             each = of_unit[grams.unit] if len(of_unit) else np.zeros(0, np.int64)
             ratios = grams.ratios(counts, total, alphabet)[grams.ends]
             sizes = np.bincount(each, minlength=end - low).astype(np.int64)

@@ -176,6 +176,18 @@ def test_grams_are_found_in_sorted_lists():
     assert toxicity.find_grams(hi, lo, hi[:0], lo[:0]).tolist() == [-1] * 200
 
 
+def test_grams_of_parts_are_merged_and_searched_by_one_index():
+    draw = np.random.default_rng(2)
+    parts = [(draw.integers(0, 5, n), draw.integers(0, 50, n)) for n in (0, 30, 200)]
+    hi, lo = toxicity.distinct_grams(parts)
+    known = sorted({pair for part in parts for pair in zip(*(x.tolist() for x in part))})
+    assert list(zip(hi.tolist(), lo.tolist())) == known
+    index = toxicity.GramIndex(hi, lo)
+    for part in parts:
+        assert index.find(*part).tolist() == [known.index(pair) for pair in zip(*(x.tolist() for x in part))]
+    assert [len(x) for x in toxicity.distinct_grams(parts[:1])] == [0, 0]
+
+
 def test_few_toxic_labels_still_give_scores(spark):
     """The calibrating fifth has no toxic row here: scores come from all labelled rows."""
     frame = spark.createDataFrame([(i, "zgru zgro " * 9 if i % 6 == 1 else "ba ke lo mi " * 9) for i in range(60)], "doc_id bigint, text string")
