@@ -65,6 +65,16 @@ def test_stages_keep_the_columns(spark, tables):
         assert stage(spark, docs.limit(0), tables[0]).count() == 0, name
 
 
+def test_passages_of_over_fifty_words_go(spark):
+    draw = random.Random(5)
+    make = lambda n: " ".join("".join(draw.choices("abcdefgh", k=draw.randrange(3, 8))) for _ in range(n))
+    passage = make(51)
+    assert 256 <= len(passage) < 400
+    rows = [(i, make(60) + " " + passage * (i < 3) + " " + make(60)) for i in range(6)]
+    left = {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "").collect()}
+    assert all((left[i] == text) == (i >= 3) and passage not in left[i] for i, text in rows)
+
+
 def test_registration():
     names = contract.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
