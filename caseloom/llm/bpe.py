@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 from os.path import commonprefix
 
@@ -27,6 +28,12 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+# Characters of texts whose pieces are encoded together.
+GROUP_CHARS = 8_000_000
+
+# More than any rank.
+NEVER = 1 << 60
+
 # Bytes at the end of a prefix that bound how far back its last token can begin.
 TAIL = 3
 
@@ -45,8 +52,9 @@ class PrefixBpe:
                 self.reach[token[-TAIL:]] = max(len(token), self.reach.get(token[-TAIL:], 0))
         self.split = regex.compile(pattern).findall if pattern else lambda text: [text]
         self.stable = Memo(lambda rank: self.merge(self.bytes_of[rank]) == [rank], 200_000)
-        self.compatible = Memo(lambda pair: self.merge(self.bytes_of[pair[0]] + self.bytes_of[pair[1]]) == list(pair), 1_000_000)
-        self.words = Memo(self.encode_match, 300_000)
+        self.traces = Memo(self._trace, 200_000)
+        self.compatible = Memo(self._fits, 1_000_000)
+        self.words = Memo(lambda match: self._packed(self.encode_match(match)), 300_000)
         # Keys are pieces without the space before them; the first piece of a text has none.
         self.chunks = Memo(lambda piece: self._encode_chunk(" " + piece), 300_000)
         self.first = Memo(self._encode_chunk, 20_000)
@@ -56,12 +64,54 @@ class PrefixBpe:
         """The merges themselves, lowest rank first: the definition that stability is checked against (short inputs only)."""
         parts = [data[i : i + 1] for i in range(len(data))]
         while len(parts) > 1:
-            best = min(range(len(parts) - 1), key=lambda i: (self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i))
+            best = min(range(len(parts) - 1), key=lambda i: (self.ranks.get(parts[i] + parts[i + 1], NEVER), i))
             if parts[best] + parts[best + 1] not in self.ranks:
                 break
             parts[best : best + 2] = [parts[best] + parts[best + 1]]
         return [self.ranks[part] for part in parts]
 
+    def _trace(self, rank: int) -> tuple[tuple[int, ...], tuple[bytes, ...], tuple[bytes, ...]]:
+        """The ranks of the merges that make a stable token, in their order, and its first and last part before each of them."""
+        data = self.bytes_of[rank]
+        parts = [data[i : i + 1] for i in range(len(data))]
+        merges, firsts, lasts = [], [parts[0]], [parts[-1]]
+        while len(parts) > 1:
+            found = [self.ranks.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+            merges.append(min(found))
+            best = found.index(merges[-1])
+            parts[best : best + 2] = [parts[best] + parts[best + 1]]
+            firsts.append(parts[0])
+            lasts.append(parts[-1])
+        return (*merges, NEVER), tuple(firsts), tuple(lasts)
+
+    def _fits(self, pair: tuple[int, int]) -> bool:
+        """Whether merging the joined bytes of two stable tokens gives the two back.
+
+        Until a merge crosses their border each goes its own way, so the merges of both are gone through by rank, the left
+        one's first where ranks are equal; one across the border comes after those of the left and before those of the right.
+        """
+        get = self.ranks.get
+        left, _, ends = self.traces[pair[0]]
+        right, begins, _ = self.traces[pair[1]]
+        i = j = 0
+        across = get(ends[0] + begins[0], NEVER)
+        while True:
+            if left[i] <= right[j]:
+                if across < left[i]:
+                    return False
+                if left[i] == NEVER:
+                    return True
+                i += 1
+            else:
+                if across <= right[j]:
+                    return False
+                j += 1
+            across = get(ends[i] + begins[j], NEVER)
+
+    @staticmethod
+    def _packed(ids: tuple[int, ...]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode_match(self, data: bytes) -> tuple[int, ...]:
         """Ids of one match. A match that is itself a token is that token."""
         whole = self.ranks.get(data)
@@ -71,27 +121,47 @@ class PrefixBpe:
         return tuple(self.table.ids())
 
     def _encode_chunk(self, chunk: str) -> bytes:
-        ids: list[int] = []
-        for match in self.split(chunk):
-            ids.extend(self.words[match.encode("utf-8")])
-        return np.array(ids, "<u4").tobytes()
+        return b"".join([self.words[match.encode("utf-8")] for match in self.split(chunk)])
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers (null: none)."""
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of every text. Matches that are not known yet come in sorted order, so that each reuses the prefix of the one before."""
+        """Ids of every text, worked off in groups of about ``GROUP_CHARS`` characters or a single longer one."""
+        out, low, size = [], 0, 0
+        for at, text in enumerate(texts):
+            size += len(text) if text else 0
+            if size >= GROUP_CHARS or at + 1 == len(texts):
+                out += self._encode_group(texts[low : at + 1])
+                low, size = at + 1, 0
+        return out
+
+    def _encode_group(self, texts: list[str | None]) -> list[bytes]:
+        """Matches that are not known yet come in sorted order, so that each reuses the prefix of the one before."""
         parts = [pieces(text) if text else None for text in texts]
-        found: set[str] = set()
+        # The ids of all pieces stay until the texts are done: a full memo may drop them before they are used.
+        found: dict[str, bytes | None] = {}
         for part in parts:
             if part:
-                found.update(part[1:])
-        known, old = self.chunks, self.chunks.old
-        fresh = [piece for piece in found if piece not in known and piece not in old]
-        for match in sorted({match.encode("utf-8") for piece in fresh for match in self.split(" " + piece)}):
-            self.words[match]
-        return [self.first[part[0]] + b"".join(map(known.__getitem__, part[1:])) if part else b"" for part in parts]
+                found.update(dict.fromkeys(part[1:]))
+        known, old, fresh = self.chunks, self.chunks.old, []
+        for piece in found:
+            ids = known.get(piece)
+            if ids is None:
+                ids = old.get(piece)
+                if ids is None:
+                    fresh.append((piece, [match.encode("utf-8") for match in self.split(" " + piece)]))
+                else:
+                    known.put(piece, ids)
+            found[piece] = ids
+        words = dict.fromkeys(sorted({match for _, matches in fresh for match in matches}))
+        for match in words:
+            words[match] = self.words[match]
+        for piece, matches in fresh:
+            found[piece] = b"".join(map(words.__getitem__, matches))
+            known.put(piece, found[piece])
+        return [self.first[part[0]] + b"".join(map(found.__getitem__, part[1:])) if part else b"" for part in parts]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -142,7 +142,8 @@ class PieceEncoder:
         self.first = Memo(lambda piece: self._ids(piece).tobytes(), 20_000)
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        # Unlike ``encode`` this does not track where tokens lie in the text.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, fresh: list[str], found: dict[str, bytes | None], at_once: int = 2_000) -> None:
         """Encode pieces that are not known yet, many in one call, and put their ids into ``found`` too.

@@ -297,6 +297,36 @@ def test_pieces_of_a_group_are_encoded_once_whatever_the_memo_holds():
     assert len(calls) <= 2
 
 
+def test_tokens_fit_without_merging_their_bytes():
+    draw, checked = random.Random(4), {True: 0, False: 0}
+    for letters, size in (("ab", 30), ("abc", 60)):
+        for _ in range(40):
+            tokens = list(dict.fromkeys([*letters, *("".join(draw.choices(letters, k=draw.randrange(2, 7))) for _ in range(size))]))
+            draw.shuffle(tokens)
+            table = bpe.PrefixBpe({token.encode(): rank for rank, token in enumerate(tokens)})
+            stable = [rank for rank in range(len(tokens)) if table.stable[rank]]
+            for pair in ((a, b) for a in stable for b in stable):
+                found = table.compatible[pair]
+                assert found == (table.merge(table.bytes_of[pair[0]] + table.bytes_of[pair[1]]) == list(pair))
+                checked[found] += 1
+    assert min(checked.values()) > 100
+    table = bpe.PrefixBpe(bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    merged, merge = [], table.merge
+    table.merge = lambda data: merged.append(data) or merge(data)
+    table.encode("qzxv kwjqa zzxqv jjwqk")
+    assert set(merged) <= set(table.ranks)
+
+
+def test_groups_of_texts_keep_their_order(monkeypatch):
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    texts = ["one two three", None, "", "four five", "six", " seven  eight", "nine"]
+    want = bpe.PrefixBpe(ranks, public_tokenizers.PATTERN).encode_all(texts)
+    monkeypatch.setattr(bpe, "GROUP_CHARS", 5)
+    table = bpe.PrefixBpe(ranks, public_tokenizers.PATTERN)
+    table.chunks.limit = table.words.limit = 1
+    assert table.encode_all(texts) == want and [table.decode(ids).decode() for ids in want] == [text or "" for text in texts]
+
+
 def test_tails_bound_the_search_for_tokens():
     class Counted(dict):
         asked = 0
