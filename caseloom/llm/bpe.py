@@ -12,7 +12,6 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +44,8 @@ class PrefixBpe:
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
+        self.tokens = np.full(max(ranks.values()) + 1, None, object)
+        self.tokens[list(self.bytes_of)] = list(self.bytes_of.values())
         # By the last TAIL bytes the length of the longest token that ends so; a token without such an entry is shorter.
         self.reach: dict[bytes, int] = {}
         for token in ranks:
@@ -164,7 +165,7 @@ class PrefixBpe:
         return [self.first[part[0]] + b"".join(map(found.__getitem__, part[1:])) if part else b"" for part in parts]
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return b"".join(self.tokens[np.frombuffer(ids, "<u4")].tolist())
 
 
 class PrefixTable:
@@ -195,7 +196,11 @@ class PrefixTable:
 
     def become(self, data: bytes) -> None:
         """Hold another string; the entries of the prefix it shares with the present one stay."""
-        keep = len(commonprefix((self.data, data)))
+        keep = 0
+        for own, other in zip(self.data, data):
+            if own != other:
+                break
+            keep += 1
         self.data = data
         del self.last[keep:]
         self._extend(len(data))

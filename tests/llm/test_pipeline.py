@@ -65,14 +65,20 @@ def test_stages_keep_the_columns(spark, tables):
         assert stage(spark, docs.limit(0), tables[0]).count() == 0, name
 
 
-def test_passages_of_over_fifty_words_go(spark):
+def test_passages_of_over_fifty_words_go(spark, tmp_path):
     draw = random.Random(5)
     make = lambda n: " ".join("".join(draw.choices("abcdefgh", k=draw.randrange(3, 8))) for _ in range(n))
-    passage = make(51)
+    passage, item = make(51), make(60)
     assert 256 <= len(passage) < 400
-    rows = [(i, make(60) + " " + passage * (i < 3) + " " + make(60)) for i in range(6)]
-    left = {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "").collect()}
+    rows = [(i, make(60) + " " + passage * (i < 3) + item * (i > 5) + " " + make(60)) for i in range(8)]
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    corpus_pipeline.suffix_dedup(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), str(tmp_path)).write.parquet(f"{tmp_path}/kept")
+    kept = spark.read.parquet(f"{tmp_path}/kept")
+    left = {r.doc_id: r.text for r in kept.collect()}
     assert all((left[i] == text) == (i >= 3) and passage not in left[i] for i, text in rows)
+    # A repeated benchmark passage is not cut out: its documents go as a whole.
+    clean = corpus_pipeline.decontaminate(spark, kept, str(tmp_path))
+    assert sorted(r.doc_id for r in clean.collect()) == list(range(6))
 
 
 def test_registration():
