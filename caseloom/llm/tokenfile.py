@@ -17,17 +17,18 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.text import Memo, pieces
+from caseloom.llm.text import Memo, is_loose, pieces
 from caseloom.session import materialize, open_store, scratch_path
 
 # Fixed values of the seekable format.
@@ -36,6 +37,10 @@ SKIPPABLE_INDEX, SKIPPABLE_TABLE, TABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5D, 0x18
 # Characters of texts whose pieces are encoded together.
 GROUP_CHARS = 8_000_000
 
+# Marks that are cut off behind a letter, and the letters after which they are: those of the oldest blocks, known to every library.
+MARKS = ".,;:!?"
+LETTERS = frozenset(c for c in map(chr, range(0x250)) if c.isalpha())
+
 # Tasks that read files at most.
 MAX_READERS = 10_000
 
@@ -124,6 +129,22 @@ class TokenReader:
         return b"".join(found)
 
 
+def words_of_lines(piece: str) -> list[tuple[str, str]]:
+    """Words and the marks behind them of a piece that holds line feeds, all but the first with the line feed before them.
+
+    Between a letter or mark and a letter a line feed is a match of the pattern by itself, and so is a mark after a letter.
+    Empty if the piece is not made of these alone.
+    """
+    words = []
+    for line in piece.split("\n"):
+        mark = line[-1:] if line[-1:] in MARKS else ""
+        word = line[: len(line) - len(mark)]
+        if word[-1:] not in LETTERS or words and word[0] not in LETTERS:
+            return []
+        words.append(("\n" * bool(words) + word, mark))
+    return words
+
+
 class PieceEncoder:
     """Ids of whole texts with the tokenizers library, each distinct piece encoded once while the memo holds it."""
 
@@ -138,26 +159,62 @@ class PieceEncoder:
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.sizes[list(vocabulary.values())] = [len(token) for token in vocabulary]
         # Keys are pieces without the space before them; the first piece of a text has none.
-        self.memo = Memo(lambda piece: self._ids(" " + piece).tobytes(), 400_000)
+        self.memo = Memo(lambda piece: self._ids(" " + piece).tobytes(), 800_000, 96 << 20)
         self.first = Memo(lambda piece: self._ids(piece).tobytes(), 20_000)
+        self.marks = {mark: self._ids(mark).tobytes() for mark in ["", *MARKS]}
 
     def _ids(self, text: str) -> np.ndarray:
         # Unlike ``encode`` this does not track where tokens lie in the text.
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, fresh: list[str], found: dict[str, bytes | None], at_once: int = 2_000) -> None:
-        """Encode pieces that are not known yet, many in one call, and put their ids into ``found`` too.
+    def _learn(self, fresh: list[str], before: str = " ", at_once: int = 2_000) -> Iterator[bytes]:
+        """Ids of pieces that are not known yet, each with what stands ``before`` it, encoded many in one call.
 
-        Each begins with a space and a visible character, so their joined text is encoded piece by piece; the number of
+        Each begins with a visible character, so their joined text is encoded piece by piece; the number of
         bytes of the tokens tells where each piece ends.
         """
         for low in range(0, len(fresh), at_once):
             part = fresh[low : low + at_once]
-            ids = self._ids(" " + " ".join(part))
+            ids = self._ids(before + before.join(part))
             ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(piece.encode()) + 1 for piece in part])) + 1
-            for piece, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist()):
-                found[piece] = ids[a:b].tobytes()
-                self.memo.put(piece, found[piece])
+            data, ends = ids.tobytes(), (4 * ends).tolist()
+            yield from (data[a:b] for a, b in zip([0, *ends], ends))
+
+    def _known(self, wanted: list[str]) -> dict[str, bytes]:
+        """Ids of pieces, each encoded once. One that begins with a line feed follows that instead of a space."""
+        found = dict.fromkeys(wanted)
+        known, old, made, spaced, lines = self.memo, self.memo.old, {}, [], []
+        for piece in found:
+            ids = known.get(piece)
+            if ids is None:
+                ids = old.get(piece)
+                if ids is not None:
+                    made[piece] = ids
+                elif len(piece) > Memo.LONGEST:
+                    ids = self._ids(piece if piece[0] == "\n" else " " + piece).tobytes()
+                elif piece[0] == "\n":
+                    lines.append(piece)
+                else:
+                    spaced.append(piece)
+            found[piece] = ids
+        made.update(zip(spaced, self._learn(spaced)))
+        made.update(zip(lines, self._learn([piece[1:] for piece in lines], "\n")))
+        found.update(made)
+        known.put_all(made)
+        return found
+
+    def _ids_of(self, each: list[str]) -> list[bytes]:
+        """Ids of different pieces. Their words are encoded once, whatever mark ends them and whatever line they are in."""
+        marked = [piece[-1] in MARKS and piece[-2:-1] in LETTERS for piece in each]
+        stems = [piece[:-1] if mark else piece for piece, mark in zip(each, marked)]
+        parts = {at: words for at, piece in enumerate(each) if "\n" in piece and (words := words_of_lines(piece))}
+        for at in parts:
+            stems[at] = parts[at][0][0]
+        found = self._known([*stems, *(word for words in parts.values() for word, _ in words[1:])])
+        values = [found[stem] + self.marks[piece[-1]] if mark else found[stem] for stem, piece, mark in zip(stems, each, marked)]
+        for at, words in parts.items():
+            values[at] = b"".join(found[word] + self.marks[mark] for word, mark in words)
+        return values
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every text (null: none) as little-endian unsigned 32-bit integers.
@@ -174,28 +231,36 @@ class PieceEncoder:
         return out
 
     def _encode_group(self, texts: list[str | None]) -> list[bytes]:
-        whole = [bool(text) and any(token in text for token in self.added) for text in texts]
-        parts = [pieces(text) if text and not own else None for text, own in zip(texts, whole)]
-        # The ids of the group's pieces stay until it is done: a full memo may drop them before they are used.
-        found: dict[str, bytes | None] = {}
-        for part in parts:
-            if part:
-                found.update(dict.fromkeys(part[1:]))
-        known, old, fresh = self.memo, self.memo.old, []
-        for piece in found:
-            ids = known.get(piece)
-            if ids is None:
-                ids = old.get(piece)
-                if ids is not None:
-                    known.put(piece, ids)
-                elif len(piece) <= Memo.LONGEST:
-                    fresh.append(piece)
-                else:
-                    ids = known[piece]
-            found[piece] = ids
-        self._learn(fresh, found)
-        joined = [self.first[part[0]] + b"".join(map(found.__getitem__, part[1:])) if part else b"" for part in parts]
-        return [self._ids(text).tobytes() if own else ids for text, own, ids in zip(texts, whole, joined)]
+        out, even, loose = [b""] * len(texts), [], []
+        for at, text in enumerate(texts):
+            if text and any(token in text for token in self.added):
+                out[at] = self._ids(text).tobytes()
+            elif text:
+                (loose if is_loose(text) else even).append(at)
+        parts = [pc.split_pattern(pa.array([texts[at] for at in even], pa.large_string()), " ")]
+        parts.append(pa.array([pieces(texts[at]) for at in loose], pa.list_(pa.large_string())))
+        for at, ids in zip([*even, *loose], chain.from_iterable(map(self._encode_pieces, parts))):
+            out[at] = ids
+        return out
+
+    def _encode_pieces(self, parts: pa.ListArray) -> list[bytes]:
+        """Ids of texts that are cut into pieces, at least one each."""
+        if not len(parts):
+            return []
+        counts, flat = pc.list_value_length(parts).to_numpy().astype(np.int64), parts.flatten()
+        heads = np.cumsum(counts) - counts
+        after = np.ones(len(flat), bool)
+        after[heads] = False
+        coded = flat.filter(pa.array(after)).dictionary_encode()
+        values = self._ids_of(coded.dictionary.to_pylist())
+        # The ids of all pieces, one after the other.
+        plain, codes = np.frombuffer(b"".join(values), "<u4"), coded.indices.to_numpy()
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        own = sizes[codes]
+        ends = np.cumsum(own)
+        ids = plain[np.repeat((np.cumsum(sizes) - sizes)[codes] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
+        stops = (4 * np.concatenate([[0], ends])[np.cumsum(counts - 1)]).tolist()
+        return [self.first[head] + ids[a:b] for head, a, b in zip(flat.take(pa.array(heads)).to_pylist(), [0, *stops], stops)]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}

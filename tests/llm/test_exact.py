@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import io
+import itertools
 import random
 import zlib
 
@@ -297,6 +298,21 @@ def test_pieces_of_a_group_are_encoded_once_whatever_the_memo_holds():
     assert len(calls) <= 2
 
 
+def test_words_are_encoded_once_whatever_mark_or_line_they_stand_in():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode, plain = tokenfile.PieceEncoder(path), Tokenizer.from_file(path)
+    words = ["".join(w) for w in itertools.product("abé", "rst", "uvw", "öxy")]
+    texts = ["start " + " ".join(w + mark for w in words) + " end" for mark in ("", ".", ",", "!", "..", ".\u0301", "1,")]
+    texts += ["start " + " ".join(f"{a}{mark}\n{b}" for a, b in zip(words, reversed(words))) for mark in ("", ".", "\n", ".\n.")]
+    size, ids_of = [], encode._ids
+    encode._ids = lambda piece: size.append(len(piece)) or ids_of(piece)
+    for group in ([texts[0]], [" ".join("x\n" + w for w in words)], texts[1:4], texts[7:9]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode(group)] == [plain.encode(x, add_special_tokens=False).ids for x in group]
+    # Once behind a space and once behind a line feed, and little more.
+    assert sum(size) < 2 * len(" ".join(words)) + 100
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [plain.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_tokens_fit_without_merging_their_bytes():
     draw, checked = random.Random(4), {True: 0, False: 0}
     for letters, size in (("ab", 30), ("abc", 60)):
