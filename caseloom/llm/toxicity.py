@@ -60,6 +60,24 @@ def units_of(text: str | None, across: bool) -> list[str]:
     return [" ".join(words)] if across and words else words
 
 
+def number_of(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The number of every key among the distinct ones, and for each of those a place where it stands. Keys are below ``size``."""
+    kind = np.int32 if len(keys) < 1 << 31 else np.int64
+    if size <= 8 * len(keys) + (1 << 16):
+        # A table of all possible keys is cheaper than hashing them.
+        table = np.full(size, -1, kind)
+        table[keys] = np.arange(len(keys), dtype=kind)
+        present = np.flatnonzero(table >= 0)
+        one = table[present]
+        table[present] = np.arange(len(present), dtype=kind)
+        return table[keys], one
+    coded = pa.array(keys).dictionary_encode()
+    number = coded.indices.to_numpy()
+    one = np.zeros(len(coded.dictionary), kind)
+    one[number] = np.arange(len(keys), dtype=kind)
+    return number, one
+
+
 class Grams:
     """The distinct grams of some units, each found by adding a character to one that is shorter by one.
 
@@ -70,35 +88,42 @@ class Grams:
 
     def __init__(self, units: list[str]):
         sizes = np.array([len(unit) + 2 for unit in units], np.int64)
-        codes = np.frombuffer("".join(f" {unit} " for unit in units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        reach = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        codes = np.frombuffer("".join(f" {unit} " for unit in units).encode("utf-32-le", "surrogatepass"), np.uint32)
+        unit = np.repeat(np.arange(len(units)), sizes)
+        starts = np.cumsum(sizes) - sizes
+        at, first = number_of(codes.astype(np.int64), int(codes.max(initial=0)) + 1)
+        chars = codes[first].astype(np.int64)
+        letter, count = at, len(chars)
+        # The places of the grams of a length: units stand together, each with one place less than for the length before.
+        places, begins = np.arange(len(codes)), starts
         ends = np.zeros(len(codes), np.int64)
-        at = np.zeros(len(codes), np.int64)
-        first = pa.array(codes).dictionary_encode()
-        at[:] = first.indices.to_numpy()
-        chars = first.dictionary.to_numpy()
-        hi, lo = [np.full(len(chars), 1 << HIGH_BITS, np.int64)], [chars.astype(np.int64)]
-        none = np.full(len(chars), -1, np.int64)
-        context, suffix, self.starts = [none], [none], [0, len(chars)]
+        hi, lo = [np.full(count, 1 << HIGH_BITS, np.int64)], [chars]
+        none = np.full(count, -1, np.int64)
+        context, suffix, self.starts = [none], [none], [0, count]
         for length in range(2, ORDER + 1):
-            places = np.flatnonzero(reach >= length - 1)
-            key = pa.array((at[places - 1] << CODE_BITS) | codes[places]).dictionary_encode()
-            found, values = key.indices.to_numpy(), key.dictionary.to_numpy()
-            before, char = values >> CODE_BITS, values & ((1 << CODE_BITS) - 1)
-            shorter = np.zeros(len(values), np.int64)
-            shorter[found] = at[places]
+            ends[places[begins]] = at[begins] + np.int64(self.starts[-2])
+            longer = np.ones(len(places), bool)
+            longer[begins] = False
+            longer = longer[1:]
+            shorter, letter, places = at[1:][longer], letter[1:][longer], places[1:][longer]
+            most = (self.starts[-1] - self.starts[-2]) * count
+            key = at[:-1][longer].astype(np.int32 if most < 1 << 31 else np.int64) * count + letter
+            found, one = number_of(key, most)
+            before, char = np.divmod(key[one].astype(np.int64), count)
+            char = chars[char]
             high = ((hi[-1][before] << CODE_BITS) | (lo[-1][before] >> HIGH_BITS)) & ((1 << HIGH_BITS) - 1)
             lo.append(((lo[-1][before] << CODE_BITS) | char) & ((1 << LOW_BITS) - 1))
             hi.append(high | (length << HIGH_BITS))
             context.append(before + self.starts[-2])
-            suffix.append(shorter + self.starts[-2])
-            at = np.zeros(len(codes), np.int64)
-            at[places] = found
-            ends[places] = found + self.starts[-1]
-            self.starts.append(self.starts[-1] + len(values))
+            suffix.append(shorter[one] + np.int64(self.starts[-2]))
+            sizes = sizes[sizes > 1] - 1
+            at, begins = found, np.cumsum(sizes) - sizes
+            self.starts.append(self.starts[-1] + len(one))
+        ends[places] = at + np.int64(self.starts[-2])
         self.hi, self.lo, self.context, self.suffix = (np.concatenate(x) for x in (hi, lo, context, suffix))
-        predicted = reach > 0
-        self.ends, self.unit = ends[predicted], np.repeat(np.arange(len(units)), sizes)[predicted]
+        predicted = np.ones(len(codes), bool)
+        predicted[starts] = False
+        self.ends, self.unit = ends[predicted], unit[predicted]
 
     def ratios(self, counts: dict[str, np.ndarray], total: int, alphabet: int) -> np.ndarray:
         """Of every gram log p(toxic) - log p(ordinary) of its last character, by its counts and those of the shorter ones."""
@@ -267,11 +292,16 @@ def window_ratios(ratios: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     filled, first = np.unique(span_text, return_index=True)
     rank = np.arange(len(heads)) - np.repeat(first, np.diff(np.append(first, len(heads))))
     counted = rank < TOP
+    left = ends[of_text] - np.arange(len(ratios))
     for j, length in enumerate(WINDOWS):
+        sums = np.empty(len(ratios))
+        whole = max(0, len(ratios) - length + 1)
+        sums[:whole] = total[length:] - total[:whole]
         # A stretch that would leave its text begins at the last place that does not.
-        stop = np.minimum(np.arange(len(ratios)) + length, ends[of_text])
-        begin = np.maximum(stop - length, starts[of_text])
-        highest = np.maximum.reduceat(total[stop] - total[begin], heads) / length
+        late = np.flatnonzero(left < length)
+        stop = ends[of_text[late]]
+        sums[late] = total[stop] - total[np.maximum(stop - length, starts[of_text[late]])]
+        highest = np.maximum.reduceat(sums, heads) / length
         order = np.lexsort((-highest, span_text))
         best[filled, 2 * j] = highest[order][first]
         best[:, 2 * j + 1] = np.bincount(span_text[counted], highest[order][counted], len(sizes)) / np.maximum(1, np.bincount(span_text[counted], minlength=len(sizes)))

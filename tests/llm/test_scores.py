@@ -195,3 +195,20 @@ def test_few_toxic_labels_still_give_scores(spark):
     known = spark.createDataFrame([(i, int(i % 6 == 1)) for i in range(60) if i % 6 != 1 or i not in fifth], "doc_id bigint, toxic int")
     got = toxicity.toxicity_scores(frame, known).collect()
     assert all(r.predicted == int(r.doc_id % 6 == 1) for r in got)
+
+
+def test_grams_are_numbered_alike_by_table_and_by_hash():
+    draw = np.random.default_rng(5)
+    keys = draw.integers(0, 900, 3_000)
+    for size in (900, 1 << 40):  # a table of all possible keys, or too many for that
+        number, one = toxicity.number_of(keys, size)
+        assert len(one) == len(np.unique(keys)) and (keys[one][number] == keys).all()
+    units = ["".join(draw.choice(list("abc é\u4e2d"), n)) for n in draw.integers(0, 9, 60)] + ["".join(map(chr, range(0x4E00, 0x5200)))]
+    grams = toxicity.Grams(units)
+    spell = [tuple((g >> (toxicity.CODE_BITS * i)) & ((1 << toxicity.CODE_BITS) - 1) for i in range(toxicity.ORDER)[::-1] if i < n) for g, n in (
+        (((h & ((1 << toxicity.HIGH_BITS) - 1)) << toxicity.LOW_BITS) | low, h >> toxicity.HIGH_BITS) for h, low in zip(grams.hi.tolist(), grams.lo.tolist()))]
+    padded = [[ord(c) for c in f" {u} "] for u in units]
+    assert [spell[e] for e in grams.ends] == [tuple(u[max(0, i - toxicity.ORDER + 1) : i + 1]) for u in padded for i in range(1, len(u))]
+    assert len(set(spell)) == len(spell)
+    longer = [i for i, s in enumerate(spell) if len(s) > 1]
+    assert all(spell[grams.context[i]] == spell[i][:-1] and spell[grams.suffix[i]] == spell[i][1:] for i in longer)
