@@ -124,6 +124,16 @@ def _spread(column: str) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), F.col(column) - 1))
 
 
+def _meet(anchors: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFrame:
+    """Every block of anchors with every block of candidates.
+
+    Merged: Spark takes a side for as large as the table it was packed from, though it stands there once for each of the other
+    side's blocks, and would send it whole through the driver.
+    """
+    spread = anchors.withColumn("c", _spread("n_c")).drop("n_c").hint("merge")
+    return spread.join(candidates.withColumn("a", _spread("n_a")).drop("n_a"), keys)
+
+
 class _Cell:
     """One block of anchors against one block of candidates."""
 
@@ -208,7 +218,7 @@ def hard_negatives(vectors: DataFrame, anchors: DataFrame, positives: int = 5, n
     sizes = counted(asking, anchor_block, "n_a").join(counted(rows, candidate_block, "n_c"), ["dim", "label"])
     left = _packed(dealt(asking.join(sizes, ["dim", "label"]), "a", F.col("n_a")), ["dim", "label", "a", "n_c"], "a", scale, 0)
     right = _packed(dealt(rows.join(sizes, ["dim", "label"]), "c", F.col("n_c")), ["dim", "label", "c", "n_a"], "c", scale, 0)
-    cells = left.withColumn("c", _spread("n_c")).drop("n_c").join(right.withColumn("a", _spread("n_a")).drop("n_a"), ["dim", "label", "a", "c"])
+    cells = _meet(left, right, ["dim", "label", "a", "c"])
 
     def best_positives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
@@ -231,7 +241,7 @@ def hard_negatives(vectors: DataFrame, anchors: DataFrame, positives: int = 5, n
     n_c = F.lit(max(1, math.ceil(rows.count() / candidate_block))).cast("long")
     left = _packed(dealt(asking.join(bands, ["id", "mark"]), "a", n_a), ["dim", "a"], "a", scale, positives).withColumn("n_c", n_c)
     right = _packed(dealt(rows, "c", n_c), ["dim", "c"], "c", scale, 0).withColumn("n_a", n_a)
-    cells = left.withColumn("c", _spread("n_c")).drop("n_c").join(right.withColumn("a", _spread("n_a")).drop("n_a"), ["dim", "a", "c"])
+    cells = _meet(left, right, ["dim", "a", "c"])
 
     def best_negatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):

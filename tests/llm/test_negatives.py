@@ -78,3 +78,25 @@ def test_edge_cases(spark):
         assert sorted(tuple(r[n] for n in names) for r in got.collect()) == want
     assert negatives.hard_negatives(frame.limit(0), anchors.limit(0)).collect() == []
     assert negatives.hard_negatives(frame, anchors.limit(0)).collect() == []
+
+
+def test_blocks_are_not_broadcast(spark):
+    """A block of anchors is repeated for every block of candidates: sent whole through the driver, that grows with the square of the table."""
+    rows = [(i, i % 3, [float((i * j) % 7 - 3) for j in range(1, 9)]) for i in range(600)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, label int, embedding array<double>")
+    plans, packed = [], negatives._meet
+
+    def meet(left, right, keys):
+        plans.append(packed(left, right, keys))
+        return plans[-1]
+
+    negatives._meet = meet
+    try:
+        found = negatives.hard_negatives(frame, frame.where("vec_id % 50 = 0"), anchor_block=4, candidate_block=50)
+        assert sorted(tuple(r)[:6] for r in found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect()) == sorted(
+            r[:6] for r in brute(rows))
+    finally:
+        negatives._meet = packed
+    for cells in plans:
+        plan = cells._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [dim" in plan and not any("BroadcastHashJoin" in line and " a#" in line for line in plan.splitlines())
